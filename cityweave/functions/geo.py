@@ -68,7 +68,8 @@ def haversine_angle(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> C
     lat1, lon1, lat2, lon2 = (F.radians(c) for c in (lat1, lon1, lat2, lon2))
     half_lat, half_lon = F.sin((lat2 - lat1) / 2), F.sin((lon2 - lon1) / 2)
     a = half_lat * half_lat + F.cos(lat1) * F.cos(lat2) * half_lon * half_lon
-    return 2 * F.asin(F.sqrt(F.least(a, F.lit(1.0))))
+    # Rounding may lift the term of opposite points above 1; NULL and NaN pass through.
+    return 2 * F.asin(F.sqrt(F.when(a.between(1, 2), 1.0).otherwise(a)))
 
 
 def haversine_km(lat: Column | str, lon: Column | str, to_lat: float = CENTRE_LAT, to_lon: float = CENTRE_LON) -> Column:
@@ -88,4 +89,4 @@ def cell_index(c: Column | str, size: float) -> Column:
 
 def cell_name(lat: Column | str, lon: Column | str, size: float = 0.01) -> Column:
     """Cell id as text with both indexes cut towards zero, so cells touching an axis are twice as wide."""
-    return F.concat_ws(",", (_col(lat) / size).cast("long"), (_col(lon) / size).cast("long"))
+    return F.concat((_col(lat) / size).cast("long"), F.lit(","), (_col(lon) / size).cast("long"))

@@ -7,6 +7,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cityweave.functions.numbers import is_number
 from cityweave.operators.quantiles import BUFFERED_VALUES, quantiles
 from cityweave.sources.scratch import durable
 
@@ -15,7 +16,7 @@ CURVE_POINTS = 200
 
 
 def _numbers(df: DataFrame, column: str) -> DataFrame:
-    return df.select(F.col(column).cast("double").alias("v")).where(~F.isnan("v"))
+    return df.select(F.col(column).cast("double").alias("v")).where(is_number("v"))
 
 
 def histogram(df: DataFrame, column: str, bins: int = HISTOGRAM_BINS) -> DataFrame:
@@ -56,11 +57,11 @@ def box_plot(df: DataFrame, group: str, column: str, buffered_values: int = BUFF
     v = F.col(column).cast("double")
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     low, high = F.col("q1") - reach, F.col("q3") + reach
-    joined = df.select(group, v.alias("v")).where(~F.isnan("v")).join(quartiles, group)
+    joined = df.select(group, v.alias("v")).where(is_number("v")).join(quartiles, group)
     return joined.groupBy(group, "q1", "median", "q3").agg(
         F.count("v").alias("n"),
-        F.least(F.min(F.when(F.col("v") >= low, F.col("v"))), F.first("q1")).alias("whisker_low"),
-        F.greatest(F.max(F.when(F.col("v") <= high, F.col("v"))), F.first("q3")).alias("whisker_high"),
+        F.least(F.min(F.when(F.col("v") >= low, F.col("v"))), F.col("q1")).alias("whisker_low"),
+        F.greatest(F.max(F.when(F.col("v") <= high, F.col("v"))), F.col("q3")).alias("whisker_high"),
         F.count_if((F.col("v") < low) | (F.col("v") > high)).alias("n_outliers"),
     )
 

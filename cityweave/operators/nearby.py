@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cityweave.functions import geo
+from cityweave.functions.numbers import is_number
 from cityweave.operators.skew import ROWS_PER_PART, join_per_key
 from cityweave.sources.scratch import durable
 
@@ -353,7 +354,7 @@ def inspections_in_buffer(crime: DataFrame, inspections: DataFrame, radius_m: fl
         (F.col("n_rows") * F.col("n_near")).alias("inspection_count"),
     )
     unlocated = (
-        crime.where(F.col("lat").isNull() | F.col("lon").isNull() | F.isnan("lat") | F.isnan("lon"))
+        crime.where(~is_number("lat") | ~is_number("lon"))
         .groupBy("lon", "lat")
         .agg(F.lit(0).cast("long").alias("inspection_count"))
     )

@@ -8,6 +8,7 @@ from itertools import product
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cityweave.functions.numbers import is_number
 from cityweave.operators.quantiles import BUFFERED_VALUES, quantiles
 
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
@@ -34,6 +35,17 @@ def top_values(df: DataFrame, column: str, k: int, count: str = "n") -> DataFram
     return value_counts(df, column, count).limit(k)
 
 
+def ranking(df: DataFrame, column: str, k: int) -> DataFrame:
+    """The ``k`` most frequent values with their rank from 1; ``k`` rows, so one task may number them."""
+    order = Window.orderBy(F.desc("n"), column)
+    return top_values(df, column, k).select(column, F.row_number().over(order).alias("rank"))
+
+
+def in_order_of(df: DataFrame, ranked: DataFrame, column: str) -> DataFrame:
+    """Rows of ``df`` whose value is listed in ``ranked`` (a :func:`ranking`), in its order."""
+    return df.join(F.broadcast(ranked), column).orderBy("rank")
+
+
 def keep_top_values(df: DataFrame, column: str, k: int, ranked_in: DataFrame | None = None) -> DataFrame:
     """Rows whose value is among the ``k`` most frequent ones of ``ranked_in`` (``df`` itself by default).
 
@@ -77,7 +89,7 @@ def null_profile(df: DataFrame) -> DataFrame:
 def describe(df: DataFrame, column: str, buffered_values: int = BUFFERED_VALUES) -> DataFrame:
     """Count, mean, sample deviation, minimum, quartiles and maximum of the numbers in a column."""
     v = F.col("v")
-    numbers = df.select(F.col(column).cast("double").alias("v")).where(~F.isnan("v"))
+    numbers = df.select(F.col(column).cast("double").alias("v")).where(is_number("v"))
     quartiles = quantiles(numbers, "v", QUARTILES, buffered_values=buffered_values)
     q = quartiles.select(F.struct(*QUARTILES).alias("q")).scalar()
     moments = numbers.agg(

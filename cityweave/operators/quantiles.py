@@ -14,6 +14,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cityweave.functions.numbers import is_number
 from cityweave.sources.scratch import durable
 
 # Distinct values per group up to which the built-in aggregate is used.
@@ -54,7 +55,7 @@ def _numbers(df: DataFrame, value: str, by: list[str]) -> DataFrame:
     kept = F.lit(True)
     for c in by:
         kept = kept & F.col(c).isNotNull()
-    return df.where(kept).select(*by, v.alias("v")).where(~F.isnan("v") & F.col("v").isNotNull())
+    return df.where(kept).select(*by, v.alias("v")).where(is_number("v"))
 
 
 def _refined(numbers: DataFrame, profile: DataFrame, probabilities: Mapping[str, float], by: list[str]) -> DataFrame:
