@@ -179,8 +179,11 @@ PARTS = {
                try_cast(regexp_extract(latitude_longitude, '\((-?\d+\.\d+),', 1) as float) as latitude,
                try_cast(regexp_extract(latitude_longitude, ', (-?\d+\.\d+)\)', 1) as float) as longitude
         from inspection_raw where latitude_longitude is not null""",
+    # A float32 half-way between two texts of six places is printed with seven here; use the even one of six.
     "inspections": """
-        select * replace (cast(cast(latitude as varchar) as double) as latitude,
+        select * replace (cast(case when length(cast(latitude as varchar)) > 9
+                                     and cast(printf('%.6f', latitude) as float) = latitude
+                                    then printf('%.6f', latitude) else cast(latitude as varchar) end as double) as latitude,
                           cast(cast(longitude as varchar) as double) as longitude),
                cast(year(inspection_date) as integer) as year, cast(month(inspection_date) as integer) as month
         from float_inspections""",

@@ -13,6 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
+_local_folders: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -21,9 +22,10 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise RuntimeError(f"set {SETTING} to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="cityweave-")
-    spark.conf.set(SETTING, folder)
-    return folder
+    app = spark.conf.get("spark.app.id")
+    if app not in _local_folders:
+        _local_folders[app] = tempfile.mkdtemp(prefix="cityweave-")
+    return _local_folders[app]
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
