@@ -1,7 +1,8 @@
 """Cross-tabulation, row percentages and the chi-square test of independence.
 
-Everything starts from the long table of observed cells (row value, column value, n), which is small
-after the first aggregation; empty cells are added only where a result has to show them.
+Everything starts from the long table of observed cells (row value, column value, n). It is small and its
+marginals are needed again and again, so it is written once; the rows are scanned a single time. Empty
+cells are added only where a result has to show them.
 """
 
 from __future__ import annotations
@@ -13,12 +14,13 @@ from pyspark.sql import functions as F
 
 from cityweave.functions.chisquare import tail_probability
 from cityweave.operators.profile import counts_by
+from cityweave.sources.scratch import durable
 
 MAX_COLUMNS = 10_000
 
 
 def observed_cells(df: DataFrame, row: str, column: str) -> DataFrame:
-    return counts_by(df, row, column)
+    return durable(counts_by(df, row, column), "cells")
 
 
 def wide(df: DataFrame, row: str, column: str, values: Sequence, names: Sequence[str] | None = None, empty=0) -> DataFrame:

@@ -8,16 +8,19 @@ Plan, for every kind of neighbourhood:
    cells around the probe.
 3. Cells are divided into blocks that carry their total weight and their extent. A block wholly inside the
    neighbourhood adds its weight, one wholly outside adds nothing, and only blocks on the rim are opened.
-   So a crowded cell costs its blocks plus the points on the rim, not all of its pairs, and a cell meets a
-   probe in at most ``BLOCKS ** 2`` rows. Each further level of blocks thins the rim again. The number of
-   levels follows from the most crowded cell; sparse data need none.
+   So a crowded cell costs its blocks plus the points on the rim, not all of its pairs. How finely cells are
+   divided, and whether blocks are divided again, follows from how crowded the cells are; sparse data need
+   no blocks.
 4. Weights are summed per probe location, partly before the shuffle, and joined back to the rows.
+
+Distinct points and summed locations are written between these steps: each is read more than once, and a
+written table has a known size, so the planner broadcasts it only where it is small.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -28,9 +31,12 @@ from cityweave.functions.numbers import is_number
 from cityweave.operators.skew import ROWS_PER_PART, join_per_key
 from cityweave.sources.scratch import durable
 
+# Blocks along a cell's side: at most so many per level, and at most so many levels.
 BLOCKS = 8
-# Most distinct points in one cell up to which 0, 1, 2 levels of blocks are the cheapest; beyond, 3.
-CROWDS = (512, 8_192, 262_144)
+MAX_LEVELS = 3
+# Points per cell from which blocks pay off, and from which another level does.
+CROWDED = 20
+VERY_CROWDED = 8_192
 # Cells are this much wider than the reach, so rounding cannot put a match two cells away.
 SLACK = 1.1
 # Fixed values of the distance tests.
@@ -213,10 +219,9 @@ def _located(df: DataFrame, lat: str, lon: str) -> DataFrame:
     return df.where((F.col(lat) <= math.inf) & (F.col(lon) <= math.inf))
 
 
-def _levels(levels: int) -> Iterator[tuple[str, str, int]]:
-    """Names of the block indexes per level and the number of blocks along a cell's side."""
-    for level in range(1, levels + 1):
-        yield f"block_lat_{level}", f"block_lon_{level}", BLOCKS**level
+def _block_columns(sides: Sequence[int]) -> list[tuple[str, str]]:
+    """Names of the block indexes, one pair per level."""
+    return [(f"block_lat_{level}", f"block_lon_{level}") for level in range(1, len(sides) + 1)]
 
 
 def _weighted_points(points: DataFrame, lat: str, lon: str, near: Planar | GreatCircle) -> DataFrame:
@@ -235,16 +240,28 @@ def _weighted_points(points: DataFrame, lat: str, lon: str, near: Planar | Great
     )
 
 
-def _levels_for(points: DataFrame) -> int:
-    crowd = points.groupBy("cell_lat", "cell_lon").count().agg(F.max("count")).first()[0] or 0
-    return sum(crowd > limit for limit in CROWDS)
-
+def _sides_for(points: DataFrame) -> tuple[int, ...]:
+    """Blocks along a cell's side, per level, for the crowd that a point typically has in its cell.
 
-def _with_blocks(points: DataFrame, near: Planar | GreatCircle, levels: int) -> DataFrame:
+    With ``s`` blocks a probe looks at some ``18 s^2`` blocks and opens ``7 / s`` of a cell's points, which
+    is least at the cube root of a fifth of the crowd.
+    """
+    cells = points.groupBy("cell_lat", "cell_lon").agg(F.count(F.lit(1)).cast("double").alias("n"))
+    crowd = cells.agg(F.sum(F.col("n") * F.col("n")) / F.sum("n")).first()[0] or 0.0
+    if crowd < CROWDED:
+        return ()
+    sides = [max(2, min(BLOCKS, round((crowd / 5) ** (1 / 3))))]
+    while crowd > VERY_CROWDED and len(sides) < MAX_LEVELS:
+        sides.append(sides[-1] * BLOCKS)
+        crowd /= BLOCKS * BLOCKS / 2
+    return tuple(sides)
+
+
+def _with_blocks(points: DataFrame, near: Planar | GreatCircle, sides: Sequence[int]) -> DataFrame:
     size, width = near.lat_cells(), near.lon_cells(F.col("cell_lat"))
-    for block_lat, block_lon, sides in _levels(levels):
-        points = points.withColumn(block_lat, F.floor(F.col("p_lat") / (size / sides))).withColumn(
-            block_lon, F.floor(F.col("p_lon") / (width / sides))
+    for (block_lat, block_lon), n in zip(_block_columns(sides), sides):
+        points = points.withColumn(block_lat, F.floor(F.col("p_lat") / (size / n))).withColumn(
+            block_lon, F.floor(F.col("p_lon") / (width / n))
         )
     return points
 
@@ -278,7 +295,7 @@ def count_around(
     row_lon: str = "lon",
     point_lat: str = "latitude",
     point_lon: str = "longitude",
-    levels: int | None = None,
+    sides: Sequence[int] | None = None,
 ) -> DataFrame:
     """Per distinct location in ``rows``: how many rows are there and how many points are near it.
 
@@ -290,21 +307,22 @@ def count_around(
         .agg(F.count(F.lit(1)).alias("n_rows"))
     )
     leaves = _weighted_points(points, point_lat, point_lon, near)
-    levels = _levels_for(leaves) if levels is None else levels
-    leaves = _with_blocks(leaves, near, levels)
+    sides = _sides_for(leaves) if sides is None else sides
+    leaves = _with_blocks(leaves, near, sides)
     pending, keys = _probe_cells(locations, near), ["cell_lat", "cell_lon"]
     found = locations.select("q_lat", "q_lon", "n_rows", F.lit(0).cast("long").alias("weight"))
 
     def add(weights: DataFrame) -> DataFrame:
         return found.unionByName(weights.select("q_lat", "q_lon", F.lit(0).cast("long").alias("n_rows"), "weight"))
 
-    for block_lat, block_lon, _ in _levels(levels):
+    for block_lat, block_lon in _block_columns(sides):
         finer = [*keys, block_lat, block_lon]
         met = pending.join(_blocks(leaves, finer), keys)
         found = add(met.where(near.all_match()))
         pending, keys = met.where(near.may_match() & ~near.all_match()).select("q_lat", "q_lon", *finer), finer
     found = add(pending.join(leaves.select("p_lat", "p_lon", "weight", *keys), keys).where(near.matches()))
-    return found.groupBy("q_lat", "q_lon").agg(F.sum("n_rows").alias("n_rows"), F.sum("weight").alias("n_near"))
+    summed = found.groupBy("q_lat", "q_lon").agg(F.sum("n_rows").alias("n_rows"), F.sum("weight").alias("n_near"))
+    return durable(summed, "near-counts")
 
 
 def with_near_count(
@@ -314,11 +332,11 @@ def with_near_count(
     column: str,
     row_lat: str = "lat",
     row_lon: str = "lon",
-    levels: int | None = None,
+    sides: Sequence[int] | None = None,
     rows_per_part: int = ROWS_PER_PART,
 ) -> DataFrame:
     """``rows`` with the number of near points in ``column``; 0 where there is none or no location."""
-    counts = count_around(rows, points, near, row_lat, row_lon, levels=levels).select(
+    counts = count_around(rows, points, near, row_lat, row_lon, sides=sides).select(
         F.col("q_lat").alias(row_lat), F.col("q_lon").alias(row_lon), "n_rows", F.col("n_near").alias(column)
     )
     joined = join_per_key(rows, counts, [row_lat, row_lon], "n_rows", rows_per_part)
@@ -407,6 +425,7 @@ def points_per_cell(
         .groupBy("cell_lat", "cell_lon", lon, lat)
         .agg(F.count(F.lit(1)).alias("weight"))
     )
+    distinct = durable(distinct, "points")
     sizes = distinct.groupBy("cell_lat", "cell_lon").agg(F.count(F.lit(1)).alias("n_points"))
     lists = F.ceil(F.col("n_points") / points_per_list)
     digest = F.md5(F.format_string("%.7f,%.7f", F.col(lon).cast("double"), F.col(lat).cast("double")))

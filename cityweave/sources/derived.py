@@ -103,9 +103,9 @@ def raw_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 
 
 def _spread(df: DataFrame) -> DataFrame:
-    """A table that comes as one unsplittable file is written as one file per core, larger ones as they are."""
+    """A table that comes in fewer parts than there are cores is written as one file per core."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() == 1 else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def duckdb_views() -> dict[str, str]:

@@ -54,21 +54,21 @@ CIRCLES = [
 
 
 @pytest.mark.parametrize("near,test", CIRCLES)
-@pytest.mark.parametrize("levels", [0, 1, 2, 3, None])
-def test_equals_brute_force(spark, near, test, levels):
+@pytest.mark.parametrize("sides", [(), (3,), (8, 64), (2, 16, 128), None])
+def test_equals_brute_force(spark, near, test, sides):
     points = scatter(1, 500, 0.03) + scatter(2, 400, 0.002) + [(0.0, 0.0)] * 5 + [(None, 1.0), (float("nan"), 1.0)]
     probes = scatter(3, 150, 0.03) + scatter(4, 100, 0.003) + [(0.0, 0.0)] * 3 + [(None, -118.0), (34.0, None)]
-    assert counted(spark, probes, points, near, levels=levels) == brute(probes, points, test)
+    assert counted(spark, probes, points, near, sides=sides) == brute(probes, points, test)
 
 
 def test_negative_and_zero_coordinates(spark):
     points, probes = scatter(5, 300, 0.02, 0.0, 0.0), scatter(6, 100, 0.02, 0.0, 0.0)
     for near, test in CIRCLES:
-        assert counted(spark, probes, points, near, levels=1) == brute(probes, points, test)
+        assert counted(spark, probes, points, near, sides=(4,)) == brute(probes, points, test)
 
 
-@pytest.mark.parametrize("levels", [0, 2])
-def test_great_circle_across_date_line_and_near_poles(spark, levels):
+@pytest.mark.parametrize("sides", [(), (8, 64)])
+def test_great_circle_across_date_line_and_near_poles(spark, sides):
     r = random.Random(7)
     line = [(10 + r.uniform(-0.01, 0.01), r.choice((-180, 180)) * (1 - r.uniform(0, 1e-4))) for _ in range(300)]
     line = [(a, max(-180.0, min(180.0, b))) for a, b in line]
@@ -78,7 +78,7 @@ def test_great_circle_across_date_line_and_near_poles(spark, levels):
         probes, points = group[:100], group[100:]
         expected = brute(probes, points, in_great_circle)
         assert sum(expected) > 0
-        assert counted(spark, probes, points, nearby.HAVERSINE_CIRCLE, levels=levels) == expected
+        assert counted(spark, probes, points, nearby.HAVERSINE_CIRCLE, sides=sides) == expected
 
 
 def test_box_cuts_the_circle_and_its_edge_is_outside(spark):
@@ -92,12 +92,17 @@ def test_box_cuts_the_circle_and_its_edge_is_outside(spark):
     assert counted(spark, [(1.0, 1.0)], [(1.25, 1.0), (1.0, 1.125)], nearby.Planar(0.25)) == [2]
 
 
-def test_levels_follow_the_most_crowded_cell(spark):
-    _, pts = frames(spark, [], scatter(8, 2000, 0.0015))
-    placed = nearby._weighted_points(pts, "latitude", "longitude", nearby.DEGREE_CIRCLE)
-    assert nearby._levels_for(placed) == 1
+def test_blocks_follow_the_crowd(spark):
+    def sides(points):
+        return nearby._sides_for(nearby._weighted_points(points, "latitude", "longitude", nearby.DEGREE_CIRCLE))
+
+    def crowd(n):
+        return spark.range(n).select((34 + F.rand(1) / 1000).alias("latitude"), (F.rand(2) / 1000 - 118).alias("longitude"))
+
+    assert sides(crowd(10)) == () and sides(crowd(140)) == (3,) and sides(crowd(3000)) == (8,)
+    assert sides(crowd(20_000)) == (8, 64)
     copies = spark.range(100_000).select(F.lit(34.0).alias("latitude"), F.lit(-118.0).alias("longitude"))
-    assert nearby._levels_for(nearby._weighted_points(copies, "latitude", "longitude", nearby.DEGREE_CIRCLE)) == 0
+    assert sides(copies) == ()
 
 
 def test_hot_location_is_split_and_stays_whole(spark):

@@ -104,7 +104,7 @@ def test_join_per_key_keeps_every_row_once(spark):
     )
     per_key = rows.where("k is not null").groupBy("k").agg(F.count("*").alias("n"), (F.max("k") * 10).alias("v"))
     joined = join_per_key(rows, per_key, ["k"], "n", rows_per_part=50)
-    got = joined.agg(F.count("*"), F.count_distinct("id"), F.count_if("v = k * 10"), F.count_if("k is null and v is null")).first()
+    got = joined.agg(F.count("*"), F.count_distinct("id"), F.count_if(F.expr("v = k * 10")), F.count_if(F.expr("k is null and v is null"))).first()
     assert tuple(got) == (5000, 5000, 3333, 1667)
 
 
