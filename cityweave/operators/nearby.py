@@ -277,7 +277,11 @@ def _blocks(points: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def _probe_cells(locations: DataFrame, near: Planar | GreatCircle) -> DataFrame:
-    """Each probe location once per cell of its 3 x 3 surroundings."""
+    """Each probe location once per cell of its 3 x 3 surroundings.
+
+    The planner knows the size of ``locations`` when it comes to the join, but not that it grows here, so
+    it may broadcast up to nine times its threshold, and no more.
+    """
     own = geo.cell_index("q_lat", near.lat_cells())
     width = near.lon_cells(F.col("cell_lat"))
     return (
@@ -427,12 +431,12 @@ def points_per_cell(
     )
     distinct = durable(distinct, "points")
     sizes = distinct.groupBy("cell_lat", "cell_lon").agg(F.count(F.lit(1)).alias("n_points"))
-    lists = F.ceil(F.col("n_points") / points_per_list)
+    sizes = sizes.withColumn("n_lists", F.ceil(F.col("n_points") / points_per_list))
     digest = F.md5(F.format_string("%.7f,%.7f", F.col(lon).cast("double"), F.col(lat).cast("double")))
     number = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
     return (
-        distinct.join(sizes, ["cell_lat", "cell_lon"])
-        .withColumn("list_no", F.pmod(number, lists))
+        join_per_key(distinct, sizes, ["cell_lat", "cell_lon"], "n_points")
+        .withColumn("list_no", F.pmod(number, F.col("n_lists")))
         .groupBy("cell_lat", "cell_lon", "list_no")
         .agg(
             F.sum("weight").alias("n_rows"),

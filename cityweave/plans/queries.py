@@ -28,9 +28,9 @@ TOP_TYPES = 5
 TABLE_TYPES = 15
 SHARE_TYPES = 3
 KEPT_TYPES = 2
-STATUS_AT_LEAST = 10_000
-INSPECTION_TYPE_AT_LEAST = 8_500
-CRIME_TYPE_AT_LEAST = 2_700
+STATUS_AT_LEAST = 19_100
+INSPECTION_TYPE_AT_LEAST = 8_200
+CRIME_TYPE_AT_LEAST = 2_750
 SAMPLE_ROWS = 10_000
 OPENINGS_SINCE = 2010
 CURVE_PARTS = 4096
