@@ -14,7 +14,7 @@ EARTH_KM = 6371.0
 EARTH_M = 6371000.0
 BANDS = ((10.0, "0-10km"), (20.0, "10-20km"))
 OUTER_BAND = ">20km"
-# Text form "(lat, lon)": the narrow form accepts only digits with a decimal point, the loose form any text.
+# Fixed values, text form "(lat, lon)": the narrow pattern accepts only digits with a decimal point, the loose one any text.
 LAT_TEXT = r"\((-?\d+\.\d+),"
 LON_TEXT = r", (-?\d+\.\d+)\)"
 LOOSE_TEXT = r"\(([^,]+), ([^)]+)\)"

@@ -82,12 +82,13 @@ def density(df: DataFrame, column: str, points: int = CURVE_POINTS, bins: int |
         )
     ).scalar()
     n, low, high = F.col("facts.n"), F.col("facts.low"), F.col("facts.high")
-    bandwidth = F.col("facts.std") * F.pow(n.cast("double"), F.lit(-0.2))
+    # Values that are all equal have no density; the curve is NULL then.
+    bandwidth = F.when(F.col("facts.std") > 0, F.col("facts.std")) * F.pow(n.cast("double"), F.lit(-0.2))
     x = low + F.col("point") * ((high - low) / (points - 1))
     if bins is None:
         parts = numbers.select("v", F.lit(1.0).alias("weight"), F.lit(0.0).alias("variance"))
     else:
-        part = F.least(F.floor((F.col("v") - low) / (high - low) * bins), F.lit(bins - 1))
+        part = F.least(F.floor((F.col("v") - low) / F.nullif(high - low, F.lit(0.0)) * bins), F.lit(bins - 1))
         parts = (
             numbers.withColumn("facts", facts)
             .groupBy(part.alias("part"))

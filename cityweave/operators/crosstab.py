@@ -98,7 +98,7 @@ def chi_square(cells: DataFrame, row: str, column: str, alpha: float = 0.05) ->
     rest = F.when(empty > 0, F.col("total") - F.col("listed")).otherwise(0.0)
     # A 2 x 2 table has at most two empty cells, and then both have the same expected count.
     each = rest / F.greatest(empty, F.lit(1))
-    rest_corrected = F.when(empty > 0, empty * _yates(each) / each).otherwise(0.0)
+    rest_corrected = F.when((empty > 0) & (each > 0), empty * _yates(each) / each).otherwise(0.0)
     dof = ((F.col("n_rows") - 1) * (F.col("n_columns") - 1)).cast("int")
     statistic = F.when(dof == 1, F.col("corrected") + rest_corrected).when(dof > 1, F.col("plain") + rest).otherwise(0.0)
     tested = sized.select(statistic.alias("statistic"), dof.alias("dof"))

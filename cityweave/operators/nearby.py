@@ -311,7 +311,10 @@ def count_around(
         .agg(F.count(F.lit(1)).alias("n_rows"))
     )
     leaves = _weighted_points(points, point_lat, point_lon, near)
-    sides = _sides_for(leaves) if sides is None else sides
+    return durable(_summed(locations, leaves, near, _sides_for(leaves) if sides is None else sides), "near-counts")
+
+
+def _summed(locations: DataFrame, leaves: DataFrame, near: Planar | GreatCircle, sides: Sequence[int]) -> DataFrame:
     leaves = _with_blocks(leaves, near, sides)
     pending, keys = _probe_cells(locations, near), ["cell_lat", "cell_lon"]
     found = locations.select("q_lat", "q_lon", "n_rows", F.lit(0).cast("long").alias("weight"))
@@ -325,8 +328,7 @@ def count_around(
         found = add(met.where(near.all_match()))
         pending, keys = met.where(near.may_match() & ~near.all_match()).select("q_lat", "q_lon", *finer), finer
     found = add(pending.join(leaves.select("p_lat", "p_lon", "weight", *keys), keys).where(near.matches()))
-    summed = found.groupBy("q_lat", "q_lon").agg(F.sum("n_rows").alias("n_rows"), F.sum("weight").alias("n_near"))
-    return durable(summed, "near-counts")
+    return found.groupBy("q_lat", "q_lon").agg(F.sum("n_rows").alias("n_rows"), F.sum("weight").alias("n_near"))
 
 
 def with_near_count(

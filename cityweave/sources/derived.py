@@ -1,6 +1,6 @@
 """Crime, inspection and business tables derived from the benchmark tables.
 
-The reference data are large public downloads; these derived tables have the same columns, include
+The real tables are large public downloads; these derived ones have the same columns, include
 malformed dates, NULLs and (0, 0) points, and grow with the benchmark tables. Each expression is kept
 once, as text with slots for the few spots where the two SQL dialects differ.
 

@@ -113,6 +113,34 @@ def test_hot_location_is_split_and_stays_whole(spark):
     assert whole == split == brute(hot, points, in_degree_circle)
 
 
+def test_hot_cell_is_split_between_tasks(spark):
+    points, probes = scatter(12, 400, 0.003) + scatter(13, 200, 0.3), scatter(14, 4000, 0.003) + scatter(15, 300, 0.3)
+    rows, pts = frames(spark, probes, points)
+    near = nearby.DEGREE_CIRCLE
+    locations = rows.select(F.col("lat").alias("q_lat"), F.col("lon").alias("q_lon"), F.lit(1).cast("long").alias("n_rows"))
+    leaves = nearby._weighted_points(pts, "latitude", "longitude", near)
+    settings = {
+        "spark.sql.shuffle.partitions": "32",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        summed = nearby._summed(locations.repartition(8), leaves, near, ())
+        got = {(r.q_lat, r.q_lon): r.n_near for r in summed.collect()}
+        plan = summed._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert "skew=true" in plan
+    assert [got[q] for q in probes] == brute(probes, points, in_degree_circle)
+
+
 def test_buffer_counts_pairs_per_place(spark):
     rows, pts = frames(spark, [(34.0, -118.0)] * 2 + [(35.0, -118.0), (None, -118.0)], [(34.0, -118.0), (34.001, -118.0)] * 2)
     got = {(r.lat, r.lon): r.inspection_count for r in nearby.inspections_in_buffer(rows, pts).collect()}

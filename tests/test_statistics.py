@@ -125,6 +125,12 @@ def test_binned_density_is_close_to_exact(spark):
     assert 0.95 < sum(exact.values()) * (max(p.x for p in charts.density(df, "v").collect()) - min(p.x for p in charts.density(df, "v").collect())) / 199 < 1.01
 
 
+def test_density_of_equal_values_is_unknown(spark):
+    df = spark.createDataFrame([(2.0,)] * 5, "v double")
+    for bins in (None, 16):
+        assert {p.density for p in charts.density(df, "v", bins=bins).collect()} == {None}
+
+
 def test_correlation_uses_pairwise_complete_rows(spark):
     df = spark.createDataFrame([(1.0, 2.0, None), (2.0, 4.0, 1.0), (3.0, 6.5, 0.0), (4.0, None, 5.0)], "a double, b double, c double")
     got = {(r.row_variable, r.column_variable): r.correlation for r in profile.correlation_matrix(df, ["a", "b", "c"]).collect()}
