@@ -3,7 +3,8 @@
 Spark's ``percentile`` keeps every distinct value of a group in one buffer. That is the fast way while
 the values are few, which is checked first. Beyond that the order statistics are found by refinement:
 split the value range of each group into equal parts, count the parts, keep only the parts that hold a
-wanted rank, and repeat within them. Every pass is a scan with partial aggregation; no pass collects a
+wanted rank, and repeat within them until they hold few values or a single one. The two ends of a range
+never share a part, so every pass narrows it. Each pass is a scan with partial aggregation; none collects a
 group, and the tables between passes hold a few rows per group.
 """
 
@@ -20,7 +21,6 @@ from cityweave.sources.scratch import durable
 # Distinct values per group up to which the built-in aggregate is used.
 BUFFERED_VALUES = 500_000
 PARTS = 65_536
-PASSES = 2
 
 
 def quantiles(
@@ -47,7 +47,7 @@ def quantiles(
         levels = F.array(*[F.lit(p) for p in probabilities.values()])
         found = numbers.groupBy(*by).agg(F.percentile("v", levels).alias("q"))
         return found.select(*by, *[F.col("q")[i].alias(name) for i, name in enumerate(probabilities)])
-    return _refined(numbers, profile, probabilities, by)
+    return _refined(numbers, profile, probabilities, by, buffered_values)
 
 
 def _numbers(df: DataFrame, value: str, by: list[str]) -> DataFrame:
@@ -58,17 +58,21 @@ def _numbers(df: DataFrame, value: str, by: list[str]) -> DataFrame:
     return df.where(kept).select(*by, v.alias("v")).where(is_number("v"))
 
 
-def _refined(numbers: DataFrame, profile: DataFrame, probabilities: Mapping[str, float], by: list[str]) -> DataFrame:
+def _refined(
+    numbers: DataFrame, profile: DataFrame, probabilities: Mapping[str, float], by: list[str], few: int
+) -> DataFrame:
     """Order statistics by repeated range splitting. Ranks count from 0."""
     profile = profile.where(F.col("n") > 0)
     names = F.array(*[F.struct(F.lit(k).alias("name"), F.lit(p).alias("p")) for k, p in probabilities.items()])
     wanted = profile.select(*by, "n", "low", "high", F.explode(names).alias("w")).select(
-        *by, "low", "high", "w.name", (F.col("w.p") * (F.col("n") - 1)).alias("position")
+        *by, "low", "high", "n", "w.name", (F.col("w.p") * (F.col("n") - 1)).alias("position")
     )
     ranks = F.array_distinct(F.array(F.floor("position"), F.ceil("position")))
-    state = wanted.withColumn("rank", F.explode(ranks)).select(*by, "low", "high", "rank").distinct()
+    state = wanted.withColumn("rank", F.explode(ranks)).select(*by, "low", "high", "rank", "n").distinct()
     state = durable(state.withColumn("local", F.col("rank")), "quantile-ranks")
-    for _ in range(PASSES):
+    most, before = _most_values(state), None
+    # Without progress, which only infinite values cause, the rest is left to the last, always exact step.
+    while most > few and most != before:
         spread = F.col("high") - F.col("low")
         part = F.least(F.floor((F.col("v") - F.col("low")) / spread * PARTS), F.lit(PARTS - 1))
         counted = (
@@ -83,20 +87,28 @@ def _refined(numbers: DataFrame, profile: DataFrame, probabilities: Mapping[str,
                 F.col("part_low").alias("low"),
                 F.col("part_high").alias("high"),
                 "rank",
+                "n",
                 (F.col("local") - F.col("before")).alias("local"),
             ),
             "quantile-ranks",
         )
+        most, before = _most_values(state), most
     single = _within(numbers, state, by).groupBy(*by, "low", "high", "v").agg(F.count("v").alias("n"))
     values = durable(_pick(state, single, by, "v").select(*by, "rank", "v"), "quantile-values")
     below, above = values.withColumnsRenamed({"rank": "r0", "v": "v0"}), values.withColumnsRenamed({"rank": "r1", "v": "v1"})
     lower = wanted.withColumns({"r0": F.floor("position"), "r1": F.ceil("position")})
     both = lower.join(below, [*by, "r0"]).join(above, [*by, "r1"])
     share = F.col("position") - F.col("r0")
-    result = (1 - share) * F.col("v0") + share * F.col("v1")
+    between = (1 - share) * F.col("v0") + share * F.col("v1")
+    result = F.when(F.col("v0") == F.col("v1"), F.col("v0")).otherwise(between)
     return both.groupBy(*by).agg(*[F.max(F.when(F.col("name") == k, result)).alias(k) for k in probabilities])
 
 
+def _most_values(state: DataFrame) -> int:
+    """Values in the fullest range that still holds different ones."""
+    return state.where("high > low").agg(F.max("n")).first()[0] or 0
+
+
 def _within(numbers: DataFrame, state: DataFrame, by: list[str]) -> DataFrame:
     """Values that lie in a range still of interest. ``state`` is small and written, so it is broadcast if it fits."""
     ranges = state.select(*by, "low", "high").distinct()
@@ -111,4 +123,4 @@ def _pick(state: DataFrame, counted: DataFrame, by: list[str], order: str) -> Da
     running = Window.partitionBy(*by, "low", "high").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     located = counted.withColumn("upto", F.sum("n").over(running)).withColumn("before", F.col("upto") - F.col("n"))
     hit: Column = (F.col("local") >= F.col("before")) & (F.col("local") < F.col("upto"))
-    return located.join(state, [*by, "low", "high"]).where(hit)
+    return located.join(state.drop("n"), [*by, "low", "high"]).where(hit)

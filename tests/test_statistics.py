@@ -17,18 +17,20 @@ def numbers(spark, shape):
     rows = []
     for g in ("x", "y", "z"):
         for _ in range({"x": 2000, "y": 101, "z": 1}[g]):
-            v = {"even": r.uniform(-5, 50), "spiky": r.lognormvariate(0, 6), "copies": float(r.choice([1, 1, 1, 2, 7]))}[shape]
+            v = {"even": r.uniform(-5, 50), "spiky": r.lognormvariate(0, 6), "copies": float(r.choice([1, 1, 1, 2, 7])),
+                 "scales": r.choice([-1, 1]) * 10.0 ** r.randint(-30, 30), "infinite": r.choice([r.random(), float("inf")])}[shape]
             rows.append((g, v))
     rows += [("x", None), ("y", float("nan")), (None, 1.0)]
     return spark.createDataFrame(rows, "g string, v double")
 
 
-@pytest.mark.parametrize("shape", ["even", "spiky", "copies"])
-@pytest.mark.parametrize("by", [[], ["g"]])
-def test_refined_quantiles_equal_the_built_in(spark, shape, by):
+@pytest.mark.parametrize(
+    "shape,by,few", [("even", ["g"], 0), ("spiky", [], 3), ("copies", ["g"], 0), ("scales", [], 100), ("infinite", [], 0)]
+)
+def test_refined_quantiles_equal_the_built_in(spark, shape, by, few):
     df = numbers(spark, shape)
     built_in = sorted(map(tuple, quantiles(df, "v", LEVELS, by).collect()))
-    refined = sorted(map(tuple, quantiles(df, "v", LEVELS, by, buffered_values=0).collect()))
+    refined = sorted(map(tuple, quantiles(df, "v", LEVELS, by, buffered_values=few).collect()))
     assert len(built_in) == (3 if by else 1)
     for b, r in zip(built_in, refined):
         assert b[: len(by)] == r[: len(by)] and r[len(by) :] == pytest.approx(b[len(by) :], rel=1e-12)
