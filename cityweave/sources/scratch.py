@@ -1,12 +1,14 @@
 """Intermediate tables in the folder that every executor can reach.
 
-The folder is the one named by ``spark.checkpoint.dir``. A local session without that setting gets a
-temporary folder; anywhere else a missing setting is an error, because a machine-local folder would be
-lost with its executor.
+The folder is the one named by ``spark.checkpoint.dir``. A session whose driver is its only executor
+(``local`` or ``local[n]``) and that lacks the setting gets a temporary folder; anywhere else,
+``local-cluster`` included, a missing setting is an error, because a machine-local folder would be lost
+with its executor.
 """
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -20,7 +22,7 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get(SETTING, None)
     if folder:
         return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.conf.get("spark.master", "")):
         raise RuntimeError(f"set {SETTING} to a folder shared by all executors")
     app = spark.conf.get("spark.app.id")
     if app not in _local_folders:
