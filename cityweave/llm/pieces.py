@@ -1,6 +1,6 @@
 """Sampled SentencePiece segmentation: forward filtering, backward sampling over the piece lattice.
 
-A piece of rank r weighs (r + 1) ** -theta, a segmentation the product of its pieces. Forward filtering adds up the
+A piece of id r weighs (r + 1) ** -theta, a segmentation the product of its pieces. Forward filtering adds up the
 weights of all segmentations that end at each position; backward sampling then draws the last piece, the one
 before it, and so on, so a segmentation comes out with exactly its share of the total weight. The random
 numbers of a row come from its key and the seed: the same row is always cut the same way, wherever it runs.
@@ -17,6 +17,7 @@ once on the driver, from a path that is a parameter; its pieces go to the tasks
 
 from __future__ import annotations
 
+import gc
 import math
 import random
 import re
@@ -24,6 +25,7 @@ from bisect import bisect
 from collections.abc import Iterator
 from typing import NamedTuple
 
+import ahocorasick
 import numpy as np
 import pandas as pd
 import sentencepiece
@@ -36,25 +38,29 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 THETA = 0.5
 SEED = 13
 SPACE = "▁"
-REMEMBERED = 200_000
-LONGEST_REMEMBERED = 48
-_CHUNK = re.compile(r" *[^ \n]+|\n| +")
+LIFT = 6.0
+LONG = 100
+REMEMBERED = 50_000
+LONGEST_REMEMBERED = 20
+#: Two ways to cut a text where no piece can reach across: before spaces and line breaks, and also behind words.
+_CHUNK = re.compile(r" *+[^ \n]+|\n| +")
+_WORDS = re.compile(r" *+[^\w \n]*+\w+| *+[^\w \n]+|\n| +")
 
 
 class Vocabulary(NamedTuple):
-    ids: dict[str, int]  # with spaces for the space symbol
-    weights: list[float]  # log weight by id
+    pieces: list[tuple[str, int, float]]  # with spaces for the space symbol; id and weight
+    weights: list[float]  # by id
     byte_ids: list[int]
     text: list[bytes]  # by id
-    longest: int
+    crossing: frozenset[str]  # characters behind which a piece goes on from a word into punctuation
 
 
 def read_vocabulary(path: str = MODEL, theta: float = THETA) -> Vocabulary:
     model = sentencepiece.SentencePieceProcessor(model_file=path)
-    ids, weights, text, byte_ids = {}, [], [], [0] * 256
+    pieces, weights, text, byte_ids = [], [], [], [0] * 256
     for i in range(model.get_piece_size()):
         piece = model.id_to_piece(i).replace(SPACE, " ")
-        weights.append(-theta * math.log(i + 1))
+        weights.append((i + 1.0) ** -theta)
         if model.is_byte(i):
             byte = int(piece[3:-1], 16)
             byte_ids[byte] = i
@@ -64,70 +70,134 @@ def read_vocabulary(path: str = MODEL, theta: float = THETA) -> Vocabulary:
         else:
             if " " in piece.lstrip(" ") or "\n" in piece:
                 raise ValueError(f"piece {piece!r} crosses a chunk")
-            ids[piece] = i
+            pieces.append((piece, i, weights[i]))
             text.append(piece.encode())
-    return Vocabulary(ids, weights, byte_ids, text, max(map(len, ids)))
-
-
-def lattice(chunk: str, v: Vocabulary) -> list:
-    """For each end position (start, ids) choices with the cumulated shares of their weight."""
-    ids, weights, total, table = v.ids, v.weights, [0.0], [None]
-    for end in range(1, len(chunk) + 1):
-        choices, logs = [], []
-        for start in range(max(0, end - v.longest), end):
-            i = ids.get(chunk[start:end])
-            if i is not None:
-                choices.append((start, (i,)))
-                logs.append(total[start] + weights[i])
-        if not choices or choices[-1][0] != end - 1:
-            raw = tuple(v.byte_ids[b] for b in chunk[end - 1].encode("utf-8", "surrogatepass"))
-            choices.append((end - 1, raw))
-            logs.append(total[end - 1] + sum(weights[i] for i in raw))
-        most = max(logs)
-        shares = [math.exp(x - most) for x in logs]
-        whole = sum(shares)
-        total.append(most + math.log(whole))
-        if len(choices) == 1:
-            table.append((choices[0], None, None))
-            continue
-        run, cumulated = 0.0, []
-        for x in shares[:-1]:
-            run += x / whole
-            cumulated.append(run)
-        table.append((None, cumulated, choices))
-    return table
+    crossing = {part[-1] for p, _, _ in pieces for part in _WORDS.findall(p)[:-1]}
+    return Vocabulary(pieces, weights, byte_ids, text, frozenset(crossing))
+
+
+def _entry(total: float, masses: list[tuple[float, int, int]]) -> tuple:
+    """Of one end position: its total, the running sums of all choices but the last, the choices (start, id).
+
+    The shortest choice comes first. ``draw_once`` goes through them in the same order with the same sums, so a row is cut
+    the same way whether or not a chunk is remembered.
+    """
+    run, sums, choices = 0.0, [], []
+    for mass, start, i in reversed(masses):
+        run += mass
+        sums.append(run)
+        choices.append((start, i))
+    return total, sums[:-1], choices
 
 
 class Sampler:
-    """Draws segmentations; keeps the lattices of short chunks."""
+    """Draws segmentations; keeps the lattices of short chunks, up to a fixed number.
+
+    A lattice has an entry for each end position. All weights are multiplied by ``LIFT`` per character, which is the same for every
+    segmentation and keeps the sums of long chunks in range; those of very long ones are rescaled as they run.
+    """
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary, self.kept = vocabulary, {}
+        self.automaton = ahocorasick.Automaton()
+        for piece, i, weight in vocabulary.pieces:
+            self.automaton.add_word(piece, (len(piece), i, weight * LIFT ** len(piece)))
+        self.automaton.make_automaton()
+        self.singles = {p for p, _, _ in vocabulary.pieces if len(p) == 1}
+        self.longest = max(len(p) for p, _, _ in vocabulary.pieces)
+        self.spelled: list[tuple[int, ...]] = []  # byte ids of characters without a piece, from the last to the first
+        self.spelled_at: dict[str, int] = {}
 
     def lattice_of(self, chunk: str) -> list:
-        found = self.kept.get(chunk)
-        if found is None:
-            found = lattice(chunk, self.vocabulary)
-            if len(chunk) <= LONGEST_REMEMBERED:
-                if len(self.kept) >= REMEMBERED:
-                    self.kept.clear()
-                self.kept[chunk] = found
-        return found
+        n = len(chunk)
+        if n > LONG or not self.singles.issuperset(chunk):
+            return self.careful_lattice(chunk)
+        total, masses = [0.0] * (n + 1), [[] for _ in range(n + 1)]
+        total[0] = 1.0
+        for last, (length, i, weight) in self.automaton.iter(chunk):
+            end = last + 1
+            mass = total[end - length] * weight
+            total[end] += mass
+            masses[end].append((mass, end - length, i))
+        return [_entry(t, m) for t, m in zip(total, masses)]
+
+    def careful_lattice(self, chunk: str) -> list:
+        """The same with characters that have no piece, and at any length."""
+        found: list[list] = [[] for _ in chunk]
+        for last, match in self.automaton.iter(chunk):
+            found[last].append(match)
+        total, table = [1.0], [(1.0, [], [])]
+        for end, (character, matches) in enumerate(zip(chunk, found), 1):
+            if character not in self.singles:
+                matches.append((1, *self.spell(character)))
+            masses = [(total[end - length] * weight, end - length, i) for length, i, weight in matches]
+            run = sum(mass for mass, _, _ in masses)
+            table.append(_entry(run, masses))
+            total.append(run)
+            if not 1e-60 < run < 1e60:
+                total[-self.longest :] = [t / run for t in total[-self.longest :]]
+        return table
+
+    def draw_once(self, chunk: str, draw, out: list[int]) -> None:
+        """Filter and sample a chunk that is not remembered: only the sums are kept, and the choices are found again."""
+        at = len(chunk)
+        total = [0.0] * (at + 1)
+        total[0] = 1.0
+        matches = list(self.automaton.iter(chunk))
+        for last, (length, _, weight) in matches:
+            total[last + 1] += total[last + 1 - length] * weight
+        goal, run, length, i = draw() * total[at], 0.0, 0, 0
+        for last, match in reversed(matches):
+            if last + 1 < at and length:
+                # All choices of this end were looked at: the last of them is it.
+                out.append(i)
+                at -= length
+                goal, run, length = draw() * total[at], 0.0, 0
+            if last + 1 == at:
+                length, i, weight = match
+                run += total[at - length] * weight
+                if goal < run:
+                    out.append(i)
+                    at -= length
+                    if at:
+                        goal, run, length = draw() * total[at], 0.0, 0
+        if at:
+            out.append(i)
+
+    def spell(self, character: str) -> tuple[int, float]:
+        """A negative mark for the bytes of a character, and their weight."""
+        ids = [self.vocabulary.byte_ids[b] for b in character.encode("utf-8", "surrogatepass")]
+        at = self.spelled_at.get(character)
+        if at is None:
+            at = self.spelled_at[character] = len(self.spelled)
+            self.spelled.append(tuple(reversed(ids)))
+        return -1 - at, LIFT * math.prod(self.vocabulary.weights[i] for i in ids)
 
     def encode(self, text: str, draw) -> list[int]:
-        """``draw`` gives random numbers in [0, 1)."""
+        """``draw`` gives random numbers in [0, 1). Works from the last chunk to the first."""
         if not text:
             return []
-        out, kept = [], self.kept
-        for chunk in _CHUNK.findall(" " + text):
-            table = kept.get(chunk) or self.lattice_of(chunk)
-            at, back = len(chunk), []
+        out, kept, singles = [], self.kept, self.singles
+        put = out.append
+        cut = _WORDS if self.vocabulary.crossing.isdisjoint(text) else _CHUNK
+        for chunk in reversed(cut.findall(" " + text)):
+            table = kept.get(chunk)
+            if table is None:
+                if len(kept) >= REMEMBERED and len(chunk) <= LONG and singles.issuperset(chunk):
+                    self.draw_once(chunk, draw, out)
+                    continue
+                table = self.lattice_of(chunk)
+                if len(kept) < REMEMBERED and len(chunk) <= LONGEST_REMEMBERED:
+                    kept[chunk] = table
+            at = len(chunk)
             while at:
-                only, cumulated, choices = table[at]
-                at, ids = only or choices[bisect(cumulated, draw())]
-                back.append(ids)
-            for ids in reversed(back):
-                out += ids
+                total, sums, choices = table[at]
+                at, i = choices[bisect(sums, draw() * total)]
+                if i >= 0:
+                    put(i)
+                else:
+                    out += self.spelled[-1 - i]
+        out.reverse()
         return out
 
 
@@ -146,9 +216,11 @@ def encode_column(text: Column, key: Column, vocabulary: Vocabulary, seed: int =
     def encoded(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         sampler = Sampler(vocabulary)
         for texts, keys in batches:
+            gc.disable()  # nothing here is cyclic, and looking through the lattices again and again is slow
             # Keys come as text, as a column of numbers with NULL in it would turn into floats.
-            cut = [sampler.encode(t, key_draw(k, seed)) for t, k in zip(texts, keys)]
-            yield pd.Series([np.array(ids, np.int32) for ids in cut], dtype=object)
+            cut = [np.array(sampler.encode(t, key_draw(k, seed)), np.int32) for t, k in zip(texts, keys)]
+            gc.enable()
+            yield pd.Series(cut, dtype=object)
 
     return encoded(text, key.cast("string"))
 
