@@ -30,11 +30,12 @@ from cityweave.sources.scratch import durable
 
 K = 20
 EVERY = 20
-PIVOTS = 24
+PIVOTS = 16
 PIVOT_SAMPLE = 512  # rows from which the pivots are picked, by a hash of their ids
 BLOCK_ROWS = 16_384
 BLOCK_QUERIES = 1024
-AT_ONCE = 128
+FIRST_PART = 256
+GROWTH = 8
 LARGEST_SQUARE = 1 << 62
 _NO_ID = np.iinfo(np.int64).max
 
@@ -79,26 +80,37 @@ def best_of(
     query: np.ndarray, query_id: int, reach: np.ndarray, rows: np.ndarray, ids: np.ndarray, table: np.ndarray,
     squares: np.ndarray, k: int,
 ) -> tuple[list[tuple[int, int]], int]:
-    """The best k (vec_id, score) of a block for one query, and how many rows were evaluated."""
-    lower = np.zeros(len(ids))
-    for mine, theirs in zip(reach, table):
+    """The best k (vec_id, score) of a block for one query, and how many rows were evaluated.
+
+    Rows are taken in parts of growing size in order of their bound; within a part the order is of no use.
+    """
+    lower = np.zeros(len(ids), table.dtype)
+    for mine, theirs in zip(reach.astype(table.dtype), table):
         np.maximum(lower, np.abs(theirs - mine), out=lower)
     square = float((query * query).sum())
+    bound = squares - lower * lower
     # Rounding must not push a bound below a score.
-    slack = 1 + 1e-9 * (square + float(squares.max(initial=0.0)) + float(table.max(initial=0.0)) ** 2)
-    bound = 0.5 * (square + squares - lower * lower) + slack
-    bound[ids == query_id] = -np.inf
-    order = np.argsort(-bound, kind="stable")
-    order = order[: np.count_nonzero(bound > -np.inf)]
-    scores, seen = np.empty(0, np.int64), 0
-    worst = -math.inf
-    while seen < len(order) and bound[order[seen]] >= worst:
-        part = order[seen : seen + AT_ONCE]
-        scores = np.concatenate([scores, (rows[part] @ query).astype(np.int64)])
-        seen += len(part)
-        if seen >= k:
-            worst = float(np.partition(scores, len(scores) - k)[len(scores) - k])
-    met = order[:seen]
+    slack = 1 + 8 * np.finfo(table.dtype).eps * (float(squares.max(initial=0)) + float(table.max(initial=0)) ** 2 + square)
+    bound = 0.5 * (bound + square) + slack
+    left = np.flatnonzero(ids != query_id)
+    met, scores, seen, part = left[:0], np.empty(0, np.int64), 0, FIRST_PART
+    while len(left):
+        now = left
+        if len(left) > part:
+            order = np.argpartition(bound[left], len(left) - part)
+            left, now = left[order[:-part]], left[order[-part:]]
+        else:
+            left = left[:0]
+        seen += len(now)
+        # Nearly all rows of the block: faster in place than copied.
+        found = (rows @ query)[now] if 2 * len(now) > len(ids) else rows[now] @ query
+        met, scores = np.concatenate([met, now]), np.concatenate([scores, found.astype(np.int64)])
+        if len(scores) >= k:
+            worst = np.partition(scores, len(scores) - k)[len(scores) - k]
+            good = scores >= worst
+            met, scores = met[good], scores[good]
+            left = left[bound[left] >= worst]
+        part *= GROWTH
     top = np.lexsort((ids[met], -scores))[:k]
     return [(int(ids[met[i]]), int(scores[i])) for i in top], seen
 
@@ -151,7 +163,10 @@ def search(vectors: DataFrame, k: int = K, every: int = EVERY) -> DataFrame:
         out = []
         if len(q) and len(x):
             m = matrix(x["v"], width)
-            table, squares = np.stack(x["reach"].to_list(), axis=1), (m.astype(float) ** 2).sum(axis=1)
+            table = np.stack(x["reach"].to_list(), axis=1)
+            squares = (m.astype(float) ** 2).sum(axis=1)
+            if largest < 1 << 40:  # half the memory traffic; the bounds allow for the rounding
+                table, squares = table.astype(np.float32), squares.astype(np.float32)
             ids = x["vec_id"].to_numpy(np.int64)
             m = m.astype(number)
             for query_id, v, reach in zip(q["vec_id"], matrix(q["v"], width).astype(number), q["reach"]):
