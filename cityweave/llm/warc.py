@@ -1,7 +1,7 @@
 """WARC archives: write pages, read them back, merge the index into capture histories.
 
 Records with equal payloads of at least ``LEAST_SHARED`` bytes are stored once: that of the smallest page_id is the
-response, the others are revisits that refer to it. Archives are plain WARC files of bounded size in the shared
+response, the others are revisits that refer to it. Archives are gzipped WARC files of bounded size in the shared
 folder; Spark's text sink writes them with the two line ends that close a record as its separator. The reader goes by
 Content-Length, so nothing inside a payload can be taken for a record, and computes the digest of what it
 has read.
@@ -17,6 +17,7 @@ ends in a URL are percent-encoded; an empty table gives no archive records; extr
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import re
 from collections.abc import Iterator, Sequence
@@ -108,19 +109,19 @@ def record(pages: DataFrame) -> Column:
 
 
 def write_archives(pages: DataFrame, path: str, archive_bytes: int = ARCHIVE_BYTES) -> None:
-    """Write ``pages`` as WARC files of about ``archive_bytes`` (one record at least)."""
+    """Write ``pages`` as WARC files of about ``archive_bytes`` before compression (one record at least)."""
     total = pages.agg(F.sum(F.octet_length("html") + F.octet_length("url") + 600)).first()[0] or 0
     found = classify(pages)
     files = found.select(record(found).alias("value"), F.xxhash64("page_id", "url", "payload_digest").alias("mark"))
     dealt = files.repartition(int(total // archive_bytes) + 1, "mark").select("value")
-    dealt.write.option("lineSep", END).text(path)
+    dealt.write.option("lineSep", END).option("compression", "gzip").text(path)
 
 
 _PAGE = re.compile(rb"<urn:page:(-?\d+)>")
 
 
 def records_of(archive: bytes) -> Iterator[tuple[int, dict[bytes, bytes], bytes]]:
-    """(offset, headers, block) of each record."""
+    """(offset, headers, block) of each record of an unpacked archive."""
     at = 0
     while at < len(archive):
         end = archive.index(b"\r\n\r\n", at)
@@ -187,7 +188,7 @@ def read_captures(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for run, content in zip(batch.column(0), batch.column(1)):
                 name = run.as_py()
-                yield _batch([(name, *row) for row in _captures(content.as_py())], CAPTURE)
+                yield _batch([(name, *row) for row in _captures(gzip.decompress(content.as_py()))], CAPTURE)
 
     kind = ", ".join(f"{name} {kind}" for name, kind in CAPTURE)
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
