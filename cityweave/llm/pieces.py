@@ -6,7 +6,7 @@ before it, and so on, so a segmentation comes out with exactly its share of the
 numbers of a row come from its key and the seed: the same row is always cut the same way, wherever it runs.
 
 Pieces with a space have it only at their start, so every chunk of spaces and what follows them is a lattice of its own.
-The filtered lattices of short chunks are remembered, up to a fixed number per task. A character without a piece
+The cuts of short chunks are remembered, up to a fixed number per task. A character without a piece
 is written as its UTF-8 bytes. Decoding joins the pieces' bytes and gives back the very text, line breaks and the
 space symbol included.
 
@@ -23,6 +23,7 @@ import random
 import re
 from bisect import bisect
 from collections.abc import Iterator
+from itertools import accumulate
 from typing import NamedTuple
 
 import ahocorasick
@@ -39,9 +40,11 @@ THETA = 0.5
 SEED = 13
 SPACE = "▁"
 LIFT = 6.0
-LONG = 100
-REMEMBERED = 50_000
-LONGEST_REMEMBERED = 20
+SHORT = 16
+BELOW_ONE = 1 - 2.0**-53
+MARGIN = 1e-11
+REMEMBERED = 200_000
+MOST_CUTS = 12
 #: Two ways to cut a text where no piece can reach across: before spaces and line breaks, and also behind words.
 _CHUNK = re.compile(r" *+[^ \n]+|\n| +")
 _WORDS = re.compile(r" *+[^\w \n]*+\w+| *+[^\w \n]+|\n| +")
@@ -76,127 +79,119 @@ def read_vocabulary(path: str = MODEL, theta: float = THETA) -> Vocabulary:
     return Vocabulary(pieces, weights, byte_ids, text, frozenset(crossing))
 
 
-def _entry(total: float, masses: list[tuple[float, int, int]]) -> tuple:
-    """Of one end position: its total, the running sums of all choices but the last, the choices (start, id).
-
-    The shortest choice comes first. ``draw_once`` goes through them in the same order with the same sums, so a row is cut
-    the same way whether or not a chunk is remembered.
-    """
-    run, sums, choices = 0.0, [], []
-    for mass, start, i in reversed(masses):
-        run += mass
-        sums.append(run)
-        choices.append((start, i))
-    return total, sums[:-1], choices
-
-
 class Sampler:
-    """Draws segmentations; keeps the lattices of short chunks, up to a fixed number.
+    """Draws segmentations, and remembers those of short chunks.
 
-    A lattice has an entry for each end position. All weights are multiplied by ``LIFT`` per character, which is the same for every
-    segmentation and keeps the sums of long chunks in range; those of very long ones are rescaled as they run.
+    All weights are multiplied by ``LIFT`` per character, which is the same for every segmentation and keeps the sums
+    of long chunks in range; those of very long ones are rescaled as they run.
+
+    A chunk of up to ``SHORT`` characters is cut by one random number u: each backward step takes the choice in whose
+    share u falls, and where in that share decides the next step. So each cut belongs to an interval of numbers. The
+    intervals met are remembered, less a margin far above the rounding, which spares the filtering of frequent chunks
+    and never changes a result.
     """
 
     def __init__(self, vocabulary: Vocabulary):
-        self.vocabulary, self.kept = vocabulary, {}
+        self.vocabulary = vocabulary
+        self.known: dict[str, list] = {}  # by chunk [from, to, ids from the last to the first] after another
         self.automaton = ahocorasick.Automaton()
         for piece, i, weight in vocabulary.pieces:
             self.automaton.add_word(piece, (len(piece), i, weight * LIFT ** len(piece)))
         self.automaton.make_automaton()
         self.singles = {p for p, _, _ in vocabulary.pieces if len(p) == 1}
         self.longest = max(len(p) for p, _, _ in vocabulary.pieces)
-        self.spelled: list[tuple[int, ...]] = []  # byte ids of characters without a piece, from the last to the first
-        self.spelled_at: dict[str, int] = {}
-
-    def lattice_of(self, chunk: str) -> list:
-        n = len(chunk)
-        if n > LONG or not self.singles.issuperset(chunk):
-            return self.careful_lattice(chunk)
-        total, masses = [0.0] * (n + 1), [[] for _ in range(n + 1)]
-        total[0] = 1.0
-        for last, (length, i, weight) in self.automaton.iter(chunk):
-            end = last + 1
-            mass = total[end - length] * weight
-            total[end] += mass
-            masses[end].append((mass, end - length, i))
-        return [_entry(t, m) for t, m in zip(total, masses)]
-
-    def careful_lattice(self, chunk: str) -> list:
-        """The same with characters that have no piece, and at any length."""
+
+    def cut_short(self, chunk: str, u: float) -> tuple[float, float, tuple[int, ...]]:
+        """Cut a chunk of characters that all have pieces: bounds of the numbers cut so, ids from the last to the first.
+
+        The sums of end position e stand at index e - 1, that of the start at -1.
+        """
+        at = len(chunk) - 1
+        total = [0.0] * (at + 1)
+        total.append(1.0)
+        matches = list(self.automaton.iter(chunk))
+        for last, (length, _, weight) in matches:
+            total[last] += total[last - length] * weight
+        out, low, width, k = [], 0.0, 1.0, len(matches) - 1
+        while at >= 0:
+            while matches[k][0] > at:
+                k -= 1
+            whole, run = total[at], 0.0
+            goal = u * whole
+            while True:  # over the choices of this end, the shortest first
+                length, i, weight = matches[k][1]
+                mass = total[at - length] * weight
+                k -= 1
+                if goal < run + mass or k < 0 or matches[k][0] < at:
+                    break
+                run += mass
+            out.append(i)
+            low += width * (run / whole)
+            width *= mass / whole
+            u = min((goal - run) / mass, BELOW_ONE)
+            at -= length
+        return low + MARGIN, low + width - MARGIN, tuple(out)
+
+    def cut_any(self, chunk: str, draw) -> list[int]:
+        """The same for chunks of any length and characters, with a random number for each step."""
         found: list[list] = [[] for _ in chunk]
         for last, match in self.automaton.iter(chunk):
             found[last].append(match)
-        total, table = [1.0], [(1.0, [], [])]
+        total = [1.0]
+        masses: list[list[float]] = [[]]
         for end, (character, matches) in enumerate(zip(chunk, found), 1):
             if character not in self.singles:
                 matches.append((1, *self.spell(character)))
-            masses = [(total[end - length] * weight, end - length, i) for length, i, weight in matches]
-            run = sum(mass for mass, _, _ in masses)
-            table.append(_entry(run, masses))
-            total.append(run)
-            if not 1e-60 < run < 1e60:
-                total[-self.longest :] = [t / run for t in total[-self.longest :]]
-        return table
-
-    def draw_once(self, chunk: str, draw, out: list[int]) -> None:
-        """Filter and sample a chunk that is not remembered: only the sums are kept, and the choices are found again."""
-        at = len(chunk)
-        total = [0.0] * (at + 1)
-        total[0] = 1.0
-        matches = list(self.automaton.iter(chunk))
-        for last, (length, _, weight) in matches:
-            total[last + 1] += total[last + 1 - length] * weight
-        goal, run, length, i = draw() * total[at], 0.0, 0, 0
-        for last, match in reversed(matches):
-            if last + 1 < at and length:
-                # All choices of this end were looked at: the last of them is it.
-                out.append(i)
-                at -= length
-                goal, run, length = draw() * total[at], 0.0, 0
-            if last + 1 == at:
-                length, i, weight = match
-                run += total[at - length] * weight
-                if goal < run:
-                    out.append(i)
-                    at -= length
-                    if at:
-                        goal, run, length = draw() * total[at], 0.0, 0
-        if at:
-            out.append(i)
+            sums = list(accumulate(total[end - length] * weight for length, _, weight in matches))
+            masses.append(sums)
+            total.append(sums[-1])
+            if not 1e-60 < sums[-1] < 1e60:
+                total[-self.longest :] = [t / sums[-1] for t in total[-self.longest :]]
+        out, at = [], len(chunk)
+        while at:
+            sums, matches = masses[at], found[at - 1]
+            length, i, _ = matches[bisect(sums, draw() * sums[-1], 0, len(sums) - 1)]
+            out += i if isinstance(i, tuple) else (i,)
+            at -= length
+        return out
 
-    def spell(self, character: str) -> tuple[int, float]:
-        """A negative mark for the bytes of a character, and their weight."""
+    def spell(self, character: str) -> tuple[tuple[int, ...], float]:
+        """The bytes of a character without a piece, from the last to the first, and their weight."""
         ids = [self.vocabulary.byte_ids[b] for b in character.encode("utf-8", "surrogatepass")]
-        at = self.spelled_at.get(character)
-        if at is None:
-            at = self.spelled_at[character] = len(self.spelled)
-            self.spelled.append(tuple(reversed(ids)))
-        return -1 - at, LIFT * math.prod(self.vocabulary.weights[i] for i in ids)
+        return tuple(reversed(ids)), LIFT * math.prod(self.vocabulary.weights[i] for i in ids)
+
+    def learn(self, chunk: str, u: float) -> tuple[int, ...]:
+        """Cut a short chunk and remember for which numbers it is cut so."""
+        low, high, ids = self.cut_short(chunk, u)
+        spans = self.known.get(chunk)
+        if spans is None:
+            if len(self.known) < REMEMBERED:
+                self.known[chunk] = [low, high, ids]
+        elif len(spans) < 3 * MOST_CUTS and low < high:
+            spans += (low, high, ids)
+        return ids
 
     def encode(self, text: str, draw) -> list[int]:
         """``draw`` gives random numbers in [0, 1). Works from the last chunk to the first."""
         if not text:
             return []
-        out, kept, singles = [], self.kept, self.singles
-        put = out.append
+        out, known, singles = [], self.known, self.singles
         cut = _WORDS if self.vocabulary.crossing.isdisjoint(text) else _CHUNK
         for chunk in reversed(cut.findall(" " + text)):
-            table = kept.get(chunk)
-            if table is None:
-                if len(kept) >= REMEMBERED and len(chunk) <= LONG and singles.issuperset(chunk):
-                    self.draw_once(chunk, draw, out)
-                    continue
-                table = self.lattice_of(chunk)
-                if len(kept) < REMEMBERED and len(chunk) <= LONGEST_REMEMBERED:
-                    kept[chunk] = table
-            at = len(chunk)
-            while at:
-                total, sums, choices = table[at]
-                at, i = choices[bisect(sums, draw() * total)]
-                if i >= 0:
-                    put(i)
+            spans = known.get(chunk)
+            if spans is None:
+                if len(chunk) > SHORT or not singles.issuperset(chunk):
+                    out += self.cut_any(chunk, draw)
                 else:
-                    out += self.spelled[-1 - i]
+                    out += self.learn(chunk, draw())
+                continue
+            u = draw()
+            for k in range(0, len(spans), 3):
+                if spans[k] <= u <= spans[k + 1]:
+                    out += spans[k + 2]
+                    break
+            else:
+                out += self.learn(chunk, u)
         out.reverse()
         return out
 
