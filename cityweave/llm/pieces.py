@@ -6,7 +6,7 @@ before it, and so on, so a segmentation comes out with exactly its share of the
 numbers of a row come from its key and the seed: the same row is always cut the same way, wherever it runs.
 
 Pieces with a space have it only at their start, so every chunk of spaces and what follows them is a lattice of its own.
-The cuts of short chunks are remembered, up to a fixed number per task. A character without a piece
+The cuts of short chunks are remembered, up to a fixed number per worker. A character without a piece
 is written as its UTF-8 bytes. Decoding joins the pieces' bytes and gives back the very text, line breaks and the
 space symbol included.
 
@@ -18,9 +18,12 @@ once on the driver, from a path that is a parameter; its pieces go to the tasks
 from __future__ import annotations
 
 import gc
+import hashlib
 import math
 import random
 import re
+import sys
+import types
 from bisect import bisect
 from collections.abc import Iterator
 from itertools import accumulate
@@ -43,7 +46,7 @@ LIFT = 6.0
 SHORT = 16
 BELOW_ONE = 1 - 2.0**-53
 MARGIN = 1e-11
-REMEMBERED = 200_000
+REMEMBERED = 250_000
 MOST_CUTS = 12
 #: Two ways to cut a text where no piece can reach across: before spaces and line breaks, and also behind words.
 _CHUNK = re.compile(r" *+[^ \n]+|\n| +")
@@ -56,6 +59,7 @@ class Vocabulary(NamedTuple):
     byte_ids: list[int]
     text: list[bytes]  # by id
     crossing: frozenset[str]  # characters behind which a piece goes on from a word into punctuation
+    mark: str  # of path and contents
 
 
 def read_vocabulary(path: str = MODEL, theta: float = THETA) -> Vocabulary:
@@ -76,7 +80,8 @@ def read_vocabulary(path: str = MODEL, theta: float = THETA) -> Vocabulary:
             pieces.append((piece, i, weights[i]))
             text.append(piece.encode())
     crossing = {part[-1] for p, _, _ in pieces for part in _WORDS.findall(p)[:-1]}
-    return Vocabulary(pieces, weights, byte_ids, text, frozenset(crossing))
+    mark = hashlib.sha256(repr((path, theta, pieces)).encode()).hexdigest()
+    return Vocabulary(pieces, weights, byte_ids, text, frozenset(crossing), mark)
 
 
 class Sampler:
@@ -196,6 +201,14 @@ class Sampler:
         return out
 
 
+def sampler_of_this_worker(vocabulary: Vocabulary) -> Sampler:
+    """One sampler per worker process, so what it remembers outlives a task. Results do not depend on it."""
+    place = sys.modules.setdefault("sampler_of_this_worker", types.ModuleType("sampler_of_this_worker"))
+    if getattr(place, "mark", None) != vocabulary.mark:
+        place.mark, place.sampler = vocabulary.mark, Sampler(vocabulary)
+    return place.sampler
+
+
 def decode(ids, vocabulary: Vocabulary) -> str:
     text = vocabulary.text
     return b"".join([text[i] for i in ids]).decode("utf-8", "surrogatepass")[1:]
@@ -209,7 +222,7 @@ def key_draw(key: int | None, seed: int):
 def encode_column(text: Column, key: Column, vocabulary: Vocabulary, seed: int = SEED) -> Column:
     @F.pandas_udf("array<int>")
     def encoded(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        sampler = Sampler(vocabulary)
+        sampler = sampler_of_this_worker(vocabulary)
         for texts, keys in batches:
             gc.disable()  # nothing here is cyclic, and looking through the lattices again and again is slow
             # Keys come as text, as a column of numbers with NULL in it would turn into floats.
@@ -231,7 +244,7 @@ def decode_column(ids: Column, vocabulary: Vocabulary) -> Column:
 
 def segment(docs: DataFrame, model: str = MODEL, theta: float = THETA, seed: int = SEED) -> DataFrame:
     """One row per document: doc_id, text, pieces (ids), decoded (the text again)."""
-    bound_batches(docs.sparkSession)
+    bound_batches(docs.sparkSession, "4m")
     vocabulary = read_vocabulary(model, theta)
     cut = docs.select("doc_id", "text", encode_column(F.col("text"), F.col("doc_id"), vocabulary, seed).alias("pieces"))
     return cut.withColumn("decoded", decode_column(F.col("pieces"), vocabulary))
