@@ -46,7 +46,8 @@ LIFT = 6.0
 SHORT = 16
 BELOW_ONE = 1 - 2.0**-53
 MARGIN = 1e-11
-REMEMBERED = 250_000
+EMPTY = [[0.0] * n + [1.0] for n in range(1, SHORT + 1)]
+REMEMBERED = 350_000
 MOST_CUTS = 12
 #: Two ways to cut a text where no piece can reach across: before spaces and line breaks, and also behind words.
 _CHUNK = re.compile(r" *+[^ \n]+|\n| +")
@@ -112,8 +113,7 @@ class Sampler:
         The sums of end position e stand at index e - 1, that of the start at -1.
         """
         at = len(chunk) - 1
-        total = [0.0] * (at + 1)
-        total.append(1.0)
+        total = EMPTY[at].copy()
         matches = list(self.automaton.iter(chunk))
         for last, (length, _, weight) in matches:
             total[last] += total[last - length] * weight
@@ -133,7 +133,9 @@ class Sampler:
             out.append(i)
             low += width * (run / whole)
             width *= mass / whole
-            u = min((goal - run) / mass, BELOW_ONE)
+            u = (goal - run) / mass
+            if u > BELOW_ONE:
+                u = BELOW_ONE
             at -= length
         return low + MARGIN, low + width - MARGIN, tuple(out)
 
@@ -168,11 +170,8 @@ class Sampler:
     def learn(self, chunk: str, u: float) -> tuple[int, ...]:
         """Cut a short chunk and remember for which numbers it is cut so."""
         low, high, ids = self.cut_short(chunk, u)
-        spans = self.known.get(chunk)
-        if spans is None:
-            if len(self.known) < REMEMBERED:
-                self.known[chunk] = [low, high, ids]
-        elif len(spans) < 3 * MOST_CUTS and low < high:
+        spans = self.known.setdefault(chunk, []) if len(self.known) < REMEMBERED else self.known.get(chunk)
+        if spans is not None and len(spans) < 3 * MOST_CUTS and low < high:
             spans += (low, high, ids)
         return ids
 
