@@ -23,6 +23,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cityweave.llm.rows import as_row
 from cityweave.llm.trees import Condition, rules
 
 SAMPLE = 20_000
@@ -138,7 +139,11 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows of ``docs`` that the model predicts to be good."""
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text").alias("text"))
-    scored = with_statistics(rows, "text").where(score_of(model) >= KEEP_FROM)
-    return scored.select("row.*")
+    """The rows of ``docs`` that the model predicts to be good.
+
+    A filter would be pushed below the statistics and compute them anew for every condition of every rule. Exploding
+    an array of one entry or none keeps them computed once.
+    """
+    rows = docs.select(as_row(docs).alias("row"), F.col("text").alias("text"))
+    good = F.when(score_of(model) >= KEEP_FROM, F.array(F.lit(1))).otherwise(F.array().cast("array<int>"))
+    return with_statistics(rows, "text").select("row", F.explode(good)).select("row.*")
