@@ -218,16 +218,20 @@ def key_draw(key: int | None, seed: int):
     return random.Random(f"{seed}:{key}").random
 
 
+def encode_batch(sampler: Sampler, texts: pd.Series, keys: pd.Series, seed: int) -> pd.Series:
+    """Keys come as text, as a column of numbers with NULL in it would turn into floats."""
+    gc.disable()  # nothing here is cyclic, and looking through what is remembered again and again is slow
+    cut = [np.array(sampler.encode(t, key_draw(k, seed)), np.int32) for t, k in zip(texts, keys)]
+    gc.enable()
+    return pd.Series(cut, dtype=object)
+
+
 def encode_column(text: Column, key: Column, vocabulary: Vocabulary, seed: int = SEED) -> Column:
     @F.pandas_udf("array<int>")
     def encoded(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         sampler = sampler_of_this_worker(vocabulary)
         for texts, keys in batches:
-            gc.disable()  # nothing here is cyclic, and looking through the lattices again and again is slow
-            # Keys come as text, as a column of numbers with NULL in it would turn into floats.
-            cut = [np.array(sampler.encode(t, key_draw(k, seed)), np.int32) for t, k in zip(texts, keys)]
-            gc.enable()
-            yield pd.Series(cut, dtype=object)
+            yield encode_batch(sampler, texts, keys, seed)
 
     return encoded(text, key.cast("string"))
 
@@ -242,11 +246,19 @@ def decode_column(ids: Column, vocabulary: Vocabulary) -> Column:
 
 
 def segment(docs: DataFrame, model: str = MODEL, theta: float = THETA, seed: int = SEED) -> DataFrame:
-    """One row per document: doc_id, text, pieces (ids), decoded (the text again)."""
+    """One row per document: doc_id, text, pieces (ids), decoded (the text again). One worker does both ways."""
     bound_batches(docs.sparkSession, "4m")
     vocabulary = read_vocabulary(model, theta)
-    cut = docs.select("doc_id", "text", encode_column(F.col("text"), F.col("doc_id"), vocabulary, seed).alias("pieces"))
-    return cut.withColumn("decoded", decode_column(F.col("pieces"), vocabulary))
+
+    @F.pandas_udf("pieces array<int>, decoded string")
+    def both_ways(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        sampler = sampler_of_this_worker(vocabulary)
+        for texts, keys in batches:
+            pieces = encode_batch(sampler, texts, keys, seed)
+            yield pd.DataFrame({"pieces": pieces, "decoded": [decode(ids.tolist(), vocabulary) for ids in pieces]})
+
+    cut = docs.select("doc_id", "text", both_ways("text", F.col("doc_id").cast("string")).alias("cut"))
+    return cut.select("doc_id", "text", "cut.*")
 
 
 def digests(docs: DataFrame, **settings) -> DataFrame:
