@@ -1,8 +1,7 @@
 """Times the headline queries and prints one JSON line.
 
 BENCH_SF_DIR: folder of the tables (default /root/testdata/sf0.1); BENCH_CPUS: local cores (default 8).
-Each query runs once, with all its rows and columns produced into a no-op sink. Writing
-the derived raw tables, which stand for the source files, is timed on its own as ``prepare``.
+Each query runs once, with all its rows and columns produced into a no-op sink.
 """
 
 from __future__ import annotations
@@ -14,7 +13,6 @@ import time
 
 from cityweave.plans.queries import REGISTRY
 from cityweave.session import local_session
-from cityweave.sources.derived import raw_tables
 
 
 def timed(run) -> float:
@@ -29,7 +27,6 @@ def main() -> None:
     only = sys.argv[1:] or list(REGISTRY)
     spark = local_session(cores, shuffle_partitions=int(cores), memory="16g")
     spark.sparkContext.setLogLevel("ERROR")
-    prepare = timed(lambda: raw_tables(spark, folder))
 
     def produce(name: str) -> None:
         REGISTRY[name](spark, folder).write.format("noop").mode("overwrite").save()
@@ -43,7 +40,6 @@ def main() -> None:
                 "value": round(sum(seconds.values()), 3),
                 "unit": "sec",
                 "queries": seconds,
-                "prepare": prepare,
                 "sf": os.path.basename(folder).removeprefix("sf"),
             }
         )

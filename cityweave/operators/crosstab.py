@@ -16,19 +16,23 @@ from cityweave.functions.chisquare import tail_probability
 from cityweave.operators.profile import counts_by
 from cityweave.sources.scratch import durable
 
-MAX_COLUMNS = 10_000
-
 
 def observed_cells(df: DataFrame, row: str, column: str) -> DataFrame:
     return durable(counts_by(df, row, column), "cells")
 
 
 def wide(df: DataFrame, row: str, column: str, values: Sequence, names: Sequence[str] | None = None, empty=0) -> DataFrame:
-    """One row per row value, one column per entry of ``values``; ``empty=None`` leaves empty cells NULL."""
-    names = list(names or values)
-    pivoted = df.dropna(subset=[row, column]).groupBy(row).pivot(column, list(values)).agg(F.count(F.lit(1)))
-    cells = [pivoted[f"`{v}`"] if empty is None else F.coalesce(pivoted[f"`{v}`"], F.lit(empty)) for v in values]
-    return pivoted.select(row, *[c.cast("long").alias(n) for c, n in zip(cells, names)])
+    """One row per row value, one column per entry of ``values`` and ``not_listed`` for all others, so that a row adds up.
+
+    ``empty=None`` leaves empty cells NULL.
+    """
+    cells = counts_by(df.dropna(subset=[row, column]), row, column)
+
+    def total(where: Column) -> Column:
+        return F.coalesce(F.sum(F.when(where, F.col("n"))), F.lit(empty)).cast("long")
+
+    counts = [total(F.col(column) == v).alias(n) for v, n in zip(values, names or values)]
+    return cells.groupBy(row).agg(*counts, total(~F.col(column).isin(list(values))).alias("not_listed"))
 
 
 def with_totals(cells: DataFrame, row: str, column: str) -> DataFrame:
@@ -43,33 +47,22 @@ def with_totals(cells: DataFrame, row: str, column: str) -> DataFrame:
     )
 
 
-def full_table(cells: DataFrame, row: str, column: str) -> DataFrame:
-    """Every row value with every column value that occurs: n (0 for empty cells), totals and expected count.
+def full_table(cells: DataFrame, row: str, column: str, values: Sequence) -> DataFrame:
+    """Every row value with every entry of ``values`` and every other cell observed: n (0 for empty cells), totals, expected.
 
-    The column values travel as one list, so the table is meant for a short column side; a longer list
-    than ``MAX_COLUMNS`` fails instead of being cut.
+    Empty cells come from ``values``, a short parameter list (bin labels, a top-k list), never from the data.
     """
-    rows = cells.groupBy(row).agg(F.sum("n").alias("row_total"))
-    columns = cells.groupBy(column).agg(F.sum("n").alias("column_total"))
-    listed = columns.limit(MAX_COLUMNS + 1).agg(F.collect_list(F.struct(column, "column_total")).alias("list")).scalar()
-    too_long = F.raise_error(F.lit("too many distinct column values for a full table"))
-    grid = (
-        rows.withColumn("list", listed)
-        .withColumn("list", F.when(F.size("list") > MAX_COLUMNS, too_long).otherwise(F.col("list")))
-        .select(row, "row_total", F.inline("list"))
-    )
-    return (
-        grid.join(cells, [row, column], "left")
-        .withColumn("n", F.coalesce("n", F.lit(0)))
-        .withColumn("total", cells.agg(F.sum("n")).scalar())
-        .withColumn("expected", F.col("row_total") * F.col("column_total") / F.col("total"))
-    )
+    listed = cells.select(row).distinct().withColumn(column, F.explode(F.array(*map(F.lit, values))))
+    filled = cells.unionByName(listed.withColumn("n", F.lit(0).cast("long"))).groupBy(row, column).agg(F.sum("n").alias("n"))
+    return with_totals(filled, row, column)
 
 
-def row_share(cells: DataFrame, row: str, column: str, scale: float = 1.0, name: str = "share") -> DataFrame:
-    """Each cell as a part of its row, empty cells included as 0."""
-    share = F.col("n") / F.col("row_total") * scale
-    return full_table(cells, row, column).select(row, column, "n", share.alias(name))
+def row_share(
+    cells: DataFrame, row: str, column: str, scale: float = 1.0, name: str = "share", values: Sequence | None = None
+) -> DataFrame:
+    """Each observed cell as a part of its row; with ``values`` also their empty cells, as 0."""
+    table = with_totals(cells, row, column) if values is None else full_table(cells, row, column, values)
+    return table.select(row, column, "n", (F.col("n") / F.col("row_total") * scale).alias(name))
 
 
 def chi_square(cells: DataFrame, row: str, column: str, alpha: float = 0.05) -> DataFrame:
@@ -99,7 +92,7 @@ def chi_square(cells: DataFrame, row: str, column: str, alpha: float = 0.05) ->
     # A 2 x 2 table has at most two empty cells, and then both have the same expected count.
     each = rest / F.greatest(empty, F.lit(1))
     rest_corrected = F.when((empty > 0) & (each > 0), empty * _yates(each) / each).otherwise(0.0)
-    dof = ((F.col("n_rows") - 1) * (F.col("n_columns") - 1)).cast("int")
+    dof = (F.col("n_rows") - 1) * (F.col("n_columns") - 1)
     statistic = F.when(dof == 1, F.col("corrected") + rest_corrected).when(dof > 1, F.col("plain") + rest).otherwise(0.0)
     tested = sized.select(statistic.alias("statistic"), dof.alias("dof"))
     p = F.when(F.col("dof") == 0, 1.0).otherwise(tail_probability(F.col("statistic"), F.col("dof")))

@@ -27,18 +27,20 @@ def yearly_counts(df: DataFrame, date: str, since: int) -> DataFrame:
 
 
 def day_hour_matrix(df: DataFrame, day: Column, hour: Column) -> DataFrame:
-    """Weekday by hour, Monday first, all seven days and 24 hours; cells without a row stay NULL."""
-    counted = (
-        df.select(times.weekday_rank(day).alias("day_rank"), hour.alias("hour"))
-        .groupBy("day_rank")
-        .pivot("hour", list(range(24)))
-        .agg(F.count(F.lit(1)))
-    )
+    """Weekday by hour, Monday first, all seven days and 24 hours; cells without a row stay NULL.
+
+    Rows of a day whose hour is unknown or outside 0 to 23 (a time of 2400) count as ``not_listed``.
+    """
+    ranked = df.select(times.weekday_rank(day).alias("day_rank"), hour.alias("hour"))
+    cells = ranked.groupBy("day_rank", "hour").agg(F.count(F.lit(1)).alias("n"))
+    hours = [F.sum(F.when(F.col("hour") == h, F.col("n"))).alias(f"h{h:02d}") for h in range(24)]
+    unlisted = ~F.coalesce(F.col("hour").between(0, 23), F.lit(False))
+    counted = cells.groupBy("day_rank").agg(*hours, F.sum(F.when(unlisted, F.col("n"))).alias("not_listed"))
     week = df.sparkSession.range(1, 8).select(F.col("id").cast("int").alias("day_rank"))
     names = F.element_at(F.array(*[F.lit(d) for d in times.DAYS]), F.col("day_rank"))
     return (
         week.join(F.broadcast(counted), "day_rank", "left")
-        .select("day_rank", names.alias("day_of_week"), *[F.col(f"`{h}`").alias(f"h{h:02d}") for h in range(24)])
+        .select("day_rank", names.alias("day_of_week"), *counted.columns[1:])
         .orderBy("day_rank")
     )
 

@@ -1,4 +1,4 @@
-"""End-to-end jobs. Each is one lazy plan from the raw tables to the result."""
+"""End-to-end jobs from the raw tables to the result. Neighbour counts write their intermediate tables as they go."""
 
 from __future__ import annotations
 
@@ -28,11 +28,11 @@ def clean_and_enrich(crime_raw: DataFrame, inspection_raw: DataFrame) -> tuple[D
     return enrich_crime(cleaning.clean_crime(crime_raw), inspections), inspections
 
 
-def export(crime: DataFrame, inspections: DataFrame, folder: str, format: str = "csv", single_file: bool = False) -> None:
+def export(crime: DataFrame, inspections: DataFrame, folder: str, format: str = "csv") -> None:
     """Write both final tables below ``folder``."""
     for name, df in (("crime_final", crime), ("ins_final", inspections)):
         if format == "csv":
-            write_csv(df, f"{folder}/{name}", single_file=single_file)
+            write_csv(df, f"{folder}/{name}")
         else:
             write_parquet(df, f"{folder}/{name}")
 

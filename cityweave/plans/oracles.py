@@ -123,6 +123,8 @@ def _chi_square(labelled: str, label: str) -> str:
 
 def _wide(labelled: str, label: str, columns: dict[str, str]) -> str:
     cells = ", ".join(f"count(*) filter (where {label} = '{value}') as {name}" for name, value in columns.items())
+    listed = ", ".join(f"'{value}'" for value in columns.values())
+    cells += f", count(*) filter (where {label} not in ({listed})) as not_listed"
     return (
         f"select crm_cd_desc, {cells} from {labelled} where {label} is not null "
         "and crm_cd_desc in (select crm_cd_desc from top_types) group by crm_cd_desc"
@@ -208,6 +210,9 @@ PARTS = {
 
 _QUERIES = {
     "scan_csv": "select * from crime_raw",
+    "scan_csv_inspections": "select * replace (cast(permit as varchar) as permit) from inspection_raw",
+    "export_job": """select area_name as label, count(*) as n_rows, cast(sum(nearby_inspection_count) as bigint) as n_nearby
+        from enriched group by 1 union all select permit_status, count(*), 0 from inspections group by 1""",
     "ctas_if_absent": _counts("valid", "area_name"),
     "replace_table": _counts("valid", "area_name"),
     "sink_csv": f"select {_INSPECTION.replace(' ', ', ')} from inspections",
@@ -234,7 +239,7 @@ _QUERIES = {
         from business_raw""",
     "year_month": f"""select dr_no, cast(year({_timestamp('date_occ')}) as integer) as year,
         cast(month({_timestamp('date_occ')}) as integer) as month from crime_raw""",
-    "weekday_hour": f"select dr_no, dayname({_timestamp('date_rptd')}) as day_of_week, {_HOUR} as hour from crime_raw",
+    "weekday_hour": f"select dr_no, dayname({_timestamp('date_occ')}) as day_of_week, {_HOUR} as hour from crime_raw",
     "fill_unidentified": """select dr_no, coalesce(vict_sex, 'Unidentified') as vict_sex,
         coalesce(vict_descent, 'Unidentified') as vict_descent from crime_raw""",
     "split_latlon": "select permit, latitude, longitude from inspections",
@@ -317,9 +322,10 @@ _QUERIES = {
     "distance_pct": _percent("by_distance", "distance_bin"),
     "day_hour_matrix": "with days(day_rank, day_of_week) as (values "
     + ", ".join(f"({i}, '{d}')" for i, d in enumerate(DAYS, 1))
-    + "), occurred as (select day_of_week_occ as day_of_week, time_occ as hour from crime where day_of_week_occ is not null) "
+    + "), occurred as (select day_of_week_occ as day_of_week, time_occ as hour, 1 as one from crime where day_of_week_occ is not null) "
     + "select cast(day_rank as integer) as day_rank, days.day_of_week, "
     + ", ".join(f"nullif(count(*) filter (where hour = {h}), 0) as h{h:02d}" for h in range(24))
+    + ", nullif(count(*) filter (where one = 1 and (hour is null or hour not between 0 and 23)), 0) as not_listed"
     + " from days left join occurred using (day_of_week) group by 1, 2",
     "chi2_time": _chi_square("by_time", "hour_category"),
     "chi2_distance": _chi_square("by_distance", "distance_bin"),

@@ -120,6 +120,26 @@ def scan_csv(t: Tables) -> DataFrame:
     return datasets.read_csv(t.spark, path, datasets.CRIME)
 
 
+@query
+def scan_csv_inspections(t: Tables) -> DataFrame:
+    """Raw inspections written as CSV under the source headers and scanned back; permits are text there."""
+    path = fresh_path(t.spark, "inspection-csv")
+    tables.write_csv(t.inspection_raw, path, datasets.INSPECTION.headers)
+    return datasets.read_csv(t.spark, path, datasets.INSPECTION)
+
+
+@query
+def export_job(t: Tables) -> DataFrame:
+    """The whole job: both final tables exported as CSV, read back and counted by area and by status."""
+    path = fresh_path(t.spark, "export")
+    jobs.export(*jobs.clean_and_enrich(t.crime_raw, t.inspection_raw), path)
+    csv = t.spark.read.option("header", True).option("escape", '"').csv
+    near = F.sum(F.col("nearby_inspection_count").cast("long")).alias("n_nearby")
+    crimes = csv(f"{path}/crime_final").groupBy(F.col("area_name").alias("label")).agg(F.count("*").alias("n_rows"), near)
+    inspections = csv(f"{path}/ins_final").groupBy(F.col("permit_status").alias("label"))
+    return crimes.unionByName(inspections.agg(F.count("*").alias("n_rows"), F.lit(0).cast("long").alias("n_nearby")))
+
+
 def _table_name() -> str:
     return f"area_counts_{uuid.uuid4().hex}"
 
@@ -270,7 +290,7 @@ def year_month(t: Tables) -> DataFrame:
 
 @query
 def weekday_hour(t: Tables) -> DataFrame:
-    day = times.weekday_name(times.parse_timestamp("date_rptd"))
+    day = times.weekday_name(times.parse_timestamp("date_occ"))
     return t.crime_raw.select("dr_no", day.alias("day_of_week"), times.military_hour("time_occ").alias("hour"))
 
 
@@ -309,7 +329,7 @@ def haversine_km(t: Tables) -> DataFrame:
 @query
 def haversine_m(t: Tables) -> DataFrame:
     """Whole metres between each inspection and the crime whose number its permit starts with."""
-    near = t.located.withColumn("dr_no", F.floor(F.col("permit") / 10))
+    near = t.located.withColumn("dr_no", F.expr("permit div 10"))
     metres = geo.haversine_m("lon", "lat", "longitude", "latitude")
     return near.join(t.crime_raw, "dr_no").select("permit", "dr_no", metres.alias("metres"))
 
@@ -444,8 +464,8 @@ def crosstab_distance(t: Tables) -> DataFrame:
 @query
 def sex_share_by_type(t: Tables) -> DataFrame:
     """Share of each victim sex within the most frequent crime types, in order of their frequency."""
-    cells = crosstab.observed_cells(t.valid, "crm_cd_desc", "vict_sex")
-    shares = crosstab.row_share(cells, "crm_cd_desc", "vict_sex")
+    kept = profile.keep_top_values(t.valid, "crm_cd_desc", SHARE_TYPES)
+    shares = crosstab.row_share(crosstab.observed_cells(kept, "crm_cd_desc", "vict_sex"), "crm_cd_desc", "vict_sex")
     ranked = profile.ranking(t.valid, "crm_cd_desc", SHARE_TYPES)
     return profile.in_order_of(shares, ranked, "crm_cd_desc").select("rank", "crm_cd_desc", "vict_sex", r6("share"))
 
@@ -453,13 +473,13 @@ def sex_share_by_type(t: Tables) -> DataFrame:
 @query
 def time_pct(t: Tables) -> DataFrame:
     cells = t.cells(t.by_time, "hour_category")
-    return crosstab.row_share(cells, "crm_cd_desc", "hour_category", 100, "pct").withColumn("pct", r6("pct"))
+    return crosstab.row_share(cells, "crm_cd_desc", "hour_category", 100, "pct", bins.HOURS.labels).withColumn("pct", r6("pct"))
 
 
 @query
 def distance_pct(t: Tables) -> DataFrame:
     cells = t.cells(t.by_distance, "distance_bin")
-    return crosstab.row_share(cells, "crm_cd_desc", "distance_bin", 100, "pct").withColumn("pct", r6("pct"))
+    return crosstab.row_share(cells, "crm_cd_desc", "distance_bin", 100, "pct", bins.DISTANCES.labels).withColumn("pct", r6("pct"))
 
 
 @query
@@ -484,7 +504,7 @@ def chi2_distance(t: Tables) -> DataFrame:
 
 @query
 def chi2_expected(t: Tables) -> DataFrame:
-    table = crosstab.full_table(t.cells(t.by_time, "hour_category"), "crm_cd_desc", "hour_category")
+    table = crosstab.full_table(t.cells(t.by_time, "hour_category"), "crm_cd_desc", "hour_category", bins.HOURS.labels)
     return table.select("crm_cd_desc", "hour_category", "n", r6("expected"))
 
 

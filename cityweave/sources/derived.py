@@ -4,15 +4,13 @@ The real tables are large public downloads; these derived ones have the same col
 malformed dates, NULLs and (0, 0) points, and grow with the benchmark tables. Each expression is kept
 once, as text with slots for the few spots where the two SQL dialects differ.
 
-``raw_tables`` writes them once per application, as the raw files they stand for would lie on disk.
+They are plain projections: filters and column choices of a query reach the scan of the benchmark tables.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cityweave.sources.scratch import durable
-
 CRIME_COLUMNS = {
     "dr_no": "o_orderkey",
     "date_rptd": "case when o_orderkey%19=0 then 'unknown' else {stamp} end",
@@ -90,22 +88,10 @@ def business_raw(spark: SparkSession, folder: str) -> DataFrame:
     return _table(spark, folder, "part").selectExpr(*column_list(BUSINESS_COLUMNS, SPARK_SLOTS))
 
 
-_written: dict[tuple[str, str], dict[str, DataFrame]] = {}
-
-
 def raw_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """The three tables for ``folder``, written on first use and scanned from then on."""
-    key = (spark.conf.get("spark.app.id"), folder)
-    if key not in _written:
-        makers = {"crime": crime_raw, "inspection": inspection_raw, "business": business_raw}
-        _written[key] = {name: durable(_spread(make(spark, folder)), f"{name}-raw") for name, make in makers.items()}
-    return _written[key]
-
-
-def _spread(df: DataFrame) -> DataFrame:
-    """A table that comes in fewer parts than there are cores is written as one file per core."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    """The three tables for ``folder``; nothing is read or written before a query needs it."""
+    makers = {"crime": crime_raw, "inspection": inspection_raw, "business": business_raw}
+    return {name: make(spark, folder) for name, make in makers.items()}
 
 
 def duckdb_views() -> dict[str, str]:

@@ -7,19 +7,11 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SINGLE_FILE_ROWS = 1_000_000
 
-
-def write_csv(df: DataFrame, path: str, headers: Mapping[str, str] | None = None, single_file: bool = False) -> None:
-    """Overwrite ``path`` with CSV part files that carry a header line.
-
-    ``single_file`` asks for one part file. It is honoured only for a result counted to be small; a larger
-    one is still written whole, in parallel parts, because one file would mean one task.
-    """
+def write_csv(df: DataFrame, path: str, headers: Mapping[str, str] | None = None) -> None:
+    """Overwrite ``path`` with CSV part files that carry a header line."""
     if headers:
         df = df.withColumnsRenamed(dict(headers))
-    if single_file and df.limit(SINGLE_FILE_ROWS + 1).count() <= SINGLE_FILE_ROWS:
-        df = df.repartition(1)
     df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 

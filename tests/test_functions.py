@@ -124,3 +124,17 @@ def test_chi_square_tail(spark):
     assert [g[0] for g in got] == pytest.approx([p for _, _, p in table], rel=1e-10)
     ends = values(spark, [(0.0, 3), (5000.0, 3), (2000.0, 2000), (1.0, 0)], "x double, d int", tail_probability(F.col("x"), F.col("d")))
     assert ends[0][0] == 1.0 and ends[1][0] == pytest.approx(0, abs=1e-300) and 0.49 < ends[2][0] < 0.51 and ends[3][0] is None
+
+
+def test_chi_square_tail_of_very_many_degrees_of_freedom(spark):
+    """Against the finite sum of Poisson terms, and where the sum meets the expansion."""
+
+    def summed(x, dof):
+        h = x / 2
+        return math.fsum(math.exp(i * math.log(h) - h - math.lgamma(i + 1)) for i in range(dof // 2))
+
+    rows = [(float(d + k * math.sqrt(2 * d)), d) for d in (2000, 2002, 5000, 100_000) for k in (-3, -1, -0.01, 0, 0.3, 2, 4)]
+    got = values(spark, rows, "x double, d long", tail_probability(F.col("x"), F.col("d")))
+    assert [r[0] for r in got] == pytest.approx([summed(x, d) for x, d in rows], abs=1e-6)
+    huge = values(spark, [(4.2e9, 4_200_000_000)], "x double, d long", tail_probability(F.col("x"), F.col("d")))
+    assert huge[0][0] == pytest.approx(0.5, abs=1e-4)

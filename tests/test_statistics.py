@@ -90,13 +90,14 @@ def test_one_degree_of_freedom_uses_the_yates_correction(spark, cells, statistic
 def test_full_table_shares_and_wide_form(spark):
     df = table(spark, {("a", "x"): 3, ("a", "y"): 1, ("b", "y"): 2}).union(spark.createDataFrame([(None, "x"), ("a", None)], "r string, c string"))
     cells = crosstab.observed_cells(df, "r", "c")
-    full = {(r.r, r.c): (r.n, r.row_total, r.column_total, r.total) for r in crosstab.full_table(cells, "r", "c").collect()}
+    full = {(r.r, r.c): (r.n, r.row_total, r.column_total, r.total) for r in crosstab.full_table(cells, "r", "c", ["x", "y"]).collect()}
     assert full == {("a", "x"): (3, 4, 3, 6), ("a", "y"): (1, 4, 3, 6), ("b", "x"): (0, 2, 3, 6), ("b", "y"): (2, 2, 3, 6)}
     shares = crosstab.row_share(cells, "r", "c", 100).groupBy("r").agg(F.sum("share").alias("s")).collect()
     assert all(r.s == pytest.approx(100) for r in shares)
     wide = sorted(map(tuple, crosstab.wide(df, "r", "c", ["x", "y", "z"]).collect()))
-    assert wide == [("a", 3, 1, 0), ("b", 0, 2, 0)]
-    assert sorted(map(tuple, crosstab.wide(df, "r", "c", ["x", "y"], empty=None).collect())) == [("a", 3, 1), ("b", None, 2)]
+    assert wide == [("a", 3, 1, 0, 0), ("b", 0, 2, 0, 0)]
+    assert sorted(map(tuple, crosstab.wide(df, "r", "c", ["x"]).collect())) == [("a", 3, 1), ("b", 0, 2)]
+    assert sorted(map(tuple, crosstab.wide(df, "r", "c", ["x", "y"], empty=None).collect())) == [("a", 3, 1, None), ("b", None, 2, None)]
 
 
 def test_histogram_edges(spark):

@@ -42,18 +42,13 @@ def parts(path):
     return [f for f in os.listdir(path) if f.startswith("part-") and f.endswith(".csv")]
 
 
-def test_csv_sink_round_trip_and_single_file(spark, tmp_path, monkeypatch):
+def test_csv_sink_round_trip(spark, tmp_path):
     df = spark.range(100).select("id", F.lit('a "b", c').alias("t")).repartition(4)
     path = str(tmp_path / "out")
     tables.write_csv(df, path, {"t": "The Text"})
     assert len(parts(path)) == 4
-    tables.write_csv(df, path, {"t": "The Text"}, single_file=True)
-    assert len(parts(path)) == 1
     back = spark.read.option("header", True).option("escape", '"').csv(path)
     assert back.columns == ["id", "The Text"] and back.count() == 100 and back.first()[1] == 'a "b", c'
-    monkeypatch.setattr(tables, "SINGLE_FILE_ROWS", 50)
-    tables.write_csv(df, path, single_file=True)
-    assert len(parts(path)) == 4 and spark.read.option("header", True).csv(path).count() == 100
 
 
 def test_saved_tables(spark, tmp_path):
@@ -137,16 +132,17 @@ def test_full_job(spark, tmp_path):
     assert (rows["p1"].year, rows["p1"].month, rows["p2"].year, rows["p4"].latitude) == (2020, 1, None, None)
     assert dict(cleaned.dtypes)["latitude"] == "float"
     for kind in ("csv", "parquet"):
-        jobs.export(enriched, cleaned, str(tmp_path / kind), kind, single_file=True)
+        jobs.export(enriched, cleaned, str(tmp_path / kind), kind)
         jobs.export(enriched, cleaned, str(tmp_path / kind), kind)
         assert (spark.read.option("header", True).csv if kind == "csv" else spark.read.parquet)(str(tmp_path / kind / "crime_final")).count() == 2
 
 
 def test_day_hour_matrix_has_all_days_and_null_cells(spark):
-    df = spark.createDataFrame([("Monday", 0), ("Monday", 0), ("Sunday", 23), (None, 5)], "d string, h int")
+    df = spark.createDataFrame([("Monday", 0), ("Monday", 0), ("Sunday", 23), (None, 5), ("Monday", 24), ("Monday", None)], "d string, h int")
     rows = trends.day_hour_matrix(df, F.col("d"), F.col("h")).collect()
     assert [r.day_of_week for r in rows][:2] == ["Monday", "Tuesday"] and len(rows) == 7
     assert (rows[0].h00, rows[0].h23, rows[6].h23, rows[1].h00) == (2, None, 1, None)
+    assert (rows[0].not_listed, rows[6].not_listed) == (2, None)
 
 
 def test_dashboard_filters_combine(spark):
