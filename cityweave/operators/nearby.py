@@ -324,9 +324,12 @@ def _summed(locations: DataFrame, leaves: DataFrame, near: Planar | GreatCircle,
 
     for block_lat, block_lon in _block_columns(sides):
         finer = [*keys, block_lat, block_lon]
-        met = pending.join(_blocks(leaves, finer), keys)
-        found = add(met.where(near.all_match()))
-        pending, keys = met.where(near.may_match() & ~near.all_match()).select("q_lat", "q_lon", *finer), finer
+        whole = near.all_match()
+        met = pending.join(_blocks(leaves, finer), keys).withColumn("whole", whole).where(F.col("whole") | near.may_match())
+        # Two parts of it are used, and the next level starts from it: written, each level is joined once.
+        met = durable(met.select("q_lat", "q_lon", *finer, "weight", "whole"), "near-blocks")
+        found = add(met.where("whole"))
+        pending, keys = met.where("not whole").select("q_lat", "q_lon", *finer), finer
     found = add(pending.join(leaves.select("p_lat", "p_lon", "weight", *keys), keys).where(near.matches()))
     return found.groupBy("q_lat", "q_lon").agg(F.sum("n_rows").alias("n_rows"), F.sum("weight").alias("n_near"))
 
@@ -345,6 +348,12 @@ def with_near_count(
     counts = count_around(rows, points, near, row_lat, row_lon, sides=sides).select(
         F.col("q_lat").alias(row_lat), F.col("q_lon").alias(row_lon), "n_rows", F.col("n_near").alias(column)
     )
+    return _onto_rows(rows, counts, column, row_lat, row_lon, rows_per_part)
+
+
+def _onto_rows(
+    rows: DataFrame, counts: DataFrame, column: str, row_lat: str, row_lon: str, rows_per_part: int = ROWS_PER_PART
+) -> DataFrame:
     joined = join_per_key(rows, counts, [row_lat, row_lon], "n_rows", rows_per_part)
     return joined.withColumn(column, F.coalesce(F.col(column), F.lit(0)).cast("int")).select(*rows.columns, column)
 
@@ -390,27 +399,29 @@ def same_cell_inspections(
 ) -> DataFrame:
     """The short cut of looking only at the probe's own cell, with cell ids cut towards zero.
 
-    Misses neighbours across cell edges; kept to reproduce results obtained that way.
+    Misses neighbours across cell edges; kept to reproduce results obtained that way. The cell is the join key, so no
+    probe is spread over neighbouring cells.
     """
-    return with_near_count(crime, inspections, SameCell(COUNT_RADIUS_M, cell), column)
-
-
-@dataclass(frozen=True)
-class SameCell(GreatCircle):
-    """Great circle restricted to points that share the probe's cell."""
-
-    cell: float = 0.01
 
-    def _shared(self, point: str, probe: str) -> Column:
-        return (F.col(point) / self.cell).cast("long") == (F.col(probe) / self.cell).cast("long")
+    def in_cells(lat: str, lon: str) -> dict[str, Column]:
+        return {"cell_lat": (F.col(lat) / cell).try_cast("long"), "cell_lon": (F.col(lon) / cell).try_cast("long")}
 
-    def matches(self) -> Column:
-        return self._shared("p_lat", "q_lat") & self._shared("p_lon", "q_lon") & super().matches()
-
-    def all_match(self) -> Column:
-        edges = self._shared("min_lat", "q_lat") & self._shared("max_lat", "q_lat")
-        edges = edges & self._shared("min_lon", "q_lon") & self._shared("max_lon", "q_lon")
-        return edges & super().all_match()
+    places = _located(crime, "lat", "lon").groupBy(F.col("lat").alias("q_lat"), F.col("lon").alias("q_lon"))
+    places = places.agg(F.count(F.lit(1)).alias("n_rows"))
+    spots = (
+        _located(inspections, "latitude", "longitude")
+        .groupBy(F.col("latitude").cast("double").alias("p_lat"), F.col("longitude").cast("double").alias("p_lon"))
+        .agg(F.count(F.lit(1)).alias("weight"))
+    )
+    met = (
+        places.withColumns(in_cells("q_lat", "q_lon"))
+        .join(spots.withColumns(in_cells("p_lat", "p_lon")), ["cell_lat", "cell_lon"])
+        .where(HAVERSINE_CIRCLE.matches())
+        .groupBy("q_lat", "q_lon")
+        .agg(F.sum("weight").alias(column))
+    )
+    counts = durable(places.join(met, ["q_lat", "q_lon"], "left"), "same-cell")
+    return _onto_rows(crime, counts.withColumnsRenamed({"q_lat": "lat", "q_lon": "lon"}), column, "lat", "lon")
 
 
 def points_per_cell(
