@@ -222,6 +222,7 @@ def encode_batch(sampler: Sampler, texts: pd.Series, keys: pd.Series, seed: int)
     """Keys come as text, as a column of numbers with NULL in it would turn into floats."""
     gc.disable()  # nothing here is cyclic, and looking through what is remembered again and again is slow
     cut = [np.array(sampler.encode(t, key_draw(k, seed)), np.int32) for t, k in zip(texts, keys)]
+    gc.freeze()  # nor is it looked through while the pieces are decoded
     gc.enable()
     return pd.Series(cut, dtype=object)
 
