@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cityweave.functions.numbers import is_number
-from cityweave.operators.quantiles import BUFFERED_VALUES, quantiles
+from cityweave.operators.quantiles import FEW_VALUES, weighted_numbers, with_rows
+from cityweave.operators.skew import join_per_key
 from cityweave.sources.scratch import durable
 
 HISTOGRAM_BINS = 30
 CURVE_POINTS = 200
+CURVE_PARTS = 4096
 
 
 def _numbers(df: DataFrame, column: str) -> DataFrame:
@@ -49,31 +51,34 @@ def histogram(df: DataFrame, column: str, bins: int = HISTOGRAM_BINS) -> DataFra
     )
 
 
-def box_plot(df: DataFrame, group: str, column: str, buffered_values: int = BUFFERED_VALUES) -> DataFrame:
-    """Per group: size, quartiles, whiskers at the last value within 1.5 quartile ranges, outliers beyond."""
-    quartiles = durable(
-        quantiles(df, column, {"q1": 0.25, "median": 0.5, "q3": 0.75}, [group], buffered_values), "box-quartiles"
-    )
-    v = F.col(column).cast("double")
-    reach = 1.5 * (F.col("q3") - F.col("q1"))
+def box_plot(
+    df: DataFrame, group: str, column: str, weight: str | None = None, few: int = FEW_VALUES
+) -> DataFrame:
+    """Per group: size, quartiles, whiskers at the last value within 1.5 quartile ranges, outliers beyond.
+
+    ``weight`` names a column that says how often a row counts.
+    """
+    levels = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+    quartiles = durable(with_rows(df, column, levels, [group], weight, few), "box-quartiles")
+    v, w, reach = F.col("v"), F.col("w"), 1.5 * (F.col("q3") - F.col("q1"))
     low, high = F.col("q1") - reach, F.col("q3") + reach
-    joined = df.select(group, v.alias("v")).where(is_number("v")).join(quartiles, group)
-    return joined.groupBy(group, "q1", "median", "q3").agg(
-        F.count("v").alias("n"),
-        F.least(F.min(F.when(F.col("v") >= low, F.col("v"))), F.col("q1")).alias("whisker_low"),
-        F.greatest(F.max(F.when(F.col("v") <= high, F.col("v"))), F.col("q3")).alias("whisker_high"),
-        F.count_if((F.col("v") < low) | (F.col("v") > high)).alias("n_outliers"),
+    joined = join_per_key(weighted_numbers(df, column, [group], weight), quartiles, [group], "rows")
+    return joined.groupBy(group, *levels).agg(
+        F.sum("w").alias("n"),
+        F.least(F.min(F.when(v >= low, v)), F.col("q1")).alias("whisker_low"),
+        F.greatest(F.max(F.when(v <= high, v)), F.col("q3")).alias("whisker_high"),
+        F.sum(F.when((v < low) | (v > high), w).otherwise(0)).alias("n_outliers"),
     )
 
 
-def density(df: DataFrame, column: str, points: int = CURVE_POINTS, bins: int | None = None) -> DataFrame:
+def density(df: DataFrame, column: str, points: int = CURVE_POINTS, bins: int | None = CURVE_PARTS) -> DataFrame:
     """Gaussian kernel density on an even grid from minimum to maximum, bandwidth after Scott.
 
-    ``n_curve`` is the same curve on the scale of a 30-bin histogram. By default every value contributes to
-    every grid point: exact, at ``points`` kernel values per row and no shuffle beyond one row per grid
-    point and task. With ``bins`` the values are first summed into that many equal parts (count, mean and
-    variance of each), which makes the cost independent of the number of rows. The error is of third order
-    in part width over bandwidth, so it is negligible while parts are well below a bandwidth.
+    ``n_curve`` is the same curve on the scale of a 30-bin histogram. The values are first summed into ``bins`` equal
+    parts (count, mean and variance of each), so the cost of the curve does not depend on the number of rows. The
+    kernel of a part is expanded to second order about its mean; its third derivative is below 1.4 / bandwidth^3, so the density
+    is off by less than 0.1 (part width / bandwidth)^3 / bandwidth. ``bins=None`` gives the exact curve: every *different*
+    value contributes to every grid point.
     """
     numbers = _numbers(df, column)
     facts = numbers.agg(
@@ -86,7 +91,8 @@ def density(df: DataFrame, column: str, points: int = CURVE_POINTS, bins: int |
     bandwidth = F.when(F.col("facts.std") > 0, F.col("facts.std")) * F.pow(n.cast("double"), F.lit(-0.2))
     x = low + F.col("point") * ((high - low) / (points - 1))
     if bins is None:
-        parts = numbers.select("v", F.lit(1.0).alias("weight"), F.lit(0.0).alias("variance"))
+        same = numbers.groupBy("v").agg(F.count("v").cast("double").alias("weight"))
+        parts = same.withColumn("variance", F.lit(0.0))
     else:
         part = F.least(F.floor((F.col("v") - low) / F.nullif(high - low, F.lit(0.0)) * bins), F.lit(bins - 1))
         parts = (

@@ -31,9 +31,8 @@ from cityweave.functions.numbers import is_number
 from cityweave.operators.skew import ROWS_PER_PART, join_per_key
 from cityweave.sources.scratch import durable
 
-# Blocks along a cell's side: at most so many per level, and at most so many levels.
+# Blocks along a cell's side, at most so many per level.
 BLOCKS = 8
-MAX_LEVELS = 3
 # Points per cell from which blocks pay off, and from which another level does.
 CROWDED = 20
 VERY_CROWDED = 8_192
@@ -251,7 +250,7 @@ def _sides_for(points: DataFrame) -> tuple[int, ...]:
     if crowd < CROWDED:
         return ()
     sides = [max(2, min(BLOCKS, round((crowd / 5) ** (1 / 3))))]
-    while crowd > VERY_CROWDED and len(sides) < MAX_LEVELS:
+    while crowd > VERY_CROWDED:
         sides.append(sides[-1] * BLOCKS)
         crowd /= BLOCKS * BLOCKS / 2
     return tuple(sides)
@@ -424,37 +423,18 @@ def same_cell_inspections(
     return _onto_rows(crime, counts.withColumnsRenamed({"q_lat": "lat", "q_lon": "lon"}), column, "lat", "lon")
 
 
-def points_per_cell(
-    points: DataFrame,
-    lat: str = "latitude",
-    lon: str = "longitude",
-    cell: float = 0.01,
-    points_per_list: int = 10_000,
-) -> DataFrame:
-    """Points collected per grid cell as lists of (longitude, latitude, weight).
+def points_per_cell(points: DataFrame, lat: str = "latitude", lon: str = "longitude", cell: float = 0.01) -> DataFrame:
+    """The points of each grid cell, one row per cell and distinct point with its number as weight.
 
-    Equal points are one entry with their number as weight. A cell with many distinct points is spread
-    over several lists by a hash of the point, so no list grows with the data.
+    One aggregation. A row says the same however many points share its cell, and no list grows with the data.
     """
-    distinct = (
-        _located(points, lat, lon)
-        .withColumns({"cell_lat": geo.cell_index(lat, cell), "cell_lon": geo.cell_index(lon, cell)})
-        .groupBy("cell_lat", "cell_lon", lon, lat)
-        .agg(F.count(F.lit(1)).alias("weight"))
-    )
-    distinct = durable(distinct, "points")
-    sizes = distinct.groupBy("cell_lat", "cell_lon").agg(F.count(F.lit(1)).alias("n_points"))
-    sizes = sizes.withColumn("n_lists", F.ceil(F.col("n_points") / points_per_list))
-    digest = F.md5(F.format_string("%.7f,%.7f", F.col(lon).cast("double"), F.col(lat).cast("double")))
-    number = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
     return (
-        join_per_key(distinct, sizes, ["cell_lat", "cell_lon"], "n_points")
-        .withColumn("list_no", F.pmod(number, F.col("n_lists")))
-        .groupBy("cell_lat", "cell_lon", "list_no")
-        .agg(
-            F.sum("weight").alias("n_rows"),
-            F.sort_array(F.collect_list(F.struct(F.col(lon).alias("longitude"), F.col(lat).alias("latitude"), "weight"))).alias(
-                "points"
-            ),
+        _located(points, lat, lon)
+        .groupBy(
+            geo.cell_index(lat, cell).alias("cell_lat"),
+            geo.cell_index(lon, cell).alias("cell_lon"),
+            F.col(lon).alias("longitude"),
+            F.col(lat).alias("latitude"),
         )
+        .agg(F.count(F.lit(1)).alias("weight"))
     )

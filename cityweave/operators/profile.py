@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cityweave.functions.numbers import is_number
-from cityweave.operators.quantiles import BUFFERED_VALUES, quantiles
+from cityweave.operators.quantiles import FEW_VALUES, quantiles
 
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 HASH_PARTS = 65_536
@@ -86,11 +86,11 @@ def null_profile(df: DataFrame) -> DataFrame:
     return counted.select(F.inline(F.array(*entries)))
 
 
-def describe(df: DataFrame, column: str, buffered_values: int = BUFFERED_VALUES) -> DataFrame:
+def describe(df: DataFrame, column: str, few: int = FEW_VALUES) -> DataFrame:
     """Count, mean, sample deviation, minimum, quartiles and maximum of the numbers in a column."""
     v = F.col("v")
     numbers = df.select(F.col(column).cast("double").alias("v")).where(is_number("v"))
-    quartiles = quantiles(numbers, "v", QUARTILES, buffered_values=buffered_values)
+    quartiles = quantiles(numbers, "v", QUARTILES, few=few)
     q = quartiles.select(F.struct(*QUARTILES).alias("q")).scalar()
     moments = numbers.agg(
         F.count(v).alias("n"),

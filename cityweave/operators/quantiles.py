@@ -1,25 +1,27 @@
-"""Exact interpolated quantiles, per group or for the whole table.
-
-Spark's ``percentile`` keeps every distinct value of a group in one buffer. That is the fast way while
-the values are few, which is checked first. Beyond that the order statistics are found by refinement:
-split the value range of each group into equal parts, count the parts, keep only the parts that hold a
-wanted rank, and repeat within them until they hold few values or a single one. The two ends of a range
-never share a part, so every pass narrows it. Each pass is a scan with partial aggregation; none collects a
-group, and the tables between passes hold a few rows per group.
+"""Exact interpolated quantiles, per group or for the whole table, by refinement of ranges.
+
+Split the value range of each group into equal parts, count the parts, keep only the parts that hold a wanted
+rank, and repeat within them until each holds few values or a single one. The two ends of a range never share a
+part, so every pass narrows it. Each pass is a scan with partial aggregation; none collects a group, and the tables
+between passes hold a few rows per group. The number of values decides how many passes are made and nothing else.
+
+Infinite values are counted apart, as no range with them can be split.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cityweave.functions.numbers import is_number
+from cityweave.operators.skew import join_per_key
 from cityweave.sources.scratch import durable
 
-# Distinct values per group up to which the built-in aggregate is used.
-BUFFERED_VALUES = 500_000
+# Rows in a range up to which it is not split again; its different values are put in order by one task.
+FEW_VALUES = 500_000
 PARTS = 65_536
 
 
@@ -28,94 +30,111 @@ def quantiles(
     value: str,
     probabilities: Mapping[str, float],
     by: Sequence[str] = (),
-    buffered_values: int = BUFFERED_VALUES,
+    weight: str | None = None,
+    few: int = FEW_VALUES,
 ) -> DataFrame:
-    """One row per group with a column per entry of ``probabilities``; NULL and NaN values are left out."""
-    by = list(by)
-    numbers = _numbers(df, value, by)
-    profile = durable(
-        numbers.groupBy(*by).agg(
-            F.count("v").alias("n"),
-            F.min("v").alias("low"),
-            F.max("v").alias("high"),
-            F.approx_count_distinct("v").alias("n_distinct"),
-        ),
-        "quantile-profile",
-    )
-    most = profile.agg(F.max("n_distinct")).first()[0] or 0
-    if most <= buffered_values:
-        levels = F.array(*[F.lit(p) for p in probabilities.values()])
-        found = numbers.groupBy(*by).agg(F.percentile("v", levels).alias("q"))
-        return found.select(*by, *[F.col("q")[i].alias(name) for i, name in enumerate(probabilities)])
-    return _refined(numbers, profile, probabilities, by, buffered_values)
+    """One row per group with a column per entry of ``probabilities``; NULL and NaN values are left out.
 
-
-def _numbers(df: DataFrame, value: str, by: list[str]) -> DataFrame:
-    v = F.col(value).cast("double")
-    kept = F.lit(True)
-    for c in by:
-        kept = kept & F.col(c).isNotNull()
-    return df.where(kept).select(*by, v.alias("v")).where(is_number("v"))
+    ``weight`` names a column that says how often a row counts.
+    """
+    return with_rows(df, value, probabilities, by, weight, few).drop("rows")
 
 
-def _refined(
-    numbers: DataFrame, profile: DataFrame, probabilities: Mapping[str, float], by: list[str], few: int
+def with_rows(
+    df: DataFrame, value: str, probabilities: Mapping[str, float], by: Sequence[str], weight: str | None, few: int
 ) -> DataFrame:
-    """Order statistics by repeated range splitting. Ranks count from 0."""
-    profile = profile.where(F.col("n") > 0)
+    """The same with the number of rows of each group in ``rows``."""
+    by = list(by)
+    numbers = weighted_numbers(df, value, by, weight)
+    finite, v, w = F.abs("v") < math.inf, F.col("v"), F.col("w")
+
+    def weight_of(end: float) -> Column:
+        return F.coalesce(F.sum(F.when(v == end, w)), F.lit(0))
+
+    profile = numbers.groupBy(*by).agg(
+        F.count("*").alias("rows"),
+        F.sum("w").alias("n"),
+        weight_of(-math.inf).alias("n_lowest"),
+        weight_of(math.inf).alias("n_highest"),
+        F.min(F.when(finite, v)).alias("low"),
+        F.max(F.when(finite, v)).alias("high"),
+    )
+    profile = durable(profile, "quantile-profile").where(F.col("n") > 0)
     names = F.array(*[F.struct(F.lit(k).alias("name"), F.lit(p).alias("p")) for k, p in probabilities.items()])
-    wanted = profile.select(*by, "n", "low", "high", F.explode(names).alias("w")).select(
-        *by, "low", "high", "n", "w.name", (F.col("w.p") * (F.col("n") - 1)).alias("position")
+    wanted = profile.withColumn("wanted", F.explode(names)).select(
+        "*", F.col("wanted.name").alias("name"), (F.col("wanted.p") * (F.col("n") - 1)).alias("position")
+    )
+    both_ranks = F.array_distinct(F.array(F.floor("position"), F.ceil("position")))  # counted from 0
+    ranks = wanted.withColumn("rank", F.explode(both_ranks)).drop("wanted", "name", "position").distinct()
+    end = F.when(F.col("rank") < F.col("n_lowest"), F.lit(-math.inf)).when(
+        F.col("rank") >= F.col("n") - F.col("n_highest"), F.lit(math.inf)
+    )
+    ranks = durable(ranks.withColumn("end", end), "quantile-ranks")
+    state = ranks.where("end is null").select(
+        *by, "rows", "low", "high", "rank",
+        (F.col("n") - F.col("n_lowest") - F.col("n_highest")).alias("n"),
+        (F.col("rank") - F.col("n_lowest")).alias("local"),
+    )
+    found = _values_at(numbers.where(finite), state, by, few)
+    values = durable(
+        found.unionByName(ranks.where("end is not null").select(*by, "rank", F.col("end").alias("v"))), "quantile-values"
     )
-    ranks = F.array_distinct(F.array(F.floor("position"), F.ceil("position")))
-    state = wanted.withColumn("rank", F.explode(ranks)).select(*by, "low", "high", "rank", "n").distinct()
-    state = durable(state.withColumn("local", F.col("rank")), "quantile-ranks")
-    most, before = _most_values(state), None
-    # Without progress, which only infinite values cause, the rest is left to the last, always exact step.
-    while most > few and most != before:
-        spread = F.col("high") - F.col("low")
-        part = F.least(F.floor((F.col("v") - F.col("low")) / spread * PARTS), F.lit(PARTS - 1))
-        counted = (
-            _within(numbers, state, by)
-            .withColumn("part", F.when(spread > 0, part).otherwise(0))
-            .groupBy(*by, "low", "high", "part")
-            .agg(F.count("v").alias("n"), F.min("v").alias("part_low"), F.max("v").alias("part_high"))
-        )
-        state = durable(
-            _pick(state, counted, by, "part").select(
-                *by,
-                F.col("part_low").alias("low"),
-                F.col("part_high").alias("high"),
-                "rank",
-                "n",
-                (F.col("local") - F.col("before")).alias("local"),
-            ),
-            "quantile-ranks",
-        )
-        most, before = _most_values(state), most
-    single = _within(numbers, state, by).groupBy(*by, "low", "high", "v").agg(F.count("v").alias("n"))
-    values = durable(_pick(state, single, by, "v").select(*by, "rank", "v"), "quantile-values")
     below, above = values.withColumnsRenamed({"rank": "r0", "v": "v0"}), values.withColumnsRenamed({"rank": "r1", "v": "v1"})
     lower = wanted.withColumns({"r0": F.floor("position"), "r1": F.ceil("position")})
     both = lower.join(below, [*by, "r0"]).join(above, [*by, "r1"])
     share = F.col("position") - F.col("r0")
     between = (1 - share) * F.col("v0") + share * F.col("v1")
     result = F.when(F.col("v0") == F.col("v1"), F.col("v0")).otherwise(between)
-    return both.groupBy(*by).agg(*[F.max(F.when(F.col("name") == k, result)).alias(k) for k in probabilities])
+    return both.groupBy(*by).agg(
+        *[F.max(F.when(F.col("name") == k, result)).alias(k) for k in probabilities], F.max("rows").alias("rows")
+    )
+
+
+def weighted_numbers(df: DataFrame, value: str, by: Sequence[str], weight: str | None = None) -> DataFrame:
+    """Columns ``by``, v (double) and w of the rows that have a number and a group."""
+    w = F.lit(1) if weight is None else F.col(weight)
+    kept = F.lit(True)
+    for c in by:
+        kept = kept & F.col(c).isNotNull()
+    return df.where(kept).select(*by, F.col(value).cast("double").alias("v"), w.cast("long").alias("w")).where(
+        is_number("v") & (F.col("w") > 0)
+    )
+
+
+def _values_at(numbers: DataFrame, state: DataFrame, by: list[str], few: int) -> DataFrame:
+    """by, rank, v: the value at each rank of ``state``, where ``local`` is the rank within the range."""
+    v, low, high = F.col("v"), F.col("low"), F.col("high")
+    spread = high - low
+    # The width of a range may be too large for a double; that of its half is not.
+    share = F.when(spread < math.inf, (v - low) / spread).otherwise((v / 2 - low / 2) / (high / 2 - low / 2))
+    part = F.when(spread > 0, F.least(F.floor(share * PARTS), F.lit(PARTS - 1))).otherwise(0)
+    while _most_values(state) > few:
+        counted = (
+            _within(numbers, state, by)
+            .groupBy(*by, "low", "high", part.alias("part"))
+            .agg(F.sum("w").alias("n"), F.min("v").alias("part_low"), F.max("v").alias("part_high"))
+        )
+        picked = _pick(state, counted, by, "part").withColumn("local", F.col("local") - F.col("before"))
+        narrowed = picked.drop("low", "high").withColumnsRenamed({"part_low": "low", "part_high": "high"})
+        state = durable(narrowed.select(*state.columns), "quantile-ranks")
+    single = _within(numbers, state, by).groupBy(*by, "low", "high", "v").agg(F.sum("w").alias("n"))
+    return _pick(state, single, by, "v").select(*by, "rank", "v")
 
 
 def _most_values(state: DataFrame) -> int:
-    """Values in the fullest range that still holds different ones."""
+    """Rows in the fullest range that still holds different values."""
     return state.where("high > low").agg(F.max("n")).first()[0] or 0
 
 
 def _within(numbers: DataFrame, state: DataFrame, by: list[str]) -> DataFrame:
-    """Values that lie in a range still of interest. ``state`` is small and written, so it is broadcast if it fits."""
-    ranges = state.select(*by, "low", "high").distinct()
-    if not by:
-        numbers, ranges, by = numbers.withColumn("_all", F.lit(1)), F.broadcast(ranges.withColumn("_all", F.lit(1))), ["_all"]
-    inside = F.col("v").between(F.col("low"), F.col("high"))
-    return numbers.join(ranges, by).where(inside)
+    """Values that lie in a range still of interest. A group has at most two ranges per probability."""
+    ranges = F.collect_set(F.struct("low", "high")).alias("ranges")
+    if by:
+        met = join_per_key(numbers, state.groupBy(*by).agg(ranges, F.max("rows").alias("rows")), by, "rows")
+    else:
+        met = numbers.withColumn("ranges", state.agg(ranges).scalar())
+    inside = F.col("v").between(F.col("range.low"), F.col("range.high"))
+    return met.withColumn("range", F.explode("ranges")).where(inside).select(*by, "range.low", "range.high", "v", "w")
 
 
 def _pick(state: DataFrame, counted: DataFrame, by: list[str], order: str) -> DataFrame:

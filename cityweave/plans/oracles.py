@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 
 from cityweave.functions.times import DAYS
+from cityweave.operators.charts import CURVE_PARTS
 from cityweave.plans import queries as q
 from cityweave.sources.derived import duckdb_views
 
@@ -271,16 +272,9 @@ _QUERIES = {
         f"and {_GREAT_CIRCLE}",
         "nearby_inspections_count",
     ),
-    "points_per_cell": f"""
-        with entries as (select cast(floor(latitude / 0.01e0) as bigint) as cell_lat,
-                               cast(floor(longitude / 0.01e0) as bigint) as cell_lon, longitude, latitude, count(*) as weight
-                        from located where latitude is not null and longitude is not null group by all),
-        sized as (select *, cast('0x' || substr(md5(printf('%.7f,%.7f', longitude, latitude)), 1, 8) as bigint)
-                         % cast(ceil(count(*) over (partition by cell_lat, cell_lon) / {q.LIST_POINTS}e0) as bigint) as list_no
-                  from entries)
-        select cell_lat, cell_lon, list_no, cast(sum(weight) as bigint) as n_rows, cast(count(*) as integer) as n_points,
-               string_agg(printf('%.6f %.6f x%d', longitude, latitude, weight), ';' order by longitude, latitude) as points
-        from sized group by cell_lat, cell_lon, list_no""",
+    "points_per_cell": """select cast(floor(latitude / 0.01e0) as bigint) as cell_lat,
+        cast(floor(longitude / 0.01e0) as bigint) as cell_lon, longitude, latitude, count(*) as weight
+        from located where latitude is not null and longitude is not null group by all""",
     "value_counts": _counts("crime_raw", "premis_desc"),
     "victim_sex_counts": _counts("valid", "vict_sex"),
     "null_profile": _nulls("crime_raw", _CRIME.split()),
@@ -359,7 +353,7 @@ _QUERIES = {
     "distance_kde": _density("select v from v", "exp(-pow((x - v) / h, 2) / 2)"),
     "distance_kde_binned": _density(
         f"""select avg(v) as v, count(*) as weight, var_pop(v) as variance from v, facts
-            group by least(floor((v - low) / (high - low) * {q.CURVE_PARTS}), {q.CURVE_PARTS - 1})""",
+            group by least(floor((v - low) / (high - low) * {CURVE_PARTS}), {CURVE_PARTS - 1})""",
         "weight * exp(-pow((x - v) / h, 2) / 2) * (1 + variance / (2 * h * h) * (pow((x - v) / h, 2) - 1))",
     ),
     "dashboard_monthly": """select cast(year(date_occ) as integer) as year, cast(month(date_occ) as integer) as month,

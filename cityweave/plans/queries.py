@@ -33,8 +33,6 @@ INSPECTION_TYPE_AT_LEAST = 8_200
 CRIME_TYPE_AT_LEAST = 2_750
 SAMPLE_ROWS = 10_000
 OPENINGS_SINCE = 2010
-CURVE_PARTS = 4096
-LIST_POINTS = 8
 CORRELATED = ("time_occ", "vict_age", "lat", "lon")
 CHOSEN_TYPE = "1-URGENT"
 CHOSEN_DESCENT = "BUILDING"
@@ -75,11 +73,10 @@ class Tables:
 
     @property
     def types_by_nearby(self) -> DataFrame:
-        """Crime type and inspections within 0.01 degrees, for the most frequent types; written once."""
+        """Crime type, inspections within 0.01 degrees and number of such crimes, for the most frequent types."""
         kept = profile.keep_top_values(self.valid, "crm_cd_desc", TABLE_TYPES)
-        return durable(
-            nearby.nearby_inspections_degrees(kept, self.located).select("crm_cd_desc", "nearby_inspections"), "nearby"
-        )
+        near = nearby.nearby_inspections_degrees(kept.select("crm_cd_desc", "lat", "lon"), self.located)
+        return durable(near.groupBy("crm_cd_desc", "nearby_inspections").agg(F.count("*").alias("n")), "nearby")
 
     def cells(self, labelled: DataFrame, label: str) -> DataFrame:
         """Observed (type, label) cells of the types most frequent in the whole table."""
@@ -92,7 +89,9 @@ class Tables:
 
     @property
     def by_distance(self) -> DataFrame:
-        return self.measured.withColumn("distance_bin", bins.DISTANCES.label("distance"))
+        # Through the explosion no filter on the bin reaches the distance, which it would compute again for each edge.
+        once = self.measured.withColumn("distance", F.explode(F.array("distance")))
+        return once.withColumn("distance_bin", bins.DISTANCES.label("distance"))
 
 
 def query(make: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
@@ -390,14 +389,8 @@ def nearby_count_same_cell(t: Tables) -> DataFrame:
 
 @query
 def points_per_cell(t: Tables) -> DataFrame:
-    """Lists of points per grid cell, shown as text."""
-    lists = nearby.points_per_cell(t.located, points_per_list=LIST_POINTS)
-    text = F.transform(
-        "points", lambda p: F.format_string("%.6f %.6f x%d", p["longitude"], p["latitude"], p["weight"])
-    )
-    return lists.select(
-        "cell_lat", "cell_lon", "list_no", "n_rows", F.size("points").alias("n_points"), F.array_join(text, ";").alias("points")
-    )
+    """The distinct points of each grid cell."""
+    return nearby.points_per_cell(t.located)
 
 
 # --- aggregations and statistics
@@ -511,13 +504,13 @@ def chi2_expected(t: Tables) -> DataFrame:
 @query
 def median_by_type(t: Tables) -> DataFrame:
     """Median number of inspections within 0.01 degrees per crime type, rising."""
-    medians = quantiles(t.types_by_nearby, "nearby_inspections", {"median": 0.5}, ["crm_cd_desc"])
+    medians = quantiles(t.types_by_nearby, "nearby_inspections", {"median": 0.5}, ["crm_cd_desc"], "n")
     return medians.orderBy("median", "crm_cd_desc")
 
 
 @query
 def boxplot_stats(t: Tables) -> DataFrame:
-    return charts.box_plot(t.types_by_nearby, "crm_cd_desc", "nearby_inspections")
+    return charts.box_plot(t.types_by_nearby, "crm_cd_desc", "nearby_inspections", "n")
 
 
 @query
@@ -552,13 +545,13 @@ def _curve(df: DataFrame) -> DataFrame:
 @query
 def distance_kde(t: Tables) -> DataFrame:
     """Exact density curve over all crimes."""
-    return _curve(charts.density(t.measured, "distance"))
+    return _curve(charts.density(t.measured, "distance", bins=None))
 
 
 @query
 def distance_kde_binned(t: Tables) -> DataFrame:
     """Density curve from part sums."""
-    return _curve(charts.density(t.measured, "distance", bins=CURVE_PARTS))
+    return _curve(charts.density(t.measured, "distance"))
 
 
 @query

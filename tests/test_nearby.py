@@ -153,10 +153,16 @@ def test_same_cell_misses_neighbours_across_the_edge(spark):
     assert nearby.nearby_inspections_haversine(rows, pts).first().nearby_inspections_count == 2
 
 
-def test_point_lists_are_bounded_and_whole(spark):
+def test_points_per_cell_are_whole(spark):
     points = scatter(11, 400, 0.004) * 2
-    _, pts = frames(spark, [], points)
-    lists = nearby.points_per_cell(pts, points_per_list=20).collect()
-    assert sum(len(r.points) for r in lists) == 400 and sum(r.n_rows for r in lists) == 800
-    assert max(len(r.points) for r in lists) < 60
-    assert all(p.weight == 2 for r in lists for p in r.points)
+    _, pts = frames(spark, [], points + [(None, 1.0)])
+    found = nearby.points_per_cell(pts).collect()
+    assert len(found) == 400 and {r.weight for r in found} == {2}
+    assert all((r.cell_lat, r.cell_lon) == (int(r.latitude // 0.01), int(r.longitude // 0.01)) for r in found)
+
+
+def test_levels_go_on_until_blocks_are_not_crowded(spark, monkeypatch):
+    monkeypatch.setattr(nearby, "VERY_CROWDED", 3)
+    points = spark.range(20_000).select((34 + F.rand(1) / 1000).alias("latitude"), (F.rand(2) / 1000 - 118).alias("longitude"))
+    leaves = nearby._weighted_points(points, "latitude", "longitude", nearby.DEGREE_CIRCLE)
+    assert nearby._sides_for(leaves) == (8, 64, 512, 4096)

@@ -24,27 +24,37 @@ def numbers(spark, shape):
     return spark.createDataFrame(rows, "g string, v double")
 
 
-@pytest.mark.parametrize(
-    "shape,by,few", [("even", ["g"], 0), ("spiky", [], 3), ("copies", ["g"], 0), ("scales", [], 100), ("infinite", [], 0)]
-)
-def test_refined_quantiles_equal_the_built_in(spark, shape, by, few):
+@pytest.mark.parametrize("few", [0, 3, 100_000])
+@pytest.mark.parametrize("shape,by", [("even", ["g"]), ("spiky", []), ("copies", ["g"]), ("scales", []), ("infinite", ["g"])])
+def test_quantiles_equal_the_built_in(spark, shape, by, few):
     df = numbers(spark, shape)
-    built_in = sorted(map(tuple, quantiles(df, "v", LEVELS, by).collect()))
-    refined = sorted(map(tuple, quantiles(df, "v", LEVELS, by, buffered_values=few).collect()))
-    assert len(built_in) == (3 if by else 1)
-    for b, r in zip(built_in, refined):
+    kept = df.where("v is not null and not isnan(v)" + "".join(f" and {c} is not null" for c in by))
+    levels = F.array(*map(F.lit, LEVELS.values()))
+    built_in = sorted((*r[:-1], *r[-1]) for r in kept.groupBy(*by).agg(F.percentile("v", levels)).collect())
+    found = sorted(map(tuple, quantiles(df, "v", LEVELS, by, few=few).collect()))
+    assert len(built_in) == len(found) == (3 if by else 1)
+    for b, r in zip(built_in, found):
         assert b[: len(by)] == r[: len(by)] and r[len(by) :] == pytest.approx(b[len(by) :], rel=1e-12)
 
 
-def test_describe_skips_missing_and_agrees_in_both_ways(spark):
+def test_quantiles_of_weights_ends_and_nothing(spark):
+    df = spark.createDataFrame([(1.0, 3), (2.0, 1), (9.0, 0), (5.0, 2)], "v double, n int")
+    assert tuple(quantiles(df, "v", {"low": 0.0, "mid": 0.5, "high": 1.0}, weight="n", few=0).first()) == (1.0, 1.5, 5.0)
+    ends = spark.createDataFrame([(-1.7e308,), (0.5,), (1.7e308,), (float("-inf"),), (float("inf"),)], "v double")
+    levels = {"a": 0.0, "b": 0.25, "c": 0.5, "d": 0.75, "e": 1.0}
+    found = quantiles(ends, "v", levels, few=0).first()
+    assert tuple(found) == (float("-inf"), -1.7e308, 0.5, 1.7e308, float("inf"))
+    assert tuple(quantiles(df.limit(0), "v", levels).first()) == (None,) * 5
+
+
+def test_describe_skips_missing(spark):
     df = numbers(spark, "even")
     values = [r.v for r in df.collect() if r.v is not None and r.v == r.v]
-    d, e = profile.describe(df, "v").first(), profile.describe(df, "v", buffered_values=0).first()
-    assert d.n == e.n == len(values)
-    assert d.mean == pytest.approx(statistics.fmean(values)) and d.std == pytest.approx(statistics.stdev(values))
-    assert (d.min, d.max) == (min(values), max(values))
-    quartiles = statistics.quantiles(values, n=4, method="inclusive")
-    assert [d.p25, d.p50, d.p75] == pytest.approx(quartiles) and [e.p25, e.p50, e.p75] == pytest.approx(quartiles)
+    for d in (profile.describe(df, "v").first(), profile.describe(df, "v", few=0).first()):
+        assert d.n == len(values)
+        assert d.mean == pytest.approx(statistics.fmean(values)) and d.std == pytest.approx(statistics.stdev(values))
+        assert (d.min, d.max) == (min(values), max(values))
+        assert [d.p25, d.p50, d.p75] == pytest.approx(statistics.quantiles(values, n=4, method="inclusive"))
 
 
 def table(spark, cells):
@@ -112,7 +122,7 @@ def test_histogram_edges(spark):
 def test_box_plot(spark):
     rows = [("a", float(v)) for v in [1, 2, 3, 4, 5, 6, 7, 8, 100]] + [("b", 5.0), ("c", None)]
     for limit in (0, 1000):
-        got = {r.g: r for r in charts.box_plot(spark.createDataFrame(rows, "g string, v double"), "g", "v", limit).collect()}
+        got = {r.g: r for r in charts.box_plot(spark.createDataFrame(rows, "g string, v double"), "g", "v", few=limit).collect()}
         assert set(got) == {"a", "b"}
         a, b = got["a"], got["b"]
         assert (a.q1, a.median, a.q3, a.n, a.whisker_low, a.whisker_high, a.n_outliers) == (3, 5, 7, 9, 1, 8, 1)
@@ -122,10 +132,13 @@ def test_box_plot(spark):
 def test_binned_density_is_close_to_exact(spark):
     r = random.Random(1)
     df = spark.createDataFrame([(r.gauss(10, 3),) for _ in range(3000)] + [(None,)], "v double")
-    exact = {p.point: p.density for p in charts.density(df, "v").collect()}
-    binned = {p.point: p.density for p in charts.density(df, "v", bins=2048).collect()}
-    assert len(exact) == 200 and max(abs(exact[k] - binned[k]) for k in exact) < 1e-9
-    assert 0.95 < sum(exact.values()) * (max(p.x for p in charts.density(df, "v").collect()) - min(p.x for p in charts.density(df, "v").collect())) / 199 < 1.01
+    curve = charts.density(df, "v", bins=None).collect()
+    exact, xs = {p.point: p.density for p in curve}, [p.x for p in curve]
+    binned = {p.point: p.density for p in charts.density(df, "v").collect()}
+    width, bandwidth = (max(xs) - min(xs)) / charts.CURVE_PARTS, 3 * 3000**-0.2
+    assert len(exact) == 200
+    assert max(abs(exact[k] - binned[k]) for k in exact) < 0.1 * (width / bandwidth) ** 3 / bandwidth + 1e-15
+    assert 0.95 < sum(exact.values()) * (max(xs) - min(xs)) / 199 < 1.01
 
 
 def test_density_of_equal_values_is_unknown(spark):
