@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import product
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cityweave.functions.numbers import is_number
@@ -25,7 +25,7 @@ def value_counts(df: DataFrame, column: str, count: str = "n") -> DataFrame:
     return counts_by(df, column, count=count).orderBy(F.desc(count), column)
 
 
-def frequent_values(df: DataFrame, column: str, at_least: int, count: str = "n") -> DataFrame:
+def frequent_values(df: DataFrame, column: str, at_least: int | Column, count: str = "n") -> DataFrame:
     """Values that occur at least so often."""
     return counts_by(df, column, count=count).where(F.col(count) >= at_least).orderBy(F.desc(count), column)
 

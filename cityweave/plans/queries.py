@@ -28,13 +28,14 @@ TOP_TYPES = 5
 TABLE_TYPES = 15
 SHARE_TYPES = 3
 KEPT_TYPES = 2
-STATUS_AT_LEAST = 19_100
-INSPECTION_TYPE_AT_LEAST = 8_200
-CRIME_TYPE_AT_LEAST = 2_750
+# The least frequent value kept, as a share of all rows.
+STATUS_SHARE = 0.2
+INSPECTION_TYPE_SHARE = 0.084
+CRIME_TYPE_SHARE = 0.05
 SAMPLE_ROWS = 10_000
 OPENINGS_SINCE = 2010
 CORRELATED = ("time_occ", "vict_age", "lat", "lon")
-CHOSEN_TYPE = "1-URGENT"
+CHOSEN_TYPE = "Crime-0"
 CHOSEN_DESCENT = "BUILDING"
 
 
@@ -108,6 +109,10 @@ def r6(c: Column | str, name: str | None = None) -> Column:
     return rounded.alias(name or c) if name or isinstance(c, str) else rounded
 
 
+def share_of_rows(df: DataFrame, share: float) -> Column:
+    return df.agg(F.count(F.lit(1)) * F.lit(share)).scalar()
+
+
 # --- scans, sinks, tables
 
 
@@ -127,6 +132,14 @@ def scan_csv_inspections(t: Tables) -> DataFrame:
     return datasets.read_csv(t.spark, path, datasets.INSPECTION)
 
 
+@query
+def scan_csv_business(t: Tables) -> DataFrame:
+    """Raw businesses written as CSV under the source headers and scanned back; account numbers are text there."""
+    path = fresh_path(t.spark, "business-csv")
+    tables.write_csv(t.business_raw, path, datasets.BUSINESS.headers)
+    return datasets.read_csv(t.spark, path, datasets.BUSINESS)
+
+
 @query
 def export_job(t: Tables) -> DataFrame:
     """The whole job: both final tables exported as CSV, read back and counted by area and by status."""
@@ -178,8 +191,9 @@ def sink_csv(t: Tables) -> DataFrame:
 def sink_parquet(t: Tables) -> DataFrame:
     """Cleaned crimes written as Parquet, one folder per area, and read back."""
     path = fresh_path(t.spark, "crime-parquet")
-    tables.write_parquet(t.crime.select("dr_no", "area_name", "date_occ", "time_occ", "vict_sex"), path, ("area_name",))
-    return t.spark.read.parquet(path)
+    crimes = t.crime.select("dr_no", "area_name", "date_occ", "time_occ", "vict_sex")
+    tables.write_parquet(crimes, path, ("area_name",))
+    return t.spark.read.schema(crimes.schema).parquet(path)
 
 
 @query
@@ -215,6 +229,24 @@ def row_count(t: Tables) -> DataFrame:
     return tables.row_count(t.crime_raw)
 
 
+@query
+def describe_columns(t: Tables) -> DataFrame:
+    """Positions, names and types of the raw crime columns."""
+    return tables.describe_columns(t.crime_raw)
+
+
+@query
+def list_tables(t: Tables) -> DataFrame:
+    """Two saved tables, found in the list of tables by their names."""
+    mark, counts = _table_name(), profile.counts_by(t.valid, "area_name")
+    for label in ("a", "b"):
+        tables.create_table_if_absent(counts, f"{mark}_{label}", fresh_path(t.spark, "table"))
+    found = [(n.rsplit("_", 1)[1], t.spark.table(n).count()) for n in tables.list_tables(t.spark) if n.startswith(mark)]
+    for label in ("a", "b"):
+        t.spark.sql(f"drop table {mark}_{label}")
+    return t.spark.createDataFrame(found, "label string, n_areas long")
+
+
 @query
 def preview(t: Tables) -> DataFrame:
     return tables.preview(t.crime_raw, "dr_no", 5)
@@ -247,17 +279,17 @@ def filter_top_types(t: Tables) -> DataFrame:
 
 @query
 def frequent_values(t: Tables) -> DataFrame:
-    return profile.frequent_values(t.located, "permit_status", STATUS_AT_LEAST)
+    return profile.frequent_values(t.located, "permit_status", share_of_rows(t.located, STATUS_SHARE))
 
 
 @query
 def frequent_inspection_types(t: Tables) -> DataFrame:
-    return profile.frequent_values(t.located, "inspection_type", INSPECTION_TYPE_AT_LEAST)
+    return profile.frequent_values(t.located, "inspection_type", share_of_rows(t.located, INSPECTION_TYPE_SHARE))
 
 
 @query
 def frequent_crime_types(t: Tables) -> DataFrame:
-    return profile.frequent_values(t.valid, "crm_cd_desc", CRIME_TYPE_AT_LEAST)
+    return profile.frequent_values(t.valid, "crm_cd_desc", share_of_rows(t.valid, CRIME_TYPE_SHARE))
 
 
 # --- scalar functions
@@ -387,6 +419,30 @@ def nearby_count_same_cell(t: Tables) -> DataFrame:
     return nearby.same_cell_inspections(t.crime_raw.select("dr_no", "lat", "lon"), t.located).drop("lat", "lon")
 
 
+@query
+def nearby_count_one_level(t: Tables) -> DataFrame:
+    """The 500 m count with one level of blocks, however crowded the cells are."""
+    rows = t.crime_raw.select("dr_no", "lat", "lon")
+    counted = nearby.with_near_count(rows, t.located, nearby.COUNT_CIRCLE, "nearby_inspection_count", sides=(3,))
+    return counted.drop("lat", "lon")
+
+
+@query
+def nearby_count_two_levels(t: Tables) -> DataFrame:
+    """The great-circle count with two levels of blocks."""
+    rows = t.crime_raw.select("dr_no", "lat", "lon")
+    counted = nearby.with_near_count(rows, t.located, nearby.HAVERSINE_CIRCLE, "nearby_inspections_count", sides=(8, 64))
+    return counted.drop("lat", "lon")
+
+
+@query
+def nearby_count_hot_parts(t: Tables) -> DataFrame:
+    """The count within 0.01 degrees; locations with more than 50 crimes are joined in parts."""
+    rows = t.crime_raw.select("dr_no", "lat", "lon")
+    counted = nearby.with_near_count(rows, t.located, nearby.DEGREE_CIRCLE, "nearby_inspections", rows_per_part=50)
+    return counted.drop("lat", "lon")
+
+
 @query
 def points_per_cell(t: Tables) -> DataFrame:
     """The distinct points of each grid cell."""
@@ -519,6 +575,14 @@ def describe_distance(t: Tables) -> DataFrame:
     return d.select("n", *[r6(c) for c in d.columns if c != "n"])
 
 
+@query
+def quantiles_refined(t: Tables) -> DataFrame:
+    """Quantiles of the distance per area, by splitting ranges until each holds a single value."""
+    levels = {"p01": 0.01, "p50": 0.5, "p99": 0.99}
+    found = quantiles(t.measured, "distance", levels, ["area_name"], few=0)
+    return found.select("area_name", *map(r6, levels))
+
+
 @query
 def corr_matrix(t: Tables) -> DataFrame:
     return profile.correlation_matrix(t.valid, CORRELATED).withColumn("correlation", r6("correlation"))
@@ -576,6 +640,13 @@ def dashboard_descent_share_filtered(t: Tables) -> DataFrame:
     return share.withColumn("percentage", r6("percentage"))
 
 
+@query
+def dashboard_descent_share_both(t: Tables) -> DataFrame:
+    """Shares under a filter on type and on descent at once."""
+    share = trends.dashboard_descent_share(t.crime, types=[CHOSEN_TYPE], descents=[CHOSEN_DESCENT, "AUTOMOBILE"])
+    return share.withColumn("percentage", r6("percentage"))
+
+
 # --- top-k, sorting, sampling
 
 
@@ -600,6 +671,13 @@ def nlargest(t: Tables) -> DataFrame:
     return largest.select("dr_no", "crm_cd_desc", "distance")
 
 
+@query
+def nlargest_nearby(t: Tables) -> DataFrame:
+    """The crimes with most inspections within 0.01 degrees."""
+    near = nearby.nearby_inspections_degrees(t.valid.select("dr_no", "crm_cd_desc", "lat", "lon"), t.located)
+    return profile.nlargest(near, "nearby_inspections", 10, "dr_no").select("dr_no", "crm_cd_desc", "nearby_inspections")
+
+
 @query
 def crime_by_area(t: Tables) -> DataFrame:
     return profile.value_counts(t.valid, "area_name", "number_of_crimes")
@@ -610,6 +688,12 @@ def sample_n(t: Tables) -> DataFrame:
     return profile.sample_n(t.valid, SAMPLE_ROWS, "dr_no").select("dr_no", "crm_cd_desc", "lat", "lon")
 
 
+@query
+def sample_all(t: Tables) -> DataFrame:
+    """A sample larger than the table is the table."""
+    return profile.sample_n(t.business_raw, (1 << 31) - 1, "account_no").select("account_no")
+
+
 # --- jobs
 
 

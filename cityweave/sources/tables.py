@@ -16,7 +16,13 @@ def write_csv(df: DataFrame, path: str, headers: Mapping[str, str] | None = None
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
-    """Overwrite ``path`` with Parquet, optionally one folder per value of ``partition_by``."""
+    """Overwrite ``path`` with Parquet, optionally one folder per value of ``partition_by``.
+
+    Rows of one folder are brought together first, so it does not get a file from every task; adaptive execution
+    splits large folders between tasks.
+    """
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
