@@ -8,6 +8,7 @@ from cityweave.operators import cleaning, trends
 from cityweave.operators.skew import join_per_key
 from cityweave.plans import jobs
 from cityweave.sources import datasets, scratch, tables
+from cityweave.sources.derived import raw_tables
 
 
 def write(path, text):
@@ -160,3 +161,15 @@ def test_required_fields_and_fill(spark):
     df = spark.createDataFrame([(1, "a"), (None, "b"), (3, None)], "x int, s string")
     assert cleaning.require_fields(df, "x", "s").count() == 1
     assert [r.s for r in cleaning.fill_unidentified(df, "s").orderBy(F.col("x").asc_nulls_first()).collect()] == ["b", "a", "Unidentified"]
+
+
+def test_derived_tables_have_the_rows_that_rules_are_about(spark, small):
+    raw = raw_tables(spark, small)
+    crime = raw["crime"]
+    facts = crime.selectExpr(
+        "count(distinct crm_cd_desc) as types", "count_if(date_occ = 'unknown') as undated", "count_if(time_occ = 2400) as midnight"
+    ).first()
+    assert facts.types >= 40 and facts.undated and facts.midnight
+    assert crime.groupBy("lat", "lon").count().where("lat > 0").agg({"count": "max"}).first()[0] > 100
+    assert raw["inspection"].select("inspection_result").distinct().count() >= 20
+    assert raw["business"].select("primary_naics_description").distinct().count() >= 20
