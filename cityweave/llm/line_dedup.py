@@ -8,9 +8,13 @@ of all pages nor a line on all of them meets in one task. At most (mean lines pe
 above ``ratio``, so the list kept for a host is short whatever its size. The join back to the pages has one row
 per host on its small side: the planner broadcasts it by its measured file size, or AQE splits a hot host.
 
+The ratio lies well below the share of boilerplate in a site of several languages, where a line of one
+language is only on pages of that language.
+
 Defined results: lines are compared without white space at their ends; blank lines are never dropped; a line
 counts once per page; a line on fewer than ``least_pages`` pages of a host is never dropped; a NULL host is a host of its
-own; NULL text stays NULL; repeated rows are pages of their own; a page of nothing but boilerplate keeps an
+own; NULL text stays NULL; repeated rows are pages of their own, unless ``copies`` is False: then pages of a host with equal texts
+count as one, so that copies of a page do not make its own lines boilerplate; a page of nothing but boilerplate keeps an
 empty text; extra columns are kept.
 """
 
@@ -22,7 +26,7 @@ from pyspark.sql import functions as F
 from cityweave.llm.rows import as_row
 from cityweave.sources.scratch import durable
 
-RATIO = 0.1
+RATIO = 0.01
 LEAST_PAGES = 5
 _EDGES = " \t\r\x0b\x0c"
 
@@ -39,14 +43,19 @@ def _lines(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
 
-def boilerplate(pages: DataFrame, host: str, text: str, ratio: float, least_pages: int) -> DataFrame:
+def boilerplate(pages: DataFrame, host: str, text: str, ratio: float, least_pages: int, copies: bool) -> DataFrame:
     """One row per host that has boilerplate: host, lines (digests)."""
-    totals = durable(pages.groupBy(F.col(host).alias("host")).agg(F.count("*").alias("pages")), "host-pages")
+    page = F.xxhash64(text)
+    n_pages = F.count("*") if copies else F.count_distinct(page)
+    totals = durable(pages.groupBy(F.col(host).alias("host")).agg(n_pages.alias("pages")), "host-pages")
     filled = F.filter(_lines(F.col(text)), lambda line: _bare(line) != "")
     on_page = pages.select(
-        F.col(host).alias("host"), F.explode(F.array_distinct(F.transform(filled, _digest))).alias("line")
+        F.col(host).alias("host"),
+        *([] if copies else [page.alias("page")]),
+        F.explode(F.array_distinct(F.transform(filled, _digest))).alias("line"),
     )
-    counted = on_page.groupBy("host", "line").agg(F.count("*").alias("n")).where(F.col("n") >= least_pages)
+    n = F.count("*") if copies else F.count_distinct("page")
+    counted = on_page.groupBy("host", "line").agg(n.alias("n")).where(F.col("n") >= least_pages)
     met = counted.alias("c").join(totals.alias("t"), F.col("c.host").eqNullSafe(F.col("t.host")))
     return met.where(F.col("n") > F.col("pages") * F.lit(ratio)).groupBy("c.host").agg(F.collect_list("line").alias("lines"))
 
@@ -57,9 +66,10 @@ def dedup_lines(
     text: str = "text",
     ratio: float = RATIO,
     least_pages: int = LEAST_PAGES,
+    copies: bool = True,
 ) -> DataFrame:
     """Columns ``row`` (the input row), ``kept`` (its text without boilerplate), ``n_lines`` and ``n_dropped``."""
-    listed = durable(boilerplate(pages, host, text, ratio, least_pages), "boilerplate")
+    listed = durable(boilerplate(pages, host, text, ratio, least_pages, copies), "boilerplate")
     rows = pages.select(as_row(pages).alias("row"), F.col(host).alias("host"), F.col(text).alias("whole"))
     met = rows.alias("r").join(listed.alias("b"), F.col("r.host").eqNullSafe(F.col("b.host")), "left")
     stays = F.filter(

@@ -19,8 +19,8 @@ def quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Lines that are boilerplate of their source go; their documents stay."""
-    return line_dedup.without_boilerplate(docs)
+    """Lines that are boilerplate of their source go; their documents stay. Copies, which go later, count once."""
+    return line_dedup.without_boilerplate(docs, copies=False)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

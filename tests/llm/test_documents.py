@@ -11,6 +11,7 @@ import pytest
 import xxhash
 import zstandard
 
+import corpus_pipeline
 from cityweave.llm import compression, line_dedup, mixing, pieces, pii, rule_ensemble, simhash
 from cityweave.llm.rows import table
 
@@ -127,6 +128,26 @@ def test_line_dedup_odd_rows(odd_docs, no_docs):
     assert line_dedup.without_boilerplate(no_docs).count() == 0
 
 
+def test_line_on_a_few_per_cent_of_every_source_goes(spark):
+    footers = {0: "Lire la suite de cet article", 1: "Mehr zu diesem Thema", 2: "Read on"}  # 8 %, 4 % and 2 % of each source
+
+    def text(i):
+        k = next((k for k in footers if i % 100 < (8, 12, 14)[k]), None)
+        return f"page {i} of its own\n" + footers.get(k, f"end {i}")
+
+    rows = [(s * 1000 + i, text(i), f"source{s}") for s in range(4) for i in range(300)]
+    out = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    left = [r.kept for r in out.collect()]
+    assert not any(f in t for f in footers.values() for t in left)
+    assert all(t.startswith("page ") for t in left) and sum("\nend " in t for t in left) == 4 * 258
+
+
+def test_copies_are_no_boilerplate_in_the_pipeline(spark):
+    rows = [(i, "all of this\nis copied" if i % 20 == 0 else f"page {i}\nfooter", "s") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    assert {r.text for r in corpus_pipeline.lines(spark, docs, "").collect()} == {"all of this\nis copied", *[f"page {i}" for i in range(400) if i % 20]}
+
+
 # --- compression
 
 
