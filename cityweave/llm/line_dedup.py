@@ -27,7 +27,7 @@ from cityweave.llm.rows import as_row
 from cityweave.sources.scratch import durable
 
 RATIO = 0.01
-LEAST_PAGES = 5
+LEAST_PAGES = 3
 _EDGES = " \t\r\x0b\x0c"
 
 

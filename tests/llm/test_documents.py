@@ -142,6 +142,12 @@ def test_line_on_a_few_per_cent_of_every_source_goes(spark):
     assert all(t.startswith("page ") for t in left) and sum("\nend " in t for t in left) == 4 * 258
 
 
+def test_small_sites_have_boilerplate(spark):
+    rows = [(s * 10 + i, f"page {i}\nfooter\n{'pair' if i < 2 else i}", f"s{s}") for s in range(4) for i in range(3)]
+    out = line_dedup.without_boilerplate(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    assert {r.text for r in out.collect()} == {"page 0\npair", "page 1\npair", "page 2\n2"}
+
+
 def test_copies_are_no_boilerplate_in_the_pipeline(spark):
     rows = [(i, "all of this\nis copied" if i % 20 == 0 else f"page {i}\nfooter", "s") for i in range(400)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
