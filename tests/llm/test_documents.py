@@ -1,5 +1,6 @@
 """Operators on documents: brute force, round trips, and rows of every odd kind."""
 
+import base64
 import hashlib
 import itertools
 import math
@@ -188,6 +189,24 @@ def test_compression(spark, small, odd_docs, no_docs):
     assert [len(c) for c in compression.chunks_of(b"x" * 9000, 4096)] == [4096, 4904]
 
 
+def test_compression_bands_meet_parts_of_a_text():
+    compress = zstandard.ZstdCompressor(level=3).compress
+    draw = random.Random(2)
+    terms = ["".join(draw.choices("etaoinshrdlu", k=draw.randint(2, 9))) for _ in range(3000)]
+
+    def prose(n):
+        return " ".join(draw.choices(terms, k=n))[:n]
+
+    def encoded(n):
+        return base64.encodebytes(draw.randbytes(n)).decode()[:n]
+
+    assert all(compression.judge_text(prose(n), compress).kept for n in (500, 1000, 2000, 4000, 8000, 30_000))
+    assert not compression.judge_text(prose(10_000) + encoded(12_000), compress).kept
+    assert not compression.judge_text(prose(9000) + "buy now and save a lot, " * 340 + prose(9000), compress).kept
+    for n in (400, 900, 1900, 4000, 8000, 30_000):  # with words enough for the base rules
+        assert not compression.in_bands(encoded(n).encode(), compress)[2]
+
+
 # --- SentencePiece
 
 
