@@ -306,6 +306,11 @@ def test_personal_data_base(spark, small, odd_docs, no_docs):
     assert pii.find(no_docs, nothing).count() == 0 and pii.fit(no_docs) == nothing
 
 
+def test_address_parts_of_any_length():
+    assert pii.base_spans("0" * 5000 + "7.1.1." + "0" * 5000) == [pii.Span("ip", 0, 10_006)]
+    assert pii.base_spans("0" * 5000 + "256.1.1.1") == []
+
+
 def test_personal_data_model(spark):
     docs = table(spark, "/root/testdata/sf0.1", "documents")
     model = pii.fit(docs)
