@@ -306,6 +306,28 @@ def test_personal_data_base(spark, small, odd_docs, no_docs):
     assert pii.find(no_docs, nothing).count() == 0 and pii.fit(no_docs) == nothing
 
 
+def test_every_window_of_digit_groups_is_proposed():
+    for text, kind, part in (
+        ("card 4111 1111 1111 1111 12/27", "card", "4111 1111 1111 1111"), ("4111 1111 1111 1111 5500 0000 0000 0004", "card", "5500 0000 0000 0004"),
+        ("in 2024 555-123-4567", "phone", "555-123-4567"), ("room 12 (555) 123-4567 (new)", "phone", "(555) 123-4567"),
+    ):
+        at = text.index(part)
+        assert pii.Span(kind, at, at + len(part)) in pii.proposals(text)
+    assert len(pii.proposals("1234 " * 10_000)) < 100_000
+
+
+def test_numbers_beside_numbers_are_taken(spark):
+    model = pii.fit(table(spark, "/root/testdata/sf0.1", "documents"))
+
+    def taken(text):
+        return {(s.kind, text[s.start : s.end]) for s in pii.all_spans(text, pii.base_spans(text), model)}
+
+    assert ("card", "4111 1111 1111 1111") in taken("pay by card 4111 1111 1111 1111 12/27 please")
+    assert taken("cards 4111 1111 1111 1111 5500 0000 0000 0004 end") >= {("card", "4111 1111 1111 1111"), ("card", "5500 0000 0000 0004")}
+    assert ("phone", "(555) 123-4567") in taken("call room 12 (555) 123-4567 now")
+    assert ("phone", "555-123-4567") in taken("call in 2023 555-123-4567 now")
+
+
 def test_address_parts_of_any_length():
     assert pii.base_spans("0" * 5000 + "7.1.1." + "0" * 5000) == [pii.Span("ip", 0, 10_006)]
     assert pii.base_spans("0" * 5000 + "256.1.1.1") == []
