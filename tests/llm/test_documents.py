@@ -328,6 +328,12 @@ def test_numbers_beside_numbers_are_taken(spark):
     assert ("phone", "555-123-4567") in taken("call in 2023 555-123-4567 now")
 
 
+def test_each_kind_has_its_own_sample(spark):
+    rows = [(i, f"write to user{i}@example.com" + (f" or 10.0.0.{i // 400}" if i % 400 == 0 else "")) for i in range(12_000)]
+    found = pii.sampled_spans(spark.createDataFrame(rows, "doc_id long, text string"), spans_per_kind=100)
+    assert Counter(r[0] for r in found) == {"email": 100, "ip": 30} and len({r[:2] for r in found}) == 130
+
+
 def test_address_parts_of_any_length():
     assert pii.base_spans("0" * 5000 + "7.1.1." + "0" * 5000) == [pii.Span("ip", 0, 10_006)]
     assert pii.base_spans("0" * 5000 + "256.1.1.1") == []
