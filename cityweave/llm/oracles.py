@@ -110,10 +110,22 @@ select page_id, payload_bytes, payload_digest,
 from first"""
 
 
+def _exact_dedup() -> str:
+    return """
+with ranked as (
+  select doc_id, coalesce(text, '') as whole, max(doc_id) over g as keep_id, count(*) over g as group_size,
+    row_number() over (partition by coalesce(text, ''), doc_id) as place
+  from documents window g as (partition by coalesce(text, '')))
+select doc_id, keep_id, group_size::bigint as group_size, doc_id is not distinct from keep_id and place = 1 as kept,
+  sha256(whole) as text_sha256
+from ranked"""
+
+
 LLM_ORACLES = {
     "op1_url_filter": _url_filter(),
     "op2_mixing": _mixing(),
     "op3_topk": _topk(),
     "op4_line_dedup": _line_dedup(),
     "op5_warc": _warc(),
+    "op13_exact_dedup": _exact_dedup(),
 }

@@ -6,7 +6,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from cityweave.llm import compression, line_dedup, mixing, pieces, pii, rule_ensemble, simhash, topk, url_filter, warc
+from cityweave.llm import (
+    compression,
+    conversation,
+    exact_dedup,
+    line_dedup,
+    mixing,
+    pieces,
+    pii,
+    rule_ensemble,
+    simhash,
+    spelling,
+    topk,
+    url_filter,
+    warc,
+)
 from cityweave.llm.oracles import LLM_ORACLES
 from cityweave.llm.rows import table
 
@@ -57,6 +71,21 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.find(docs, pii.fit(docs))
 
 
+def op11_conversation(spark: SparkSession, folder: str) -> DataFrame:
+    return conversation.repair(table(spark, folder, "conversations"))
+
+
+def op12_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(table(spark, folder, "documents"))
+
+
+def op13_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    docs = docs.withColumn("text_sha256", F.sha2(exact_dedup.whole_text(F.col("text")), 256))
+    found = exact_dedup.judge(docs, carry=["doc_id", "text_sha256"])
+    return found.select("row.doc_id", "keep_id", "group_size", "kept", "row.text_sha256")
+
+
 LLM_QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_mixing": op2_mixing,
@@ -68,5 +97,8 @@ LLM_QUERIES = {
     "op8_compression": op8_compression,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_pii": op10_pii,
+    "op11_conversation": op11_conversation,
+    "op12_spelling": op12_spelling,
+    "op13_exact_dedup": op13_exact_dedup,
     "pipeline": corpus_pipeline.run,
 }

@@ -14,7 +14,7 @@ def test_against_sql(spark, small, duck, name):
 
 def test_registry():
     assert set(LLM_ORACLES) <= set(LLM_QUERIES)
-    assert [name.split("_")[0] for name in LLM_QUERIES] == [f"op{n}" for n in range(1, 11)] + ["pipeline"]
+    assert [name.split("_")[0] for name in LLM_QUERIES] == [f"op{n}" for n in range(1, 14)] + ["pipeline"]
 
 
 def test_pipeline(spark, small):
