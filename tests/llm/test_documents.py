@@ -239,6 +239,58 @@ def test_segmentation_is_the_same_whatever_is_remembered(spark, small):
         assert every[:20] == fresh
 
 
+def test_segmentation_shares_across_chunks(spark):
+    """Texts of several chunks, with spelled characters: shares of the product of weights over all segmentations."""
+    v = pieces.read_vocabulary()
+    weight = {p: w for p, _, w in v.pieces}
+    text = " ab\u2603, é"
+
+    def spelled(c):
+        return math.prod(v.weights[v.byte_ids[b]] for b in c.encode())
+
+    def cuts(x):
+        if not x:
+            yield (), 1.0
+        for n in range(1, len(x) + 1):
+            one = weight.get(x[:n]) or (spelled(x[:1]) if n == 1 and x[:1] not in weight else None)
+            if one:
+                yield from (((x[:n], *rest), one * w) for rest, w in cuts(x[n:]))
+
+    share = dict(cuts(text))
+    whole, n = sum(share.values()), 20_000
+    sampler = pieces.Sampler(v)
+    got = Counter(tuple(ids.tolist()) for ids in sampler.encode_rows([text[1:]] * n, [pieces.key_draw(k, 1) for k in range(n)]))
+    id_of = {p: i for p, i, _ in v.pieces}
+    for cut, w in share.items():
+        ids = [i for p in cut for i in ([id_of[p]] if p in id_of else [v.byte_ids[b] for b in p.encode()])]
+        assert abs(got[tuple(ids)] / n - w / whole) < 0.012
+    assert len(share) > 4 and set(map(len, got)) <= {sum(len(p.encode()) if p not in id_of else 1 for p in c) for c in share}
+
+
+def test_segmentation_does_not_depend_on_slices(spark, small, monkeypatch):
+    """Small slices, chunks taken one by one and in small blocks give the same pieces."""
+    v = pieces.read_vocabulary()
+    rows = [(r.doc_id, r.text) for r in table(spark, small, "documents").collect()][:60]
+    rows += [(-1, "x" * 300 + "\u2603" + "yz" * 9000), (-2, "-" * 500), (-3, "a b" * 50), (-4, None), (-5, "")]
+    texts, begins = [t for _, t in rows], [pieces.key_draw(i, 1) for i, _ in rows]
+    want = [ids.tolist() for ids in pieces.Sampler(v).encode_rows(texts, begins)]
+    assert all(pieces.decode(ids, v) == (t or "") for ids, t in zip(want, texts))
+    for settings in ({"SLICE": 100}, {"LONG": 0, "BLOCK": 7}, {"LONG": 4, "BLOCK": 1 << 12}, {"SLICE": 1}):
+        with monkeypatch.context() as patch:
+            for name, value in settings.items():
+                patch.setattr(pieces, name, value)
+            assert [ids.tolist() for ids in pieces.Sampler(v).encode_rows(texts, begins)] == want
+
+
+def test_segmentation_keeps_pieces(odd_docs):
+    v = pieces.read_vocabulary()
+    for row in pieces.segment(odd_docs).collect():
+        assert row.decoded == (row.text or "") == pieces.decode(row.pieces, v)
+    long_chunk = odd_docs.limit(1).selectExpr("doc_id", "repeat('abcdefghij', 20000) as text")
+    (row,) = pieces.digests(long_chunk).collect()
+    assert row.lossless and row.n_chars == 200_000 and len(row.pieces) == row.n_pieces
+
+
 def test_segmentation_round_trip(odd_docs, no_docs):
     v = pieces.read_vocabulary()
     sampler = pieces.Sampler(v)
