@@ -2,6 +2,9 @@
 
 Every stage is written as Parquet and read again as the next one's input. The vocabulary of a rejected
 document, a dropped line or a removed copy is gone for all later stages.
+
+NULLs, empty and long texts, ties, repeated rows and extra columns are treated as the docstrings of the stages' modules say; an
+empty table passes all stages and gives no rows.
 """
 
 from __future__ import annotations
@@ -19,8 +22,8 @@ def quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Lines that are boilerplate of their source go; their documents stay. Copies, which go later, count once."""
-    return line_dedup.without_boilerplate(docs, copies=False)
+    """Lines that are boilerplate of their source go; their documents stay. Equal texts of a source count once."""
+    return line_dedup.without_boilerplate(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -34,7 +37,7 @@ def mixture(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """One row per document of the mix: sizes and a digest of its sampled pieces."""
+    """One row per document of the mix: its sampled pieces, sizes and a digest."""
     return pieces.digests(docs)
 
 
