@@ -1,21 +1,21 @@
 """Line dedup by site-relative frequency, in DataFrame operations only.
 
 Pages are grouped by host. For each line the pages of a host that contain it are counted and divided by the pages
-of that host; a line above ``ratio`` is boilerplate of that host and is dropped from its pages.
+of that host; a line above ``ratio`` is boilerplate of that host and is dropped from its pages. Pages of a host with
+equal texts count as one page, however many copies there are, so copies never make a page's own lines boilerplate.
 
 Lines travel as 16-byte digests and are counted with partial sums in each task, so neither a host with a large part
-of all pages nor a line on all of them meets in one task. At most (mean lines per page) / ``ratio`` lines of a host can be
-above ``ratio``, so the list kept for a host is short whatever its size. The join back to the pages has one row
-per host on its small side: the planner broadcasts it by its measured file size, or AQE splits a hot host.
+of all pages nor a line on all of them meets in one task. What is boilerplate is joined to the lines by host and digest, and goes
+back to each different page as the list of its own boilerplate lines: no list is longer than its page, and none belongs to a
+host. Both joins are on keys of high cardinality; AQE splits those of hot lines and of pages with many copies.
 
 The ratio lies well below the share of boilerplate in a site of several languages, where a line of one
 language is only on pages of that language.
 
 Defined results: lines are compared without white space at their ends; blank lines are never dropped; a line
 counts once per page; a line on fewer than ``least_pages`` pages of a host is never dropped; a NULL host is a host of its
-own; NULL text stays NULL; repeated rows are pages of their own, unless ``copies`` is False: then pages of a host with equal texts
-count as one, so that copies of a page do not make its own lines boilerplate; a page of nothing but boilerplate keeps an
-empty text; extra columns are kept.
+own; NULL text stays NULL and is no page; repeated rows are copies; texts of any length are read whole; a page of nothing but
+boilerplate keeps an empty text; an empty table gives no rows; extra columns are kept.
 """
 
 from __future__ import annotations
@@ -43,21 +43,24 @@ def _lines(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
 
-def boilerplate(pages: DataFrame, host: str, text: str, ratio: float, least_pages: int, copies: bool) -> DataFrame:
-    """One row per host that has boilerplate: host, lines (digests)."""
-    page = F.xxhash64(text)
-    n_pages = F.count("*") if copies else F.count_distinct(page)
-    totals = durable(pages.groupBy(F.col(host).alias("host")).agg(n_pages.alias("pages")), "host-pages")
+def _lines_of_pages(pages: DataFrame, host: str, text: str) -> DataFrame:
+    """One row per page and different line on it: host, page, line. Pages and lines are hashes."""
     filled = F.filter(_lines(F.col(text)), lambda line: _bare(line) != "")
-    on_page = pages.select(
+    return pages.select(
         F.col(host).alias("host"),
-        *([] if copies else [page.alias("page")]),
+        F.xxhash64(text).alias("page"),
         F.explode(F.array_distinct(F.transform(filled, _digest))).alias("line"),
     )
-    n = F.count("*") if copies else F.count_distinct("page")
-    counted = on_page.groupBy("host", "line").agg(n.alias("n")).where(F.col("n") >= least_pages)
+
+
+def boilerplate(pages: DataFrame, host: str, text: str, ratio: float, least_pages: int) -> DataFrame:
+    """One row per boilerplate line of a host: host, line."""
+    page = F.when(F.col(text).isNotNull(), F.xxhash64(text))
+    totals = durable(pages.groupBy(F.col(host).alias("host")).agg(F.count_distinct(page).alias("pages")), "host-pages")
+    counted = _lines_of_pages(pages, host, text).groupBy("host", "line").agg(F.count_distinct("page").alias("n"))
+    counted = counted.where(F.col("n") >= least_pages)
     met = counted.alias("c").join(totals.alias("t"), F.col("c.host").eqNullSafe(F.col("t.host")))
-    return met.where(F.col("n") > F.col("pages") * F.lit(ratio)).groupBy("c.host").agg(F.collect_list("line").alias("lines"))
+    return met.where(F.col("n") > F.col("pages") * F.lit(ratio)).select("c.host", "line")
 
 
 def dedup_lines(
@@ -66,19 +69,23 @@ def dedup_lines(
     text: str = "text",
     ratio: float = RATIO,
     least_pages: int = LEAST_PAGES,
-    copies: bool = True,
 ) -> DataFrame:
     """Columns ``row`` (the input row), ``kept`` (its text without boilerplate), ``n_lines`` and ``n_dropped``."""
-    listed = durable(boilerplate(pages, host, text, ratio, least_pages, copies), "boilerplate")
-    rows = pages.select(as_row(pages).alias("row"), F.col(host).alias("host"), F.col(text).alias("whole"))
-    met = rows.alias("r").join(listed.alias("b"), F.col("r.host").eqNullSafe(F.col("b.host")), "left")
+    listed = durable(boilerplate(pages, host, text, ratio, least_pages), "boilerplate").alias("b")
+    held = _lines_of_pages(pages, host, text).alias("l")
+    same_line = F.col("l.host").eqNullSafe(F.col("b.host")) & (F.col("l.line") == F.col("b.line"))
+    found = held.join(listed, same_line).groupBy("l.host", "page").agg(F.collect_set("l.line").alias("lines"))
+    found = durable(found, "page-boilerplate").alias("f")
+    rows = pages.select(as_row(pages).alias("row"), F.col(host).alias("host"), F.col(text).alias("whole")).alias("r")
+    same_page = F.col("r.host").eqNullSafe(F.col("f.host")) & (F.xxhash64("r.whole") == F.col("f.page"))
+    met = rows.join(found, same_page, "left")
     stays = F.filter(
         _lines(F.col("whole")), lambda line: (_bare(line) == "") | ~F.array_contains(F.col("lines"), _digest(line))
     )
-    found = met.withColumn("stays", F.when(F.col("lines").isNotNull(), stays))
+    met = met.withColumn("stays", F.when(F.col("lines").isNotNull() & F.col("whole").isNotNull(), stays))
     n_lines = F.coalesce(F.size(_lines(F.col("whole"))), F.lit(0))
-    edited = F.col("whole").isNotNull() & F.col("stays").isNotNull()
-    return found.select(
+    edited = F.col("stays").isNotNull()
+    return met.select(
         "row",
         F.when(edited, F.concat_ws("\n", "stays")).otherwise(F.col("whole")).alias("kept"),
         F.when(F.col("whole").isNull(), 0).otherwise(n_lines).cast("long").alias("n_lines"),

@@ -76,10 +76,10 @@ def _line_dedup() -> str:
     bare = r"trim({}, ' ' || chr(9) || chr(13) || chr(11) || chr(12))"
     return f"""
 with lined as (
-  select doc_id, source, text, row_number() over () as page, string_split(text, chr(10)) as lines from documents),
-totals as (select source, count(*) as pages from documents group by source),
+  select doc_id, source, text, string_split(text, chr(10)) as lines from documents),
+totals as (select source, count(distinct text) as pages from documents group by source),
 held as (
-  select distinct source, page, line from (select source, page, unnest(list_transform(lines, lambda x: {bare.format("x")})) as line from lined)
+  select distinct source, text, line from (select source, text, unnest(list_transform(lines, lambda x: {bare.format("x")})) as line from lined)
   where line <> ''),
 listed as (
   select h.source, list(h.line) as boilerplate from (

@@ -113,9 +113,10 @@ def test_mix(odd_docs, no_docs):
 
 def test_line_dedup_odd_rows(odd_docs, no_docs):
     rows = [r.asDict() for r in odd_docs.select("doc_id", "text", "source").collect()]
-    pages = Counter(r["source"] for r in rows)
-    seen = Counter((r["source"], line) for r in rows for line in {x.strip(" \t\r\x0b\x0c") for x in (r["text"] or "").split("\n")})
-    bad = {k for k, n in seen.items() if k[1] and n >= 5 and n > 0.1 * pages[k[0]]}
+    texts = {(r["source"], r["text"]) for r in rows if r["text"] is not None}
+    pages = Counter(source for source, _ in texts)
+    seen = Counter((s, line) for s, t in texts for line in {x.strip(" \t\r\x0b\x0c") for x in t.split("\n")})
+    bad = {k for k, n in seen.items() if k[1] and n >= line_dedup.LEAST_PAGES and n > line_dedup.RATIO * pages[k[0]]}
     assert bad == {("a", "shared footer line")}
     want = Counter(
         None if r["text"] is None else "\n".join(x for x in r["text"].split("\n") if (r["source"], x.strip(" \t\r\x0b\x0c")) not in bad)
@@ -149,6 +150,18 @@ def test_small_sites_have_boilerplate(spark):
     assert {r.text for r in out.collect()} == {"page 0\npair", "page 1\npair", "page 2\n2"}
 
 
+def test_copies_erase_nothing(spark, small):
+    """Three copies of a page in a site of ten keep their lines; a table three times over loses what it loses once."""
+    rows = [(i, f"page {max(i, 7)} of many\nits own line {max(i, 7)}\nfooter", "s") for i in range(10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = line_dedup.without_boilerplate(docs).collect()
+    assert Counter(r.text for r in out) == Counter(f"page {max(i, 7)} of many\nits own line {max(i, 7)}" for i in range(10))
+    docs = table(spark, small, "documents")
+    once = Counter(r.text for r in line_dedup.without_boilerplate(docs).collect())
+    thrice = Counter(r.text for r in line_dedup.without_boilerplate(docs.unionAll(docs).unionAll(docs)).collect())
+    assert thrice == Counter({t: 3 * n for t, n in once.items()})
+
+
 def test_copies_are_no_boilerplate_in_the_pipeline(spark):
     rows = [(i, "all of this\nis copied" if i % 20 == 0 else f"page {i}\nfooter", "s") for i in range(400)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
