@@ -5,9 +5,10 @@ of that host; a line above ``ratio`` is boilerplate of that host and is dropped
 equal texts count as one page, however many copies there are, so copies never make a page's own lines boilerplate.
 
 Lines travel as 16-byte digests and are counted with partial sums in each task, so neither a host with a large part
-of all pages nor a line on all of them meets in one task. What is boilerplate is joined to the lines by host and digest, and goes
-back to each different page as the list of its own boilerplate lines: no list is longer than its page, and none belongs to a
-host. Both joins are on keys of high cardinality; AQE splits those of hot lines and of pages with many copies.
+of all pages nor a line on all of them meets in one task. At most (mean lines per page) / ``ratio`` lines of a host can be
+above ``ratio``, so the list kept for a host is bounded whatever its size; it is split into ``PARTS`` by hash, of which a line is
+looked up in one. The join back to the pages has one row per host on its small side: the planner broadcasts it by its
+measured file size, or AQE splits a hot host. Joining by page instead would shuffle all texts.
 
 The ratio lies well below the share of boilerplate in a site of several languages, where a line of one
 language is only on pages of that language.
@@ -28,6 +29,7 @@ from cityweave.sources.scratch import durable
 
 RATIO = 0.01
 LEAST_PAGES = 3
+PARTS = 64
 _EDGES = " \t\r\x0b\x0c"
 
 
@@ -39,28 +41,27 @@ def _digest(line: Column) -> Column:
     return F.unhex(F.md5(_bare(line)))
 
 
-def _lines(text: Column) -> Column:
-    return F.split(text, "\n", -1)
+def _part(digest: Column) -> Column:
+    return F.pmod(F.xxhash64(digest), F.lit(PARTS)).cast("int")
 
 
-def _lines_of_pages(pages: DataFrame, host: str, text: str) -> DataFrame:
-    """One row per page and different line on it: host, page, line. Pages and lines are hashes."""
-    filled = F.filter(_lines(F.col(text)), lambda line: _bare(line) != "")
-    return pages.select(
-        F.col(host).alias("host"),
-        F.xxhash64(text).alias("page"),
-        F.explode(F.array_distinct(F.transform(filled, _digest))).alias("line"),
-    )
+def _lines(text: Column) -> Column:
+    return F.split(text, "\n", -1)
 
 
 def boilerplate(pages: DataFrame, host: str, text: str, ratio: float, least_pages: int) -> DataFrame:
-    """One row per boilerplate line of a host: host, line."""
+    """One row per host that has boilerplate: host, lines (its digests by part)."""
     page = F.when(F.col(text).isNotNull(), F.xxhash64(text))
     totals = durable(pages.groupBy(F.col(host).alias("host")).agg(F.count_distinct(page).alias("pages")), "host-pages")
-    counted = _lines_of_pages(pages, host, text).groupBy("host", "line").agg(F.count_distinct("page").alias("n"))
-    counted = counted.where(F.col("n") >= least_pages)
+    filled = F.filter(_lines(F.col(text)), lambda line: _bare(line) != "")
+    on_page = pages.select(
+        F.col(host).alias("host"), page.alias("page"), F.explode(F.array_distinct(F.transform(filled, _digest))).alias("line")
+    )
+    counted = on_page.groupBy("host", "line").agg(F.count_distinct("page").alias("n")).where(F.col("n") >= least_pages)
     met = counted.alias("c").join(totals.alias("t"), F.col("c.host").eqNullSafe(F.col("t.host")))
-    return met.where(F.col("n") > F.col("pages") * F.lit(ratio)).select("c.host", "line")
+    above = met.where(F.col("n") > F.col("pages") * F.lit(ratio)).select("c.host", "line", _part(F.col("line")).alias("part"))
+    parts = above.groupBy("host", "part").agg(F.collect_list("line").alias("lines"))
+    return parts.groupBy("host").agg(F.map_from_entries(F.collect_list(F.struct("part", "lines"))).alias("lines"))
 
 
 def dedup_lines(
@@ -71,17 +72,15 @@ def dedup_lines(
     least_pages: int = LEAST_PAGES,
 ) -> DataFrame:
     """Columns ``row`` (the input row), ``kept`` (its text without boilerplate), ``n_lines`` and ``n_dropped``."""
-    listed = durable(boilerplate(pages, host, text, ratio, least_pages), "boilerplate").alias("b")
-    held = _lines_of_pages(pages, host, text).alias("l")
-    same_line = F.col("l.host").eqNullSafe(F.col("b.host")) & (F.col("l.line") == F.col("b.line"))
-    found = held.join(listed, same_line).groupBy("l.host", "page").agg(F.collect_set("l.line").alias("lines"))
-    found = durable(found, "page-boilerplate").alias("f")
-    rows = pages.select(as_row(pages).alias("row"), F.col(host).alias("host"), F.col(text).alias("whole")).alias("r")
-    same_page = F.col("r.host").eqNullSafe(F.col("f.host")) & (F.xxhash64("r.whole") == F.col("f.page"))
-    met = rows.join(found, same_page, "left")
-    stays = F.filter(
-        _lines(F.col("whole")), lambda line: (_bare(line) == "") | ~F.array_contains(F.col("lines"), _digest(line))
-    )
+    listed = durable(boilerplate(pages, host, text, ratio, least_pages), "boilerplate")
+    rows = pages.select(as_row(pages).alias("row"), F.col(host).alias("host"), F.col(text).alias("whole"))
+    met = rows.alias("r").join(listed.alias("b"), F.col("r.host").eqNullSafe(F.col("b.host")), "left")
+
+    def listed_here(line: Column) -> Column:
+        part = F.try_element_at("lines", _part(_digest(line)))
+        return F.coalesce(F.array_contains(part, _digest(line)), F.lit(False))
+
+    stays = F.filter(_lines(F.col("whole")), lambda line: (_bare(line) == "") | ~listed_here(line))
     met = met.withColumn("stays", F.when(F.col("lines").isNotNull() & F.col("whole").isNotNull(), stays))
     n_lines = F.coalesce(F.size(_lines(F.col("whole"))), F.lit(0))
     edited = F.col("stays").isNotNull()
