@@ -6,21 +6,21 @@ Plan, for every kind of neighbourhood:
    up once. Copies, however many, cost one row.
 2. A grid with cells slightly wider than the reach turns "near" into an equi-join: matches lie in the 3 x 3
    cells around the probe.
-3. Cells are divided into blocks that carry their total weight and their extent. A block wholly inside the
-   neighbourhood adds its weight, one wholly outside adds nothing, and only blocks on the rim are opened.
-   So a crowded cell costs its blocks plus the points on the rim, not all of its pairs. How finely cells are
-   divided, and whether blocks are divided again, follows from how crowded the cells are; sparse data need
-   no blocks.
+3. Cells form the roots of quadtrees. A block of more than a few points has 4 x 4 finer ones, level by level. Every block
+   carries its weight, its number of points and its extent. Probes start at the cells around them: a block wholly inside
+   the neighbourhood adds its weight, one wholly outside adds nothing, one on the rim passes the probe on to the blocks in
+   it, or, if it has few points, to these. So a crowded cell costs the blocks along the rim and not all of its pairs.
+   A tree is as deep as its points are dense; sparse cells are not divided at all.
 4. Weights are summed per probe location, partly before the shuffle, and joined back to the rows.
 
-Distinct points and summed locations are written between these steps: each is read more than once, and a
-written table has a known size, so the planner broadcasts it only where it is small.
+A block has at most 16 parts and opens to few points, so a step multiplies the probes by a bounded number; steps whose blocks are
+too many to broadcast are joined in tasks of equal work (``skew.join_by_work``). Distinct points, trees and the pairs of a
+level are written between steps: each is read more than once.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -28,14 +28,14 @@ from pyspark.sql import functions as F
 
 from cityweave.functions import geo
 from cityweave.functions.numbers import is_number
-from cityweave.operators.skew import ROWS_PER_PART, join_per_key
+from cityweave.operators.skew import ROWS_PER_PART, join_by_work, join_per_key
 from cityweave.sources.scratch import durable
 
-# Blocks along a cell's side, at most so many per level.
-BLOCKS = 8
-# Points per cell from which blocks pay off, and from which another level does.
-CROWDED = 20
-VERY_CROWDED = 8_192
+# Blocks along a block's side, as a power of two; points up to which a block is opened; levels of a tree, the last of which is
+# finer than a millimetre. Blocks there are opened whatever they hold.
+FAN_BITS = 2
+FEW = 64
+LEVELS = 12
 # Cells are this much wider than the reach, so rounding cannot put a match two cells away.
 SLACK = 1.1
 # Fixed values of the distance tests.
@@ -218,61 +218,70 @@ def _located(df: DataFrame, lat: str, lon: str) -> DataFrame:
     return df.where((F.col(lat) <= math.inf) & (F.col(lon) <= math.inf))
 
 
-def _block_columns(sides: Sequence[int]) -> list[tuple[str, str]]:
-    """Names of the block indexes, one pair per level."""
-    return [(f"block_lat_{level}", f"block_lon_{level}") for level in range(1, len(sides) + 1)]
+CELL = ["cell_lat", "cell_lon"]
+BLOCK = ["block_lat", "block_lon"]
 
 
-def _weighted_points(points: DataFrame, lat: str, lon: str, near: Planar | GreatCircle) -> DataFrame:
-    """Distinct points with weight and cell, written once because every level reads them."""
-    distinct = (
+def _distinct_points(points: DataFrame, lat: str, lon: str) -> DataFrame:
+    return (
         _located(points, lat, lon)
         .groupBy(F.col(lat).cast("double").alias("p_lat"), F.col(lon).cast("double").alias("p_lon"))
         .agg(F.count(F.lit(1)).alias("weight"))
     )
+
+
+def _weighted_points(points: DataFrame, lat: str, lon: str, near: Planar | GreatCircle) -> DataFrame:
+    """Distinct points with weight, cell and place in the finest grid, written once because every level reads them."""
+    distinct = _distinct_points(points, lat, lon).withColumn("cell_lat", geo.cell_index("p_lat", near.lat_cells()))
     width = near.lon_cells(F.col("cell_lat"))
-    return durable(
-        distinct.withColumn("cell_lat", geo.cell_index("p_lat", near.lat_cells())).withColumn(
-            "cell_lon", near.lon_index(F.col("p_lon"), width)
-        ),
-        "points",
+    distinct = distinct.withColumn("cell_lon", near.lon_index(F.col("p_lon"), width))
+    return durable(_in_grid(distinct, F.lit(near.lat_cells()), width), "points")
+
+
+def _in_grid(points: DataFrame, size: Column, width: Column) -> DataFrame:
+    parts = float(1 << FAN_BITS * LEVELS)
+    return points.withColumn("fine_lat", F.floor(F.col("p_lat") / (size / parts))).withColumn(
+        "fine_lon", F.floor(F.col("p_lon") / (width / parts))
     )
 
 
-def _sides_for(points: DataFrame) -> tuple[int, ...]:
-    """Blocks along a cell's side, per level, for the crowd that a point typically has in its cell.
+def _at_level(points: DataFrame, level: int) -> DataFrame:
+    """Points with their block of a level; a cell is one block of level 0."""
+    finer = FAN_BITS * (LEVELS - level)
+    place = {b: F.shiftright(f, finer) if level else F.lit(0).cast("long") for b, f in zip(BLOCK, ("fine_lat", "fine_lon"))}
+    return points.withColumns(place)
 
-    With ``s`` blocks a probe looks at some ``18 s^2`` blocks and opens ``7 / s`` of a cell's points, which
-    is least at the cube root of a fifth of the crowd.
-    """
-    cells = points.groupBy("cell_lat", "cell_lon").agg(F.count(F.lit(1)).cast("double").alias("n"))
-    crowd = cells.agg(F.sum(F.col("n") * F.col("n")) / F.sum("n")).first()[0] or 0.0
-    if crowd < CROWDED:
-        return ()
-    sides = [max(2, min(BLOCKS, round((crowd / 5) ** (1 / 3))))]
-    while crowd > VERY_CROWDED:
-        sides.append(sides[-1] * BLOCKS)
-        crowd /= BLOCKS * BLOCKS / 2
-    return tuple(sides)
-
-
-def _with_blocks(points: DataFrame, near: Planar | GreatCircle, sides: Sequence[int]) -> DataFrame:
-    size, width = near.lat_cells(), near.lon_cells(F.col("cell_lat"))
-    for (block_lat, block_lon), n in zip(_block_columns(sides), sides):
-        points = points.withColumn(block_lat, F.floor(F.col("p_lat") / (size / n))).withColumn(
-            block_lon, F.floor(F.col("p_lon") / (width / n))
-        )
-    return points
 
+def _trees(leaves: DataFrame, few: int) -> tuple[list[DataFrame], DataFrame]:
+    """The blocks of each level, and the points with the level and block at which they are met one by one.
 
-def _blocks(points: DataFrame, keys: list[str]) -> DataFrame:
-    return points.groupBy(*keys).agg(
-        F.sum("weight").alias("weight"),
-        F.min("p_lat").alias("min_lat"),
-        F.max("p_lat").alias("max_lat"),
-        F.min("p_lon").alias("min_lon"),
-        F.max("p_lon").alias("max_lon"),
-    )
+    A block has a row (cell, up: the block it is part of, block, weight, extent, open: whether its points are met).
+    """
+    levels, opened, rest = [], [], leaves
+    for level in range(LEVELS + 1):
+        rest = _at_level(rest, level)
+        blocks = rest.groupBy(*CELL, *BLOCK).agg(
+            F.sum("weight").alias("weight"),
+            (F.lit(level == LEVELS) | (F.count(F.lit(1)) <= few)).alias("open"),
+            F.min("p_lat").alias("min_lat"),
+            F.max("p_lat").alias("max_lat"),
+            F.min("p_lon").alias("min_lon"),
+            F.max("p_lon").alias("max_lon"),
+        )
+        up = {f"up{b[5:]}": F.shiftright(b, FAN_BITS) if level > 1 else F.lit(0).cast("long") for b in BLOCK}
+        blocks = durable(blocks.withColumns(up), "near-blocks")
+        levels.append(blocks)
+        deeper = blocks.where("not open").select(*CELL, *BLOCK, F.lit(True).alias("deeper"))
+        if deeper.limit(1).count() == 0:
+            opened.append(rest.withColumn("level", F.lit(level)))
+            break
+        marked = durable(rest.join(deeper, [*CELL, *BLOCK], "left"), "near-points")
+        opened.append(marked.where("deeper is null").drop("deeper").withColumn("level", F.lit(level)))
+        rest = marked.where("deeper").drop("deeper", *BLOCK)
+    points = opened[0]
+    for more in opened[1:]:
+        points = points.unionByName(more)
+    return levels, points.select("p_lat", "p_lon", "weight", "level", *CELL, *BLOCK)
 
 
 def _probe_cells(locations: DataFrame, near: Planar | GreatCircle) -> DataFrame:
@@ -298,39 +307,48 @@ def count_around(
     row_lon: str = "lon",
     point_lat: str = "latitude",
     point_lon: str = "longitude",
-    sides: Sequence[int] | None = None,
+    few: int = FEW,
 ) -> DataFrame:
     """Per distinct location in ``rows``: how many rows are there and how many points are near it.
 
     Columns ``q_lat, q_lon, n_rows, n_near``; locations without a near point have 0.
     """
-    locations = (
-        _located(rows, row_lat, row_lon)
-        .groupBy(F.col(row_lat).alias("q_lat"), F.col(row_lon).alias("q_lon"))
-        .agg(F.count(F.lit(1)).alias("n_rows"))
-    )
+    locations = _locations(rows, row_lat, row_lon)
     leaves = _weighted_points(points, point_lat, point_lon, near)
-    return durable(_summed(locations, leaves, near, _sides_for(leaves) if sides is None else sides), "near-counts")
+    return durable(_summed(locations, _probe_cells(locations, near), leaves, near, few), "near-counts")
+
+
+def _locations(rows: DataFrame, lat: str, lon: str) -> DataFrame:
+    located = _located(rows, lat, lon).groupBy(F.col(lat).alias("q_lat"), F.col(lon).alias("q_lon"))
+    return durable(located.agg(F.count(F.lit(1)).alias("n_rows")), "near-places")
 
 
-def _summed(locations: DataFrame, leaves: DataFrame, near: Planar | GreatCircle, sides: Sequence[int]) -> DataFrame:
-    leaves = _with_blocks(leaves, near, sides)
-    pending, keys = _probe_cells(locations, near), ["cell_lat", "cell_lon"]
-    found = locations.select("q_lat", "q_lon", "n_rows", F.lit(0).cast("long").alias("weight"))
+def _summed(
+    locations: DataFrame, cells: DataFrame, leaves: DataFrame, near: Planar | GreatCircle, few: int = FEW
+) -> DataFrame:
+    """Per location its rows and the weight near it; ``cells`` has each location once per cell to look into."""
+    levels, points = _trees(leaves, few)
+    up = ["up_lat", "up_lon"]
+    place = ["q_lat", "q_lon"]
+    pending = cells.withColumns({c: F.lit(0).cast("long") for c in up})
+    found = locations.select(*place, "n_rows", F.lit(0).cast("long").alias("weight"))
+    to_open = None
 
     def add(weights: DataFrame) -> DataFrame:
-        return found.unionByName(weights.select("q_lat", "q_lon", F.lit(0).cast("long").alias("n_rows"), "weight"))
-
-    for block_lat, block_lon in _block_columns(sides):
-        finer = [*keys, block_lat, block_lon]
-        whole = near.all_match()
-        met = pending.join(_blocks(leaves, finer), keys).withColumn("whole", whole).where(F.col("whole") | near.may_match())
-        # Two parts of it are used, and the next level starts from it: written, each level is joined once.
-        met = durable(met.select("q_lat", "q_lon", *finer, "weight", "whole"), "near-blocks")
+        return found.unionByName(weights.select(*place, F.lit(0).cast("long").alias("n_rows"), "weight"))
+
+    for level, blocks in enumerate(levels):
+        met = join_by_work(pending, blocks, [*CELL, *up]).withColumn("whole", near.all_match())
+        met = met.where(F.col("whole") | near.may_match()).select(*place, *CELL, *BLOCK, "weight", "whole", "open")
+        # Three parts of it are used: written, each level is joined once.
+        met = durable(met, "near-pairs")
         found = add(met.where("whole"))
-        pending, keys = met.where("not whole").select("q_lat", "q_lon", *finer), finer
-    found = add(pending.join(leaves.select("p_lat", "p_lon", "weight", *keys), keys).where(near.matches()))
-    return found.groupBy("q_lat", "q_lon").agg(F.sum("n_rows").alias("n_rows"), F.sum("weight").alias("n_near"))
+        rim = met.where("not whole")
+        here = rim.where("open").select(*place, F.lit(level).alias("level"), *CELL, *BLOCK)
+        to_open = here if to_open is None else to_open.unionByName(here)
+        pending = rim.where("not open").select(*place, *CELL, *[F.col(b).alias(u) for b, u in zip(BLOCK, up)])
+    found = add(join_by_work(to_open, points, ["level", *CELL, *BLOCK]).where(near.matches()))
+    return found.groupBy(*place).agg(F.sum("n_rows").alias("n_rows"), F.sum("weight").alias("n_near"))
 
 
 def with_near_count(
@@ -340,11 +358,11 @@ def with_near_count(
     column: str,
     row_lat: str = "lat",
     row_lon: str = "lon",
-    sides: Sequence[int] | None = None,
+    few: int = FEW,
     rows_per_part: int = ROWS_PER_PART,
 ) -> DataFrame:
     """``rows`` with the number of near points in ``column``; 0 where there is none or no location."""
-    counts = count_around(rows, points, near, row_lat, row_lon, sides=sides).select(
+    counts = count_around(rows, points, near, row_lat, row_lon, few=few).select(
         F.col("q_lat").alias(row_lat), F.col("q_lon").alias(row_lon), "n_rows", F.col("n_near").alias(column)
     )
     return _onto_rows(rows, counts, column, row_lat, row_lon, rows_per_part)
@@ -354,7 +372,7 @@ def _onto_rows(
     rows: DataFrame, counts: DataFrame, column: str, row_lat: str, row_lon: str, rows_per_part: int = ROWS_PER_PART
 ) -> DataFrame:
     joined = join_per_key(rows, counts, [row_lat, row_lon], "n_rows", rows_per_part)
-    return joined.withColumn(column, F.coalesce(F.col(column), F.lit(0)).cast("int")).select(*rows.columns, column)
+    return joined.withColumn(column, F.coalesce(F.col(column), F.lit(0))).select(*rows.columns, column)
 
 
 def nearby_inspections(crime: DataFrame, inspections: DataFrame, column: str = "nearby_inspection_count") -> DataFrame:
@@ -398,28 +416,18 @@ def same_cell_inspections(
 ) -> DataFrame:
     """The short cut of looking only at the probe's own cell, with cell ids cut towards zero.
 
-    Misses neighbours across cell edges; kept to reproduce results obtained that way. The cell is the join key, so no
-    probe is spread over neighbouring cells.
+    Misses neighbours across cell edges; kept to reproduce results obtained that way. A probe starts at the tree of its own
+    cell only.
     """
 
     def in_cells(lat: str, lon: str) -> dict[str, Column]:
         return {"cell_lat": (F.col(lat) / cell).try_cast("long"), "cell_lon": (F.col(lon) / cell).try_cast("long")}
 
-    places = _located(crime, "lat", "lon").groupBy(F.col("lat").alias("q_lat"), F.col("lon").alias("q_lon"))
-    places = places.agg(F.count(F.lit(1)).alias("n_rows"))
-    spots = (
-        _located(inspections, "latitude", "longitude")
-        .groupBy(F.col("latitude").cast("double").alias("p_lat"), F.col("longitude").cast("double").alias("p_lon"))
-        .agg(F.count(F.lit(1)).alias("weight"))
-    )
-    met = (
-        places.withColumns(in_cells("q_lat", "q_lon"))
-        .join(spots.withColumns(in_cells("p_lat", "p_lon")), ["cell_lat", "cell_lon"])
-        .where(HAVERSINE_CIRCLE.matches())
-        .groupBy("q_lat", "q_lon")
-        .agg(F.sum("weight").alias(column))
-    )
-    counts = durable(places.join(met, ["q_lat", "q_lon"], "left"), "same-cell")
+    places = _locations(crime, "lat", "lon")
+    spots = _distinct_points(inspections, "latitude", "longitude").withColumns(in_cells("p_lat", "p_lon"))
+    leaves = durable(_in_grid(spots, F.lit(cell), F.lit(cell)), "points")
+    own = places.select("q_lat", "q_lon").withColumns(in_cells("q_lat", "q_lon"))
+    counts = durable(_summed(places, own, leaves, HAVERSINE_CIRCLE), "same-cell").withColumnRenamed("n_near", column)
     return _onto_rows(crime, counts.withColumnsRenamed({"q_lat": "lat", "q_lon": "lon"}), column, "lat", "lon")
 
 

@@ -109,6 +109,11 @@ def r6(c: Column | str, name: str | None = None) -> Column:
     return rounded.alias(name or c) if name or isinstance(c, str) else rounded
 
 
+def as_int(df: DataFrame, column: str) -> DataFrame:
+    """Counts are bigint; the export's column is an int."""
+    return df.withColumn(column, F.col(column).cast("int"))
+
+
 def share_of_rows(df: DataFrame, share: float) -> Column:
     return df.agg(F.count(F.lit(1)) * F.lit(share)).scalar()
 
@@ -396,12 +401,12 @@ def bin_distance(t: Tables) -> DataFrame:
 
 @query
 def nearby_count(t: Tables) -> DataFrame:
-    return nearby.nearby_inspections(t.crime_raw.select("dr_no", "lat", "lon"), t.located).drop("lat", "lon")
+    return as_int(nearby.nearby_inspections(t.crime_raw.select("dr_no", "lat", "lon"), t.located), "nearby_inspection_count").drop("lat", "lon")
 
 
 @query
 def nearby_count_degrees(t: Tables) -> DataFrame:
-    return nearby.nearby_inspections_degrees(t.crime_raw.select("dr_no", "lat", "lon"), t.located).drop("lat", "lon")
+    return as_int(nearby.nearby_inspections_degrees(t.crime_raw.select("dr_no", "lat", "lon"), t.located), "nearby_inspections").drop("lat", "lon")
 
 
 @query
@@ -411,28 +416,28 @@ def buffer_count(t: Tables) -> DataFrame:
 
 @query
 def nearby_count_haversine(t: Tables) -> DataFrame:
-    return nearby.nearby_inspections_haversine(t.crime_raw.select("dr_no", "lat", "lon"), t.located).drop("lat", "lon")
+    return as_int(nearby.nearby_inspections_haversine(t.crime_raw.select("dr_no", "lat", "lon"), t.located), "nearby_inspections_count").drop("lat", "lon")
 
 
 @query
 def nearby_count_same_cell(t: Tables) -> DataFrame:
-    return nearby.same_cell_inspections(t.crime_raw.select("dr_no", "lat", "lon"), t.located).drop("lat", "lon")
+    return as_int(nearby.same_cell_inspections(t.crime_raw.select("dr_no", "lat", "lon"), t.located), "nearby_inspections_count").drop("lat", "lon")
 
 
 @query
 def nearby_count_one_level(t: Tables) -> DataFrame:
-    """The 500 m count with one level of blocks, however crowded the cells are."""
+    """The 500 m count with trees whose blocks are opened from eight points down."""
     rows = t.crime_raw.select("dr_no", "lat", "lon")
-    counted = nearby.with_near_count(rows, t.located, nearby.COUNT_CIRCLE, "nearby_inspection_count", sides=(3,))
-    return counted.drop("lat", "lon")
+    counted = nearby.with_near_count(rows, t.located, nearby.COUNT_CIRCLE, "nearby_inspection_count", few=8)
+    return as_int(counted, "nearby_inspection_count").drop("lat", "lon")
 
 
 @query
 def nearby_count_two_levels(t: Tables) -> DataFrame:
-    """The great-circle count with two levels of blocks."""
+    """The great-circle count with trees down to single points."""
     rows = t.crime_raw.select("dr_no", "lat", "lon")
-    counted = nearby.with_near_count(rows, t.located, nearby.HAVERSINE_CIRCLE, "nearby_inspections_count", sides=(8, 64))
-    return counted.drop("lat", "lon")
+    counted = nearby.with_near_count(rows, t.located, nearby.HAVERSINE_CIRCLE, "nearby_inspections_count", few=1)
+    return as_int(counted, "nearby_inspections_count").drop("lat", "lon")
 
 
 @query
@@ -440,7 +445,7 @@ def nearby_count_hot_parts(t: Tables) -> DataFrame:
     """The count within 0.01 degrees; locations with more than 50 crimes are joined in parts."""
     rows = t.crime_raw.select("dr_no", "lat", "lon")
     counted = nearby.with_near_count(rows, t.located, nearby.DEGREE_CIRCLE, "nearby_inspections", rows_per_part=50)
-    return counted.drop("lat", "lon")
+    return as_int(counted, "nearby_inspections").drop("lat", "lon")
 
 
 @query
@@ -675,7 +680,8 @@ def nlargest(t: Tables) -> DataFrame:
 def nlargest_nearby(t: Tables) -> DataFrame:
     """The crimes with most inspections within 0.01 degrees."""
     near = nearby.nearby_inspections_degrees(t.valid.select("dr_no", "crm_cd_desc", "lat", "lon"), t.located)
-    return profile.nlargest(near, "nearby_inspections", 10, "dr_no").select("dr_no", "crm_cd_desc", "nearby_inspections")
+    largest = profile.nlargest(near, "nearby_inspections", 10, "dr_no")
+    return as_int(largest, "nearby_inspections").select("dr_no", "crm_cd_desc", "nearby_inspections")
 
 
 @query
@@ -710,7 +716,7 @@ def clean_inspections(t: Tables) -> DataFrame:
 @query
 def enrich_crime(t: Tables) -> DataFrame:
     enriched, _ = jobs.clean_and_enrich(t.crime_raw, t.inspection_raw)
-    return enriched.withColumn("distance_km", r6("distance_km"))
+    return as_int(enriched, "nearby_inspection_count").withColumn("distance_km", r6("distance_km"))
 
 
 @query

@@ -1,12 +1,15 @@
 """Grid joins against brute force, on sparse, dense and copied points."""
 
+import functools
 import math
 import random
+import statistics
 
 import pytest
 from pyspark.sql import functions as F
 
-from cityweave.operators import nearby
+from cityweave.operators import nearby, skew
+from cityweave.sources.scratch import durable
 
 
 def frames(spark, probes, points):
@@ -54,21 +57,21 @@ CIRCLES = [
 
 
 @pytest.mark.parametrize("near,test", CIRCLES)
-@pytest.mark.parametrize("sides", [(), (3,), (8, 64), (2, 16, 128), None])
-def test_equals_brute_force(spark, near, test, sides):
+@pytest.mark.parametrize("few", [10_000, 100, 16, 1, nearby.FEW])
+def test_equals_brute_force(spark, near, test, few):
     points = scatter(1, 500, 0.03) + scatter(2, 400, 0.002) + [(0.0, 0.0)] * 5 + [(None, 1.0), (float("nan"), 1.0)]
     probes = scatter(3, 150, 0.03) + scatter(4, 100, 0.003) + [(0.0, 0.0)] * 3 + [(None, -118.0), (34.0, None)]
-    assert counted(spark, probes, points, near, sides=sides) == brute(probes, points, test)
+    assert counted(spark, probes, points, near, few=few) == brute(probes, points, test)
 
 
 def test_negative_and_zero_coordinates(spark):
     points, probes = scatter(5, 300, 0.02, 0.0, 0.0), scatter(6, 100, 0.02, 0.0, 0.0)
     for near, test in CIRCLES:
-        assert counted(spark, probes, points, near, sides=(4,)) == brute(probes, points, test)
+        assert counted(spark, probes, points, near, few=5) == brute(probes, points, test)
 
 
-@pytest.mark.parametrize("sides", [(), (8, 64)])
-def test_great_circle_across_date_line_and_near_poles(spark, sides):
+@pytest.mark.parametrize("few", [10_000, 4])
+def test_great_circle_across_date_line_and_near_poles(spark, few):
     r = random.Random(7)
     line = [(10 + r.uniform(-0.01, 0.01), r.choice((-180, 180)) * (1 - r.uniform(0, 1e-4))) for _ in range(300)]
     line = [(a, max(-180.0, min(180.0, b))) for a, b in line]
@@ -78,7 +81,7 @@ def test_great_circle_across_date_line_and_near_poles(spark, sides):
         probes, points = group[:100], group[100:]
         expected = brute(probes, points, in_great_circle)
         assert sum(expected) > 0
-        assert counted(spark, probes, points, nearby.HAVERSINE_CIRCLE, sides=sides) == expected
+        assert counted(spark, probes, points, nearby.HAVERSINE_CIRCLE, few=few) == expected
 
 
 def test_box_cuts_the_circle_and_its_edge_is_outside(spark):
@@ -92,17 +95,22 @@ def test_box_cuts_the_circle_and_its_edge_is_outside(spark):
     assert counted(spark, [(1.0, 1.0)], [(1.25, 1.0), (1.0, 1.125)], nearby.Planar(0.25)) == [2]
 
 
-def test_blocks_follow_the_crowd(spark):
-    def sides(points):
-        return nearby._sides_for(nearby._weighted_points(points, "latitude", "longitude", nearby.DEGREE_CIRCLE))
+def test_trees_follow_the_crowd(spark):
+    def trees(points, few=nearby.FEW):
+        return nearby._trees(nearby._weighted_points(points, "latitude", "longitude", nearby.DEGREE_CIRCLE), few)
 
-    def crowd(n):
-        return spark.range(n).select((34 + F.rand(1) / 1000).alias("latitude"), (F.rand(2) / 1000 - 118).alias("longitude"))
+    def crowd(n, size=1e-3):
+        return spark.range(n).select((34.001 + F.rand(1) * size).alias("latitude"), (F.rand(2) * size - 118).alias("longitude"))
 
-    assert sides(crowd(10)) == () and sides(crowd(140)) == (3,) and sides(crowd(3000)) == (8,)
-    assert sides(crowd(20_000)) == (8, 64)
+    assert len(trees(crowd(10))[0]) == 1
+    levels, points = trees(crowd(3000))
+    assert len(levels) > 2 and points.count() == 3000
+    assert points.groupBy("level", *nearby.CELL, *nearby.BLOCK).count().agg(F.max("count")).first()[0] <= nearby.FEW
+    assert all(lv.where("not open").count() for lv in levels[:-1]) and not levels[-1].where("not open").count()
     copies = spark.range(100_000).select(F.lit(34.0).alias("latitude"), F.lit(-118.0).alias("longitude"))
-    assert sides(copies) == ()
+    assert len(trees(copies)[0]) == 1
+    # Points nearer to each other than the finest block are opened there.
+    assert len(trees(crowd(50, 1e-11), few=4)[0]) == nearby.LEVELS + 1
 
 
 def test_hot_location_is_split_and_stays_whole(spark):
@@ -113,32 +121,31 @@ def test_hot_location_is_split_and_stays_whole(spark):
     assert whole == split == brute(hot, points, in_degree_circle)
 
 
-def test_hot_cell_is_split_between_tasks(spark):
-    points, probes = scatter(12, 400, 0.003) + scatter(13, 200, 0.3), scatter(14, 4000, 0.003) + scatter(15, 300, 0.3)
-    rows, pts = frames(spark, probes, points)
+def test_work_is_balanced_when_one_cell_holds_half(spark):
+    """Counts as by brute force; the largest task makes less than twice the pairs of the median one."""
+    points, probes = scatter(12, 1000, 0.002) + scatter(13, 1000, 0.3), scatter(14, 2000, 0.002) + scatter(15, 2000, 0.3)
     near = nearby.DEGREE_CIRCLE
-    locations = rows.select(F.col("lat").alias("q_lat"), F.col("lon").alias("q_lon"), F.lit(1).cast("long").alias("n_rows"))
-    leaves = nearby._weighted_points(pts, "latitude", "longitude", near)
-    settings = {
-        "spark.sql.shuffle.partitions": "32",
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
-    }
-    before = {k: spark.conf.get(k, None) for k in settings}
+    rows, pts = frames(spark, probes, points)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
     try:
-        for k, v in settings.items():
-            spark.conf.set(k, v)
-        summed = nearby._summed(locations.repartition(8), leaves, near, ())
-        got = {(r.q_lat, r.q_lon): r.n_near for r in summed.collect()}
-        plan = summed._jdf.queryExecution().executedPlan().toString()
+        cells = durable(nearby._probe_cells(nearby._locations(rows, "lat", "lon"), near), "cells")
+        leaves = nearby._weighted_points(pts, "latitude", "longitude", near)
+        met = skew.join_by_work(cells, leaves, nearby.CELL, few_rows=0, least_work=1)
+        tasks = sorted(r["count"] for r in met.groupBy(F.spark_partition_id()).count().collect())
+        assert tasks[-1] < 2 * statistics.median(tasks) and len(tasks) == 16
+        plain = cells.join(leaves, nearby.CELL)
+        assert met.count() == plain.count() == met.select("q_lat", "q_lon", "p_lat", "p_lon").distinct().count()
     finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-    assert "skew=true" in plan
-    assert [got[q] for q in probes] == brute(probes, points, in_degree_circle)
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+@pytest.mark.parametrize("few", [10_000, 8])
+def test_counts_without_broadcast(spark, few, monkeypatch):
+    points, probes = scatter(12, 400, 0.003) + scatter(13, 200, 0.3), scatter(14, 1500, 0.003) + scatter(15, 300, 0.3)
+    split = functools.partial(skew.join_by_work, few_rows=0, least_work=1)
+    monkeypatch.setattr(nearby, "join_by_work", split)
+    assert counted(spark, probes, points, nearby.DEGREE_CIRCLE, few=few) == brute(probes, points, in_degree_circle)
 
 
 def test_buffer_counts_pairs_per_place(spark):
@@ -153,16 +160,23 @@ def test_same_cell_misses_neighbours_across_the_edge(spark):
     assert nearby.nearby_inspections_haversine(rows, pts).first().nearby_inspections_count == 2
 
 
+def test_same_cell_in_a_crowd(spark):
+    """A crowded cell, the cells around zero, which are twice as wide, and edges, against all pairs."""
+    points = scatter(21, 900, 0.004, 34.005, -118.005) + scatter(22, 400, 0.012, 0.0, 0.0) + [(34.01, -118.0), (0.01, -0.01)]
+    probes = scatter(23, 300, 0.005, 34.005, -118.005) + scatter(24, 200, 0.012, 0.0, 0.0) + [(34.01, -118.0), (0.01, -0.01)]
+
+    def test(lat, lon, y, x):
+        same = (int(lat / 0.01), int(lon / 0.01)) == (int(y / 0.01), int(x / 0.01))
+        return same and in_great_circle(lat, lon, y, x)
+
+    rows, pts = frames(spark, probes, points)
+    found = nearby.same_cell_inspections(rows, pts).orderBy("id").collect()
+    assert [r.nearby_inspections_count for r in found] == brute(probes, points, test)
+
+
 def test_points_per_cell_are_whole(spark):
     points = scatter(11, 400, 0.004) * 2
     _, pts = frames(spark, [], points + [(None, 1.0)])
     found = nearby.points_per_cell(pts).collect()
     assert len(found) == 400 and {r.weight for r in found} == {2}
     assert all((r.cell_lat, r.cell_lon) == (int(r.latitude // 0.01), int(r.longitude // 0.01)) for r in found)
-
-
-def test_levels_go_on_until_blocks_are_not_crowded(spark, monkeypatch):
-    monkeypatch.setattr(nearby, "VERY_CROWDED", 3)
-    points = spark.range(20_000).select((34 + F.rand(1) / 1000).alias("latitude"), (F.rand(2) / 1000 - 118).alias("longitude"))
-    leaves = nearby._weighted_points(points, "latitude", "longitude", nearby.DEGREE_CIRCLE)
-    assert nearby._sides_for(leaves) == (8, 64, 512, 4096)
