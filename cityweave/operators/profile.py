@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cityweave.functions.numbers import is_number
-from cityweave.operators.quantiles import FEW_VALUES, quantiles
+from cityweave.operators.quantiles import FEW_VALUES, with_rows
 
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 HASH_PARTS = 65_536
@@ -89,18 +89,14 @@ def null_profile(df: DataFrame) -> DataFrame:
 def describe(df: DataFrame, column: str, few: int = FEW_VALUES) -> DataFrame:
     """Count, mean, sample deviation, minimum, quartiles and maximum of the numbers in a column."""
     v = F.col("v")
-    numbers = df.select(F.col(column).cast("double").alias("v")).where(is_number("v"))
-    quartiles = quantiles(numbers, "v", QUARTILES, few=few)
-    q = quartiles.select(F.struct(*QUARTILES).alias("q")).scalar()
-    moments = numbers.agg(
-        F.count(v).alias("n"),
+    moments = [
         F.avg(v).alias("mean"),
         F.stddev_samp(v).alias("std"),
         F.min(v).alias("min"),
         F.max(v).alias("max"),
-    )
-    with_quartiles = moments.withColumn("q", q)
-    return with_quartiles.select("n", "mean", "std", "min", *[F.col(f"q.{k}").alias(k) for k in QUARTILES], "max")
+    ]
+    found = with_rows(df, column, QUARTILES, [], None, few, moments)
+    return found.select(F.col("rows").alias("n"), "mean", "std", "min", *QUARTILES, "max")
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.ml.stat import ChiSquareTest
 from pyspark.sql import functions as F
 
 from cityweave.operators import charts, crosstab, profile
+from cityweave.operators import quantiles as quantile_module
 from cityweave.operators.quantiles import quantiles
 
 LEVELS = {"a": 0.0, "b": 0.1, "c": 0.25, "d": 0.5, "e": 0.77, "f": 1.0}
@@ -37,6 +38,23 @@ def test_quantiles_equal_the_built_in(spark, shape, by, few):
         assert b[: len(by)] == r[: len(by)] and r[len(by) :] == pytest.approx(b[len(by) :], rel=1e-12)
 
 
+@pytest.mark.parametrize("by", [[], ["g"]])
+def test_quantiles_take_two_scans(spark, by, monkeypatch):
+    """However the values lie, a sketch and one more pass; and a sketch that is wrong changes nothing."""
+    df = spark.range(60_000).select((F.col("id") % 3).alias("g"), F.exp(F.randn(5) * 3).alias("v"))
+    labels = []
+    durable = quantile_module.durable
+    monkeypatch.setattr(quantile_module, "durable", lambda frame, label: labels.append(label) or durable(frame, label))
+    built_in = df.groupBy(*by).agg(*[F.percentile("v", F.lit(p)).alias(k) for k, p in LEVELS.items()]).orderBy(*by, "a")
+    found = quantiles(df, "v", LEVELS, by, few=5_000).orderBy(*by, "a")
+    expected = [r.asDict() for r in built_in.collect()]
+    assert [r.asDict() for r in found.collect()] == [pytest.approx(r) for r in expected]
+    assert labels == ["quantile-profile", "quantile-values"]
+    monkeypatch.setattr(F, "percentile_approx", lambda v, around, accuracy: F.array(*[F.lit(0.5)] * len(around)))
+    found = quantiles(df, "v", LEVELS, by, few=5_000).orderBy(*by, "a")
+    assert [r.asDict() for r in found.collect()] == [pytest.approx(r) for r in expected]
+
+
 def test_quantiles_of_weights_ends_and_nothing(spark):
     df = spark.createDataFrame([(1.0, 3), (2.0, 1), (9.0, 0), (5.0, 2)], "v double, n int")
     assert tuple(quantiles(df, "v", {"low": 0.0, "mid": 0.5, "high": 1.0}, weight="n", few=0).first()) == (1.0, 1.5, 5.0)
