@@ -362,15 +362,22 @@ def with_near_count(
     rows_per_part: int = ROWS_PER_PART,
 ) -> DataFrame:
     """``rows`` with the number of near points in ``column``; 0 where there is none or no location."""
-    counts = count_around(rows, points, near, row_lat, row_lon, few=few).select(
-        F.col("q_lat").alias(row_lat), F.col("q_lon").alias(row_lon), "n_rows", F.col("n_near").alias(column)
-    )
-    return _onto_rows(rows, counts, column, row_lat, row_lon, rows_per_part)
+    counts = count_around(rows, points, near, row_lat, row_lon, few=few)
+    return onto_rows(rows, counts, column, row_lat, row_lon, rows_per_part)
 
 
-def _onto_rows(
-    rows: DataFrame, counts: DataFrame, column: str, row_lat: str, row_lon: str, rows_per_part: int = ROWS_PER_PART
+def onto_rows(
+    rows: DataFrame,
+    counts: DataFrame,
+    column: str,
+    row_lat: str = "lat",
+    row_lon: str = "lon",
+    rows_per_part: int = ROWS_PER_PART,
 ) -> DataFrame:
+    """``rows`` with what :func:`count_around` found at their location in ``column``, 0 where there is none."""
+    counts = counts.select(
+        F.col("q_lat").alias(row_lat), F.col("q_lon").alias(row_lon), "n_rows", F.col("n_near").alias(column)
+    )
     joined = join_per_key(rows, counts, [row_lat, row_lon], "n_rows", rows_per_part)
     return joined.withColumn(column, F.coalesce(F.col(column), F.lit(0))).select(*rows.columns, column)
 
@@ -380,6 +387,11 @@ def nearby_inspections(crime: DataFrame, inspections: DataFrame, column: str = "
     return with_near_count(crime, inspections, COUNT_CIRCLE, column)
 
 
+def nearby_inspection_counts(crime: DataFrame, inspections: DataFrame) -> DataFrame:
+    """What :func:`nearby_inspections` looks up, by location."""
+    return count_around(crime, inspections, COUNT_CIRCLE)
+
+
 def nearby_inspections_degrees(crime: DataFrame, inspections: DataFrame, column: str = "nearby_inspections") -> DataFrame:
     """Inspections within 0.01 in coordinate space of each crime, edge included."""
     return with_near_count(crime, inspections, DEGREE_CIRCLE, column)
@@ -427,8 +439,8 @@ def same_cell_inspections(
     spots = _distinct_points(inspections, "latitude", "longitude").withColumns(in_cells("p_lat", "p_lon"))
     leaves = durable(_in_grid(spots, F.lit(cell), F.lit(cell)), "points")
     own = places.select("q_lat", "q_lon").withColumns(in_cells("q_lat", "q_lon"))
-    counts = durable(_summed(places, own, leaves, HAVERSINE_CIRCLE), "same-cell").withColumnRenamed("n_near", column)
-    return _onto_rows(crime, counts.withColumnsRenamed({"q_lat": "lat", "q_lon": "lon"}), column, "lat", "lon")
+    counts = durable(_summed(places, own, leaves, HAVERSINE_CIRCLE), "same-cell")
+    return onto_rows(crime, counts, column)
 
 
 def points_per_cell(points: DataFrame, lat: str = "latitude", lon: str = "longitude", cell: float = 0.01) -> DataFrame:

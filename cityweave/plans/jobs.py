@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cityweave.functions import geo, times
 from cityweave.operators import cleaning, nearby, trends
+from cityweave.sources import resume
 from cityweave.sources.tables import write_csv, write_parquet
 
 
@@ -15,11 +18,15 @@ def text_coordinates(inspections: DataFrame) -> DataFrame:
     return inspections.withColumns({c: geo.as_written(c) for c in ("latitude", "longitude")})
 
 
+def with_distance(crime: DataFrame) -> DataFrame:
+    """Cleaned crimes with distance to the centre and distance band."""
+    placed = crime.withColumn("distance_km", geo.planar_km("lat", "lon"))
+    return placed.withColumn("distance_group", geo.distance_band("distance_km"))
+
+
 def enrich_crime(crime: DataFrame, inspections: DataFrame) -> DataFrame:
     """Cleaned crimes with distance to the centre, distance band and number of inspections nearby."""
-    placed = crime.withColumn("distance_km", geo.planar_km("lat", "lon"))
-    banded = placed.withColumn("distance_group", geo.distance_band("distance_km"))
-    return nearby.nearby_inspections(banded, text_coordinates(inspections))
+    return nearby.nearby_inspections(with_distance(crime), text_coordinates(inspections))
 
 
 def clean_and_enrich(crime_raw: DataFrame, inspection_raw: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -37,6 +44,26 @@ def export(crime: DataFrame, inspections: DataFrame, folder: str, format: str =
             write_parquet(df, f"{folder}/{name}")
 
 
+def export_job(crime_raw: DataFrame, inspection_raw: DataFrame, folder: str, format: str = "csv") -> None:
+    """The whole job, from the raw tables to both final tables below ``folder``; may be killed and run again.
+
+    Each raw table is read and cleaned once. On input that was exported before, nothing is done.
+    """
+    spark = crime_raw.sparkSession
+    work = hashlib.md5(f"{resume.version_of(crime_raw, inspection_raw)} {folder} {format}".encode()).hexdigest()
+    job = resume.Job(spark, "export", work)
+    if job.is_published(folder):
+        return
+    crime = job.step("crime", lambda: cleaning.clean_crime(crime_raw))
+    inspections = job.step("inspections", lambda: cleaning.clean_inspections(inspection_raw))
+    points = text_coordinates(inspections)
+    counts = job.step("near-counts", lambda: nearby.nearby_inspection_counts(crime, points))
+    enriched = nearby.onto_rows(with_distance(crime), counts, "nearby_inspection_count")
+    write = write_csv if format == "csv" else write_parquet
+    results = {"crime_final": (enriched, crime.count()), "ins_final": (inspections, inspections.count())}
+    job.publish({name: resume.Result(df, n, write) for name, (df, n) in results.items()}, folder)
+
+
 def band_summary(crime: DataFrame) -> DataFrame:
     """How many inspections lie near crimes, by distance from the centre."""
     return crime.groupBy("distance_group").agg(

@@ -386,6 +386,16 @@ _QUERIES = {
         round(count(*) / cast(sum(count(*)) over () as double) * 100, 6) as percentage
         from crime where crm_cd_desc = '{q.CHOSEN_TYPE}' and vict_descent in ('{q.CHOSEN_DESCENT}', 'AUTOMOBILE')
         group by vict_descent""",
+    "dashboard_cube": """select case when grouping(crm_cd_desc) + grouping(vict_descent) = 2 then 'month'
+            when grouping(crm_cd_desc) = 1 then 'descent' when grouping(vict_descent) = 1 then 'type' else 'cell' end as level,
+        cast(month_date as date) as month_date, crm_cd_desc, vict_descent, count(*) as n
+        from (select *, date_trunc('month', date_occ) as month_date from crime)
+        group by grouping sets ((month_date, crm_cd_desc, vict_descent), (month_date, crm_cd_desc),
+            (month_date, vict_descent), (month_date))""",
+    "dashboard_from_cube": f"""select vict_descent, count(*) as n,
+        round(count(*) / cast(sum(count(*)) over () as double) * 100, 6) as percentage
+        from crime where crm_cd_desc = '{q.CHOSEN_TYPE}' and vict_descent in ('{q.CHOSEN_DESCENT}', 'AUTOMOBILE')
+        group by vict_descent""",
     "top_values": _top("business_raw", "primary_naics_description", 15),
     "top_victim_descents": _top("valid", "vict_descent", 3),
     "top_inspection_results": _top("located", "inspection_result", 10),

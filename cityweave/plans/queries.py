@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cityweave.functions import bins, geo, times
-from cityweave.operators import charts, cleaning, crosstab, nearby, profile, trends
+from cityweave.operators import charts, cleaning, crosstab, nearby, profile, serving, trends
 from cityweave.operators.quantiles import quantiles
 from cityweave.plans import jobs
 from cityweave.sources import datasets, tables
@@ -35,6 +35,7 @@ CRIME_TYPE_SHARE = 0.05
 SAMPLE_ROWS = 10_000
 OPENINGS_SINCE = 2010
 CORRELATED = ("time_occ", "vict_age", "lat", "lon")
+REFRESHED_SINCE = "1998-03-15"
 CHOSEN_TYPE = "Crime-0"
 CHOSEN_DESCENT = "BUILDING"
 
@@ -149,7 +150,7 @@ def scan_csv_business(t: Tables) -> DataFrame:
 def export_job(t: Tables) -> DataFrame:
     """The whole job: both final tables exported as CSV, read back and counted by area and by status."""
     path = fresh_path(t.spark, "export")
-    jobs.export(*jobs.clean_and_enrich(t.crime_raw, t.inspection_raw), path)
+    jobs.export_job(t.crime_raw, t.inspection_raw, path)
     csv = t.spark.read.option("header", True).option("escape", '"').csv
     near = F.sum(F.col("nearby_inspection_count").cast("long")).alias("n_nearby")
     crimes = csv(f"{path}/crime_final").groupBy(F.col("area_name").alias("label")).agg(F.count("*").alias("n_rows"), near)
@@ -652,6 +653,27 @@ def dashboard_descent_share_both(t: Tables) -> DataFrame:
     return share.withColumn("percentage", r6("percentage"))
 
 
+def _cube(t: Tables) -> DataFrame:
+    """The serving table: built from the crimes up to a day, then refreshed with the later ones."""
+    path, crime = fresh_path(t.spark, "cube"), t.crime
+    later = F.coalesce(F.col("date_occ") >= F.lit(REFRESHED_SINCE), F.lit(False))
+    serving.build(crime.where(~later), path)
+    serving.refresh(crime, crime.where(later), path)
+    return serving.read(t.spark, path)
+
+
+@query
+def dashboard_cube(t: Tables) -> DataFrame:
+    return _cube(t)
+
+
+@query
+def dashboard_from_cube(t: Tables) -> DataFrame:
+    """Shares under both filters, answered from the serving table."""
+    share = serving.descent_share(_cube(t), types=[CHOSEN_TYPE], descents=[CHOSEN_DESCENT, "AUTOMOBILE"])
+    return share.withColumn("percentage", r6("percentage"))
+
+
 # --- top-k, sorting, sampling
 
 

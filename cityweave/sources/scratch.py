@@ -11,11 +11,15 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
 _local_folders: dict[str, str] = {}
+_inside: ContextVar[str | None] = ContextVar("folder of intermediate tables", default=None)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -31,8 +35,18 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """A path under the shared folder that nothing has used before."""
-    return f"{shared_folder(spark)}/cityweave/{label}-{uuid.uuid4().hex}"
+    """A path under the shared folder, or under the one of ``inside``, that nothing has used before."""
+    return f"{_inside.get() or shared_folder(spark) + '/cityweave'}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def inside(folder: str) -> Iterator[None]:
+    """Intermediate tables made meanwhile lie below ``folder``, so that their owner can delete them together."""
+    token = _inside.set(folder)
+    try:
+        yield
+    finally:
+        _inside.reset(token)
 
 
 def durable(df: DataFrame, label: str) -> DataFrame:
