@@ -59,7 +59,8 @@ def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op8_compression(spark: SparkSession, folder: str) -> DataFrame:
-    return compression.judge(table(spark, folder, "documents"))
+    docs = table(spark, folder, "documents")
+    return compression.judge(docs, compression.fit_bands(docs, table(spark, folder, "labels")))
 
 
 def op9_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:

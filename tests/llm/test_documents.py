@@ -11,6 +11,7 @@ from collections import Counter
 import pytest
 import xxhash
 import zstandard
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from cityweave.llm import compression, line_dedup, mixing, pieces, pii, rule_ensemble, simhash
@@ -220,6 +221,48 @@ def test_compression_bands_meet_parts_of_a_text():
         assert not compression.in_bands(encoded(n).encode(), compress)[2]
 
 
+def test_fitted_compression_bands(spark, odd_docs, no_docs):
+    """Bands and verdicts against a plain version; bad documents go, good ones that had no part in the fit stay."""
+    folder = "/root/testdata/sf0.1"
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    quality = {r.doc_id: r.quality for r in labels.collect()}
+    compress = zstandard.ZstdCompressor(level=3).compress
+    facts = []
+    for r in docs.collect():
+        raw, counts = (r.text or "").encode(), plain_counts(r.text)
+        if counts[0] >= 50 and 100 * counts[4] <= 50 * counts[0]:
+            cuts = [raw[i : i + 1024] for i in range(0, len(raw), 1024)]
+            if len(cuts) > 1 and len(cuts[-1]) < 512:
+                cuts[-2:] = [cuts[-2] + cuts[-1]]
+            facts.append((r.doc_id, len(raw), len(compress(raw)) / len(raw), [(len(c), len(compress(c)) / len(c)) for c in cuts]))
+    fitted = compression.fit_bands(docs, labels)
+    by_length = {}
+    for doc_id, size, ratio, _ in facts:
+        if quality.get(doc_id) == 1:
+            by_length.setdefault(math.floor(2 * math.log2(size) + 1e-9), []).append(ratio)
+    assert set(fitted) == {k for k, v in by_length.items() if len(v) >= 30} and len(fitted) > 8
+    for k, (low, high) in fitted.items():
+        ratios = sorted(by_length[k])
+        assert low + 0.01 in ratios[: len(ratios) // 50 + 1] and high - 0.01 in ratios[-len(ratios) // 50 - 1 :]
+
+    def fine(size, ratio):
+        low, high = fitted.get(math.floor(2 * math.log2(size) + 1e-9)) or next(b[1:] for b in compression.BANDS if size <= b[0])
+        return low <= ratio <= high
+
+    want = {i for i, size, ratio, cuts in facts if fine(size, ratio) and 5 * sum(not fine(*c) for c in cuts) <= len(cuts)}
+    judged = compression.judge(docs, fitted).collect()
+    assert {r.doc_id for r in judged if r.kept} == want
+    bad = [r for r in judged if not r.base_failed and quality.get(r.doc_id) == 0]
+    assert sum(not r.kept for r in bad) > 0.6 * len(bad) > 150
+    is_test = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    others = compression.fit_bands(docs, labels.where(~is_test))
+    held = {r.doc_id for r in labels.where(is_test).where("quality = 1").collect()}
+    good = [r for r in compression.judge(docs, others).collect() if not r.base_failed and r.doc_id in held]
+    assert sum(not r.kept for r in good) < 0.02 * len(good) and len(good) > 500
+    assert compression.fit_bands(no_docs, labels) == {} == compression.fit_bands(docs, labels.limit(0))
+    assert compression.judge(odd_docs, fitted).count() == odd_docs.count()
+
+
 # --- SentencePiece
 
 
