@@ -9,19 +9,24 @@ Rows are cut into blocks of bounded size by a hash, queries likewise; each pair
 one bounded group of work, which gives the best k per query. The best k of all blocks follow by a ranked window
 that first cuts to k inside each task.
 
-Defined results: components become floor(64 * x). A vector that is NULL or has a NULL or non-finite component takes no part,
-nor does one whose squared length reaches 2^62, as its scores would not fit a long. Shorter vectors are filled
+Vectors with a component of 2^25 or more, or a squared length of 2^62 or more, are too large for the arithmetic of the table; all
+pairs they are in are evaluated apart, in blocks, with Python's whole numbers.
+
+Defined results: components become floor(64 * x). A vector that is NULL or has a NULL or non-finite component takes no part.
+A score beyond the range of a long counts as the least or largest long. An empty table gives no rows. Shorter vectors are filled
 up with zeros. A query's candidates are all rows with another vec_id; a NULL id asks nothing and comes last among ties.
 Of query rows with one vec_id the least vector asks; repeated rows are candidates of their own.
 """
 
 from __future__ import annotations
 
+import heapq
 import math
+import operator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -38,17 +43,78 @@ FIRST_PART = 256
 GROWTH = 8
 LARGEST_SQUARE = 1 << 62
 _NO_ID = np.iinfo(np.int64).max
+LEAST_LONG, MOST_LONG = -(1 << 63), (1 << 63) - 1
+WIDE_BLOCK = 2048
+KIND = "query_id long, vec_id long, score long, evaluated long"
 
 
-def whole_numbers(vectors: DataFrame) -> DataFrame:
-    """vec_id, v (array of long) of the rows that take part."""
-    scaled = F.transform("embedding", lambda x: F.floor(x.cast("double") * 64))
-    sound = F.forall(
-        "embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) * 64 < float(1 << 31))
+def _finite() -> Column:
+    return F.coalesce(
+        F.col("embedding").isNotNull()
+        & F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < float("inf"))),
+        F.lit(False),
+    )
+
+
+def _fits() -> Column:
+    """All products and sums of such vectors lie in the range of a long."""
+    square = F.aggregate(
+        F.transform("embedding", lambda x: F.floor(x.cast("double") * 64)),
+        F.lit(0.0),
+        lambda total, x: total + x.cast("double") * x.cast("double"),
     )
-    square = F.aggregate(scaled, F.lit(0.0), lambda total, x: total + x.cast("double") * x.cast("double"))
-    fits = F.when(F.col("embedding").isNotNull() & sound, square < float(LARGEST_SQUARE)).otherwise(False)
-    return vectors.where(fits).select("vec_id", F.transform(scaled, lambda x: x.cast("long")).alias("v"))
+    small = F.forall("embedding", lambda x: F.abs(x.cast("double")) * 64 < float(1 << 31))
+    return F.when(_finite() & small, square < float(LARGEST_SQUARE)).otherwise(False)
+
+
+def whole_numbers(vectors: DataFrame) -> DataFrame:
+    """vec_id, v (array of long) of the rows whose whole numbers fit; the few others are ``wide``."""
+    scaled = F.transform("embedding", lambda x: F.floor(x.cast("double") * 64).cast("long"))
+    return vectors.where(_fits()).select("vec_id", scaled.alias("v"))
+
+
+def wide(vectors: DataFrame) -> DataFrame:
+    """vec_id, embedding (doubles) of the finite rows with too large numbers."""
+    return vectors.where(_finite() & ~_fits()).select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
+
+
+def exact_numbers(embedding) -> list[int]:
+    """floor(64 * x) of finite doubles, however large."""
+    return [64 * int(x) if abs(x) >= 2.0**53 else math.floor(64 * x) for x in embedding]
+
+
+def _search_wide(vectors: DataFrame, wide_rows: DataFrame, k: int, every: int) -> DataFrame:
+    """Best ``k`` per block of all pairs with a wide side, with Python's whole numbers; columns as of the main search.
+
+    Queries meet candidates block by block, as many as there are; a task holds one block of each.
+    """
+    ordinary = vectors.where(_fits()).select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
+    asks = (F.col("vec_id") % every == 0) & F.col("vec_id").isNotNull()
+
+    def best(q: pd.DataFrame, x: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        candidates = [(i, exact_numbers(v)) for i, v in zip(x["vec_id"], x["embedding"])]
+        for query_id, embedding in zip(q["vec_id"], q["embedding"]):
+            query = exact_numbers(embedding)
+            exact = ((i, sum(map(operator.mul, query, v))) for i, v in candidates if i != query_id)
+            scores = [(i, min(max(s, LEAST_LONG), MOST_LONG)) for i, s in exact]
+            top = heapq.nsmallest(k, scores, key=lambda s: (-s[1], s[0]))
+            out += [(query_id, i, s, len(scores)) for i, s in top]
+        return pd.DataFrame(out, columns=["query_id", "vec_id", "score", "evaluated"], dtype="int64")
+
+    def met(queries: DataFrame, candidates: DataFrame) -> DataFrame:
+        n_queries, n_rows = queries.count(), candidates.count()
+        row_blocks, query_blocks = n_rows // WIDE_BLOCK + 1, n_queries // WIDE_BLOCK + 1
+        queries = queries.groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
+        left = queries.withColumn("qb", F.pmod(F.xxhash64("vec_id"), F.lit(query_blocks)).cast("int"))
+        left = left.withColumn("rb", F.explode(F.sequence(F.lit(0), F.lit(row_blocks - 1))))
+        right = candidates.withColumn("vec_id", F.coalesce("vec_id", F.lit(_NO_ID)))
+        right = right.withColumn("rb", F.pmod(F.xxhash64("vec_id", "embedding"), F.lit(row_blocks)).cast("int"))
+        right = right.withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
+        return left.groupBy("qb", "rb").cogroup(right.groupBy("qb", "rb")).applyInPandas(best, KIND)
+
+    every_row = ordinary.unionByName(wide_rows)
+    return met(every_row.where(asks), wide_rows).unionByName(met(wide_rows.where(asks), ordinary))
 
 
 def matrix(vectors: pd.Series, width: int) -> np.ndarray:
@@ -127,9 +193,11 @@ def search(vectors: DataFrame, k: int = K, every: int = EVERY) -> DataFrame:
         F.count_if(asks),
         F.max(F.aggregate("v", F.lit(0).cast("long"), lambda a, x: a + x * x)),
     ).first()
-    kind = "query_id long, vec_id long, score long, evaluated long"
+    wide_rows = durable(wide(vectors), "wide-vectors")
+    any_wide = wide_rows.limit(1).count() > 0
     if not n or not n_queries:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+        found = _search_wide(vectors, wide_rows, k, every) if any_wide else spark.createDataFrame([], KIND)
+        return _ranked(found, k)
     pivots = pick_pivots(rows, width)
     # Sums of products stay below the largest squared length; up to 2^53 doubles are exact, and faster.
     number = np.float64 if largest < 1 << 52 else np.int64
@@ -175,7 +243,13 @@ def search(vectors: DataFrame, k: int = K, every: int = EVERY) -> DataFrame:
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score", "evaluated"], dtype="int64")
 
     keys = ["qb", "rb"]
-    found = queries.groupBy(*keys).cogroup(candidates.groupBy(*keys)).applyInPandas(pair, kind)
+    found = queries.groupBy(*keys).cogroup(candidates.groupBy(*keys)).applyInPandas(pair, KIND)
+    if any_wide:
+        found = found.unionByName(_search_wide(vectors, wide_rows, k, every))
+    return _ranked(found, k)
+
+
+def _ranked(found: DataFrame, k: int) -> DataFrame:
     order = W.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", F.nullif("vec_id", F.lit(_NO_ID)).alias("vec_id"), "score")

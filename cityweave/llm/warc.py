@@ -110,10 +110,13 @@ def record(pages: DataFrame) -> Column:
 
 def write_archives(pages: DataFrame, path: str, archive_bytes: int = ARCHIVE_BYTES) -> None:
     """Write ``pages`` as WARC files of about ``archive_bytes`` before compression (one record at least)."""
-    total = pages.agg(F.sum(F.octet_length("html") + F.octet_length("url") + 600)).first()[0] or 0
+    def size(column: str) -> Column:
+        return F.coalesce(F.octet_length(column).cast("long"), F.lit(0))
+
+    total = pages.agg(F.sum(size("html") + size("url") + 600)).first()[0] or 0
     found = classify(pages)
-    files = found.select(record(found).alias("value"), F.xxhash64("page_id", "url", "payload_digest").alias("mark"))
-    dealt = files.repartition(int(total // archive_bytes) + 1, "mark").select("value")
+    # Rows go round the archives, so equal ones spread, too; Spark orders them first, so a repeated task deals them alike.
+    dealt = found.select(record(found).alias("value")).repartition(int(total // archive_bytes) + 1)
     dealt.write.option("lineSep", END).option("compression", "gzip").text(path)
 
 

@@ -3,6 +3,8 @@
 import gzip
 import math
 import random
+import statistics
+from fractions import Fraction
 
 from cityweave.llm import topk, url_filter, warc
 
@@ -59,6 +61,21 @@ def test_archives_are_well_formed(spark, small, tmp_path):
     assert sum(1 for f in files for _ in warc.records_of(gzip.decompress(f.read_bytes()))) == pages.count()
 
 
+def test_archives_keep_their_size(spark, tmp_path):
+    """Pages without a URL, or without a text, and many equal rows go into as many archives as their bytes need."""
+    rows = {
+        "no url": [(i, None, f"page {i} " * 20) for i in range(2000)],
+        "no text": [(i, "http://a.com/" + "x" * 100, None) for i in range(2000)],
+        "equal": [(7, "http://a.com/7", "the same page " * 8)] * 5000,
+    }
+    for k, name in enumerate(rows):
+        path = tmp_path / str(k)
+        warc.write_archives(spark.createDataFrame(rows[name], "page_id long, url string, html string"), str(path), 100_000)
+        sizes = [len(gzip.decompress(f.read_bytes())) for f in path.iterdir() if f.name.startswith("part-")]
+        assert len(sizes) > 10 and max(sizes) < 150_000, name
+        assert max(sizes) < 1.5 * statistics.mean(sizes), name
+
+
 def test_loser_tree():
     draw = random.Random(3)
     for k in range(9):
@@ -71,12 +88,16 @@ def test_topk_brute_force(spark):
     rows = [(i, [round(draw.gauss(0, 1), 1) for _ in range(8)]) for i in range(130)]
     rows += [(200, rows[3][1]), (201, rows[3][1]), (201, rows[3][1]), (220, None), (240, [1.0, None]), (260, [math.nan] * 8)]
     rows += [(280, [math.inf] * 8), (300, [3e9] * 8), (320, []), (340, [1.0]), (None, rows[3][1])]
+    rows += [(360, [2.0**25, -0.3] * 4), (361, [-(2.0**60), 1e300, 0.5, 0.0, 0.0, 0.0, 0.0, 0.0]), (380, [1e308] * 8), (381, [-2.5 * 2.0**51] * 8)]
     vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>").selectExpr("*", "1 as v", "2 as score")
-    whole = [(i, [math.floor(64 * x) for x in v]) for i, v in rows if v is not None and all(x is not None and abs(x) < 1e8 for x in v)]
+    whole = [(i, [math.floor(64 * Fraction(x)) for x in v]) for i, v in rows if v is not None and all(x is not None and math.isfinite(x) for x in v)]
     want = set()
     for q, a in whole:
         if q is not None and q % 20 == 0:
-            scored = [(-sum(x * y for x, y in zip(a, b)), c is None, c or 0) for c, b in whole if c != q]
+            scores = [(c, min(max(sum(x * y for x, y in zip(a, b)), -(1 << 63)), (1 << 63) - 1)) for c, b in whole if c != q]
+            scored = [(-s, c is None, c or 0) for c, s in scores]
             want |= {(q, n, None if none else c, -s) for n, (s, none, c) in enumerate(sorted(scored)[:20], 1)}
     assert {tuple(r) for r in topk.search(vectors).collect()} == want
     assert topk.search(vectors.limit(0)).count() == 0
+    only_wide = topk.search(vectors.where("vec_id in (360, 361, 380)")).collect()
+    assert {(r.query_id, r.rank, r.vec_id) for r in only_wide} == {(360, 1, 380), (360, 2, 361), (380, 1, 360), (380, 2, 361)}
