@@ -219,6 +219,8 @@ _QUERIES = {
     + ") as c(i, name, type) where exists (select 1 from crime_raw)",
     "list_tables": """select label, (select count(distinct area_name) from valid) as n_areas
         from (values ('a'), ('b')) as t(label)""",
+    "box_on_layout": """select inspection_type, count(*) as n from located
+        where latitude between {} and {} and longitude between {} and {} group by inspection_type""".format(*q.BOX),
     "export_job": """select area_name as label, count(*) as n_rows, cast(sum(nearby_inspection_count) as bigint) as n_nearby
         from enriched group by 1 union all select permit_status, count(*), 0 from inspections group by 1""",
     "ctas_if_absent": _counts("valid", "area_name"),

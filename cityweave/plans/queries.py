@@ -16,7 +16,7 @@ from cityweave.functions import bins, geo, times
 from cityweave.operators import charts, cleaning, crosstab, nearby, profile, serving, trends
 from cityweave.operators.quantiles import quantiles
 from cityweave.plans import jobs
-from cityweave.sources import datasets, tables
+from cityweave.sources import datasets, layout, tables
 from cityweave.sources.derived import raw_tables
 from cityweave.sources.scratch import durable, fresh_path
 
@@ -35,6 +35,7 @@ CRIME_TYPE_SHARE = 0.05
 SAMPLE_ROWS = 10_000
 OPENINGS_SINCE = 2010
 CORRELATED = ("time_occ", "vict_age", "lat", "lon")
+BOX = (34.04, 34.06, -118.26, -118.23)
 REFRESHED_SINCE = "1998-03-15"
 CHOSEN_TYPE = "Crime-0"
 CHOSEN_DESCENT = "BUILDING"
@@ -158,6 +159,15 @@ def export_job(t: Tables) -> DataFrame:
     return crimes.unionByName(inspections.agg(F.count("*").alias("n_rows"), F.lit(0).cast("long").alias("n_nearby")))
 
 
+@query
+def box_on_layout(t: Tables) -> DataFrame:
+    """Inspections of each type in a box around the centre, from a table written along a space-filling curve."""
+    path = fresh_path(t.spark, "by-place")
+    layout.write_by_place(t.located.select("inspection_type", "latitude", "longitude"), path, rows_per_file=20_000, rows_per_group=2_000)
+    boxed = layout.in_box(t.spark.read.parquet(path), *BOX)
+    return boxed.groupBy("inspection_type").agg(F.count("*").alias("n"))
+
+
 def _table_name() -> str:
     return f"area_counts_{uuid.uuid4().hex}"
 

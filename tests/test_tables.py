@@ -1,13 +1,14 @@
 import datetime as dt
 import os
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from cityweave.operators import cleaning, trends
 from cityweave.operators.skew import join_per_key
 from cityweave.plans import jobs
-from cityweave.sources import datasets, scratch, tables
+from cityweave.sources import datasets, layout, scratch, tables
 from cityweave.sources.derived import raw_tables
 
 
@@ -173,3 +174,44 @@ def test_derived_tables_have_the_rows_that_rules_are_about(spark, small):
     assert crime.groupBy("lat", "lon").count().where("lat > 0").agg({"count": "max"}).first()[0] > 100
     assert raw["inspection"].select("inspection_result").distinct().count() >= 20
     assert raw["business"].select("primary_naics_description").distinct().count() >= 20
+
+
+def test_box_reads_few_row_groups(spark, tmp_path):
+    """Under 5 % of the row groups can meet a box, by their statistics; the rows are those of a plain filter."""
+    path, box = str(tmp_path / "by-place"), (34.04, 34.06, -118.26, -118.23)
+    points = spark.range(120_000).select(
+        "id", (33.7 + F.rand(1) * 0.7).alias("latitude"), (-118.7 + F.rand(2) * 0.9).alias("longitude")
+    )
+    odd = spark.createDataFrame([(-1, None, 1.0), (-2, float("nan"), 1.0), (-3, 200.0, -999.0)], "id long, latitude double, longitude double")
+    points = points.unionByName(odd).cache()
+    layout.write_by_place(points, path, rows_per_file=10_000, rows_per_group=500)
+    met = groups = 0
+    for file in (f for f in os.listdir(path) if f.endswith(".parquet")):
+        footer = pq.read_metadata(f"{path}/{file}")
+        names = [footer.schema.column(i).name for i in range(footer.num_columns)]
+        for g in range(footer.num_row_groups):
+            lat, lon = (footer.row_group(g).column(names.index(c)).statistics for c in ("latitude", "longitude"))
+            groups += 1
+            if lat is None or not lat.has_min_max:
+                met += 1
+            else:
+                met += lat.max >= box[0] and lat.min <= box[1] and lon.max >= box[2] and lon.min <= box[3]
+    assert groups > 100 and met < 0.05 * groups
+    written = spark.read.parquet(path)
+    assert written.count() == points.count()
+    found = layout.in_box(written, *box)
+    assert sorted(r.id for r in found.collect()) == sorted(r.id for r in layout.in_box(points, *box).collect()) != []
+    assert "PushedFilters: [IsNotNull(latitude)" in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_place_key_alternates_bits(spark):
+    rows = [(-90.0, -180.0), (90.0, 180.0), (-90.0, 180.0), (0.0, 0.0), (None, 1.0), (float("nan"), 1.0), (12.5, -77.25)]
+    df = spark.createDataFrame(rows, "latitude double, longitude double")
+
+    def plain(lat, lon):
+        if lat is None or lat != lat:
+            return None
+        y, x = (min(int((v + h) / (2 * h) * 2**31), 2**31 - 1) for v, h in ((lat, 90.0), (lon, 180.0)))
+        return sum(((y >> b & 1) << 2 * b + 1) | ((x >> b & 1) << 2 * b) for b in range(31))
+
+    assert [r.k for r in df.select(layout.place_key().alias("k")).collect()] == [plain(*r) for r in rows]
