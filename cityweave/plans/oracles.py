@@ -225,6 +225,9 @@ _QUERIES = {
         from enriched group by 1 union all select permit_status, count(*), 0 from inspections group by 1""",
     "ctas_if_absent": _counts("valid", "area_name"),
     "replace_table": _counts("valid", "area_name"),
+    "publish_table": _counts("valid", "area_name"),
+    "update_saved": """select area_name, count(*) as n,
+        cast(count(*) filter (where area_name like '%A' or vict_age < 2) as bigint) as n_checked from valid group by area_name""",
     "sink_csv": f"select {_INSPECTION.replace(' ', ', ')} from inspections",
     "sink_parquet": "select dr_no, area_name, date_occ, time_occ, vict_sex from crime",
     "sql_view": "select area_name, count(*) as n, min(vict_age) as youngest, max(vict_age) as oldest from valid group by area_name",

@@ -16,7 +16,7 @@ from cityweave.functions import bins, geo, times
 from cityweave.operators import charts, cleaning, crosstab, nearby, profile, serving, trends
 from cityweave.operators.quantiles import quantiles
 from cityweave.plans import jobs
-from cityweave.sources import datasets, layout, tables
+from cityweave.sources import datasets, layout, saved, tables
 from cityweave.sources.derived import raw_tables
 from cityweave.sources.scratch import durable, fresh_path
 
@@ -194,6 +194,37 @@ def replace_table(t: Tables) -> DataFrame:
     return found
 
 
+@query
+def publish_table(t: Tables) -> DataFrame:
+    """Two versions swapped in through the catalog; one that fails its check changes nothing."""
+    name, folder = _table_name(), fresh_path(t.spark, "versions")
+    counts = profile.counts_by(t.valid, "area_name")
+    saved.publish(counts.where("n < 0"), name, "1", 0, folder)
+    saved.publish(counts, name, "2", folder=folder)
+    try:
+        saved.publish(counts.where("n < 0"), name, "3", 1, folder)
+    except RuntimeError:
+        found = durable(t.spark.table(name), "published")
+    t.spark.sql(f"drop view {name}")
+    for version in "12":
+        t.spark.sql(f"drop table {name}__{version}")
+    return found
+
+
+@query
+def update_saved(t: Tables) -> DataFrame:
+    """A saved table gets a column and an update; only the areas with such crimes are rewritten."""
+    name = _table_name()
+    crimes = t.valid.select("dr_no", "vict_age", "area_name")
+    crimes.write.partitionBy("area_name").option("path", fresh_path(t.spark, "saved")).saveAsTable(name)
+    saved.add_column(t.spark, name, "checked", "int", "0")
+    found = saved.update(t.spark, name, {"checked": F.lit(1)}, F.col("area_name").like("%A") | (F.col("vict_age") < 2))
+    counted = found.groupBy("area_name").agg(F.count("*").alias("n"), F.sum("checked").alias("n_checked"))
+    counted = durable(counted, "checked")
+    t.spark.sql(f"drop table {name}")
+    return counted
+
+
 @query
 def sink_csv(t: Tables) -> DataFrame:
     """Cleaned inspections written as CSV and read back."""
