@@ -1,6 +1,9 @@
 """Connected components by alternating large and small stars, each round a few joins and aggregates.
 
 Every round is written to the shared folder, so lineage stays short and survives lost executors.
+
+Defined results: links may be repeated, in either direction, and from a node to itself, which gives no component; nodes without
+a link are not returned; no links give no rows. Ids must not be NULL.
 """
 
 from __future__ import annotations

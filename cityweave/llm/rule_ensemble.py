@@ -10,7 +10,8 @@ the one training task hold. Everything else sees all documents.
 Defined results: NULL text is scored as an empty one; labels that are NULL, belong to no document or contradict
 each other (repeated ids: the smallest label and statistics count) are settled before the fit; without
 labels of both kinds the score is the share of label 1 (0.5 without any); repeated documents are scored one by one;
-extra columns of the documents play no part.
+extra columns of the documents play no part. Statistics are of whole texts of any length. Candidates for the sample with equal hashes
+go by doc_id; a score equal to ``KEEP_FROM`` counts as good. An empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -6,6 +6,8 @@ import itertools
 import math
 import random
 import re
+import unicodedata
+import zlib
 from collections import Counter
 
 import pytest
@@ -362,6 +364,40 @@ def test_segmentation_round_trip(odd_docs, no_docs):
 # --- quality classifier
 
 
+def plain_statistics(text):
+    text = text or ""
+    rest, n = re.sub("[a-zß-öø-ÿ ]+", "", text), max(len(text), 1)
+    parts = re.split(r"[\x20\x09-\x0D]+", text)
+
+    def share(test):
+        return sum(map(test, rest)) / n
+
+    return [
+        math.log1p(len(parts)), n / len(parts), share("#*$%&|<>".__contains__), share("!?".__contains__), share("|".__contains__),
+        share(".,;:".__contains__), share("0123456789".__contains__), share("\n".__contains__),
+        share(lambda c: unicodedata.category(c) == "Lu"), len(set(parts)) / len(parts),
+    ]
+
+
+def test_quality_scores_equal_the_rules(spark, small, odd_docs):
+    """Every score against the rules and weights applied to plain statistics."""
+    docs, labels = table(spark, small, "documents"), table(spark, small, "labels")
+    model = rule_ensemble.fit(docs, labels)
+    assert model.rules
+    for df in (docs, odd_docs):
+        want = Counter()
+        for r in df.select("doc_id", "text").collect():
+            stats = plain_statistics(r.text)
+            total = model.intercept
+            for rule, weight in zip(model.rules, model.weights):
+                total += weight * all(stats[f] > t if above else stats[f] <= t for f, above, t in rule)
+            score = 1 / (1 + math.exp(-total))
+            held_out = r.doc_id is None or zlib.crc32(str(r.doc_id).encode()) % 5 == 0
+            want[r.doc_id, held_out, round(score, 9), int(score >= 0.3)] += 1
+        found = rule_ensemble.score(df, model).collect()
+        assert Counter((r.doc_id, r.held_out, round(r.score, 9), r.predicted) for r in found) == want
+
+
 def test_quality_held_out(spark, odd_docs, no_docs):
     folder = "/root/testdata/sf0.01"
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
