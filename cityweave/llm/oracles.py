@@ -17,9 +17,9 @@ def _url_filter() -> str:
     rule = " ".join(f"when {c} then '{r}'" for c, r, _ in fits)
     verdict = " ".join(f"when {c} then '{v}'" for c, _, v in fits)
 
-    def hits(strict: bool) -> str:
-        terms = [t for t, w in url_filter.VOCABULARY.items() if (w >= url_filter.LIMIT) == strict]
-        return " + ".join(f"regexp_matches(low, '(^|[^a-z0-9]){t}($|[^a-z0-9])')::int" for t in terms)
+    def hits(strict: bool, weighted: bool = False) -> str:
+        terms = [(t, w if weighted else 1) for t, w in url_filter.VOCABULARY.items() if (w >= url_filter.LIMIT) == strict]
+        return " + ".join(f"{n} * regexp_matches(low, '(^|[^a-z0-9]){t}($|[^a-z0-9])')::int" for t, n in terms)
 
     return f"""
 with parts as (
@@ -27,10 +27,10 @@ with parts as (
     coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') as path,
     {_LOWER.format("coalesce(url, '')")} as low
   from pages),
-counted as (select *, {hits(True)} as strict_hits, {hits(False)} as soft_hits from parts)
-select page_id, host, path, case {rule} end as rule, strict_hits, soft_hits,
-  {url_filter.LIMIT} * strict_hits + soft_hits as weight,
-  case {verdict} when {url_filter.LIMIT} * strict_hits + soft_hits >= {url_filter.LIMIT} then 'block' else 'allow' end as verdict
+counted as (select *, {hits(True)} as strict_hits, {hits(False)} as soft_hits,
+  {hits(True, True)} + {hits(False, True)} as weight from parts)
+select page_id, host, path, case {rule} end as rule, strict_hits, soft_hits, weight,
+  case {verdict} when weight >= {url_filter.LIMIT} then 'block' else 'allow' end as verdict
 from counted"""
 
 

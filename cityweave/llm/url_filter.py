@@ -7,7 +7,8 @@ do not count, and the weights of the *distinct* terms hit are added. A strict te
 limit, so one suffices; soft terms weigh less, so several are needed.
 
 Defined results: a NULL URL or one without ``://`` has an empty host and path and no rule; a NULL or empty URL
-hits no term and is allowed; repeated rows are judged alike; all input columns but the result's own stay out.
+hits no term and is allowed; repeated rows are judged alike; URLs of any length are read whole; an empty table gives no rows, an empty vocabulary no hits; all
+input columns but the result's own stay out.
 """
 
 from __future__ import annotations
@@ -22,15 +23,22 @@ from pyspark.sql import functions as F
 
 from cityweave.llm.rows import bound_batches, lower_ascii
 
-LIMIT = 2
+#: A URL is blocked from this weight on: by one strict term, two strong soft ones, or weak ones that add up to it.
+LIMIT = 4
+MOST_TERMS = 500_000
 WORDY = frozenset(string.ascii_lowercase + string.digits)
-STRICT = ("porn", "porno", "xxx", "nsfw", "hentai", "camgirls", "milf", "adult", "warez", "keygen")
-SOFT = (
-    "casino win bet bets betting poker slots jackpot lottery roulette bingo viagra cialis pills pharma sex sexy "
-    "dating escort nude cam crack cracked hack cheat loan payday replica free bonus deal deals cheap coupon "
-    "spam farm ads track tracker"
-).split()
-VOCABULARY = {**dict.fromkeys(STRICT, LIMIT), **dict.fromkeys(SOFT, 1)}
+STRICT = "porn porno xxx nsfw hentai camgirls milf adult warez keygen pornos porno-gratis sexfilme"
+STRONG = (
+    "casino win bet bets betting poker slots jackpot lottery roulette bingo viagra cialis pills pharma sex sexy dating escort nude "
+    "cam crack cracked hack cheat loan payday replica spam farm "
+    "wetten gluecksspiel spielautomat erotik potenzmittel rezeptfrei sofortkredit raubkopie "
+    "loterie pilules erotique rencontres escorte contrefacon pari-sportif "
+    "apuestas tragamonedas loteria ruleta pastillas erotico citas prestamos"
+)
+WEAK = "free bonus deal deals cheap coupon ads track tracker gratis gratuit kostenlos billig barato oferta rabatt promo"
+VOCABULARY = {
+    **dict.fromkeys(STRICT.split(), LIMIT), **dict.fromkeys(STRONG.split(), 2), **dict.fromkeys(WEAK.split(), 1)
+}
 RULES = (
     ("net", "/", "block"),
     ("example.net", "/en/", "allow"),
@@ -39,6 +47,15 @@ RULES = (
 )
 
 
+def read_vocabulary(terms: DataFrame) -> dict[str, int]:
+    """A vocabulary from a table (term, weight): lower-cased, the larger weight counts. At most ``MOST_TERMS`` terms."""
+    kept = terms.where("term <> '' and weight > 0").groupBy(lower_ascii(F.col("term")).alias("term")).agg(F.max("weight").alias("w"))
+    rows = kept.limit(MOST_TERMS + 1).collect()
+    if len(rows) > MOST_TERMS:
+        raise ValueError(f"more than {MOST_TERMS} terms")
+    return {r.term: int(r.w) for r in rows}
+
+
 def host_of(url: Column) -> Column:
     """What follows the first ``://`` up to ``/``, ``?``, ``#`` or the end, A-Z lower-cased; empty without ``://``."""
     return F.coalesce(lower_ascii(F.regexp_extract(url, r"^(?s:.*?)://([^/?#]*)", 1)), F.lit(""))
@@ -83,7 +100,7 @@ def term_hits(url: Column, vocabulary: Mapping[str, int], limit: int) -> Column:
         for urls in batches:
             rows = []
             for url in urls:
-                found = [weights[t] for t in hits_in(url, automaton)] if url else []
+                found = [weights[t] for t in hits_in(url, automaton)] if url and weights else []
                 strict = sum(w >= limit for w in found)
                 rows.append((strict, len(found) - strict, sum(found)))
             yield pd.DataFrame(rows, columns=["strict", "soft", "weight"], dtype="int32")

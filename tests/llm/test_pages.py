@@ -33,6 +33,29 @@ def test_url_filter_odd_rows(spark):
     assert url_filter.judge(pages.limit(0)).count() == 0
 
 
+def test_url_weights(spark):
+    """Weights add up over distinct terms; a vocabulary may come from a table, with terms of any weight."""
+    urls = {
+        "http://a.com/free/cheap/deal": (0, 3, 3, "allow"),
+        "http://a.com/free/cheap/deal/gratis": (0, 4, 4, "block"),
+        "http://a.com/wetten/billig": (0, 2, 3, "allow"),
+        "http://a.com/apuestas?ruleta": (0, 2, 4, "block"),
+        "http://a.com/loterie-gratuit-promo/FREE": (0, 4, 5, "block"),
+        "http://a.com/porno-gratis": (2, 1, 9, "block"),
+        "http://a.com/warez": (1, 0, 4, "block"),
+    }
+    pages = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id long, url string")
+    got = [(r.strict_hits, r.soft_hits, r.weight, r.verdict) for r in url_filter.judge(pages).orderBy("page_id").collect()]
+    assert got == list(urls.values())
+    table = [(f"term{i}", 1 + i % 9) for i in range(5000)] + [("TERM8", 3), ("", 9), (None, 9), ("zero", 0)]
+    words = url_filter.read_vocabulary(spark.createDataFrame(table, "term string, weight int"))
+    assert len(words) == 5000 and words["term8"] == 9
+    pages = spark.createDataFrame([(1, "http://term0.com/term1/term3-term3"), (2, "http://term7.com/xterm8")], "page_id long, url string")
+    got = url_filter.judge(pages, vocabulary=words, limit=8).orderBy("page_id").collect()
+    assert [(r.strict_hits, r.soft_hits, r.weight, r.verdict) for r in got] == [(0, 3, 7, "allow"), (1, 0, 8, "block")]
+    assert url_filter.judge(pages, vocabulary={}).where("verdict = 'block'").count() == 0
+
+
 def test_warc_odd_rows(spark):
     same, tricky = "x" * 150, "WARC/1.1\r\nContent-Length: 3\r\n\r\nabc\r\n\r\nWARC/1.1\r\n"
     rows = [
