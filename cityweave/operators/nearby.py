@@ -33,9 +33,9 @@ from cityweave.sources.scratch import durable
 
 # Blocks along a block's side, as a power of two; points up to which a block is opened; levels of a tree, the last of which is
 # finer than a millimetre. Blocks there are opened whatever they hold.
-FAN_BITS = 3
-FEW = 128
-LEVELS = 8
+FAN_BITS = 2
+FEW = 64
+LEVELS = 12
 # Cells are this much wider than the reach, so rounding cannot put a match two cells away.
 SLACK = 1.1
 # Fixed values of the distance tests.
