@@ -15,8 +15,10 @@ import xxhash
 import zstandard
 from pyspark.sql import functions as F
 
+from notations import HARD, PLANTED
+
 import corpus_pipeline
-from cityweave.llm import compression, line_dedup, mixing, pieces, pii, rule_ensemble, simhash
+from cityweave.llm import compression, line_dedup, mixing, pieces, pii, rule_ensemble, simhash, trees
 from cityweave.llm.rows import table
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -494,3 +496,29 @@ def test_personal_data_model(spark):
     assert {s.kind for s in spans} >= {"email"} and all(s.end <= 72 for s in spans)
     marked = spark.createDataFrame([("ab 1 cd", "card:3:4"), (None, "ip:0:1"), ("x", None)], "text string, spans string")
     assert [r[0] for r in marked.select(pii.redact(marked.text, marked.spans)).collect()] == ["ab [card] cd", None, "x"]
+
+
+def test_notations_are_caught(spark):
+    """At least 0.9 of each kind of the planted notations, as whole spans, and next to nothing of what only looks like them."""
+    model = pii.fit(table(spark, "/root/testdata/sf0.1", "documents"))
+    for kind, planted in PLANTED.items():
+        caught = 0
+        for text, part in planted:
+            wanted = pii.Span(kind, text.index(part), text.index(part) + len(part))
+            assert wanted in pii.proposals(text), text
+            caught += wanted in pii.all_spans(text, pii.base_spans(text), model)
+        assert caught >= 0.9 * len(planted), kind
+    added = sum(len(pii.all_spans(t, base, model)) - len(base) for t in HARD if (base := pii.base_spans(t)) is not None)
+    assert added <= 0.05 * sum(map(len, PLANTED.values()))
+
+
+def test_proposals_of_hard_texts_are_linear():
+    """Twice the text gives about twice the proposals, and scores taken together are those taken alone."""
+    for piece in ("1 ", "at dot ", "a@", "1.", "a at b dot ", "(1) ", "\u0661", "x [at] y [dot] ", "@.", "1 - "):
+        counts = [sum(1 for _ in pii.proposed(pii.plain(piece * n))) for n in (2000, 4000)]
+        assert counts[1] <= 2 * counts[0] + 40 and counts[1] <= 200_000, piece
+    assert pii.plain("\uff14\u0661\u2011\u00a0x") == "41- x"
+    leaf = [((0, False, 1.0),), ((0, True, 1.0), (1, False, 0.5)), ((0, True, 1.0), (1, True, 0.5))]
+    model = pii.Model([(0.5, [pii.Leaf(tuple(trees.Condition(*c) for c in path), float(i)) for i, path in enumerate(leaf)])], {})
+    rows = [[x, y] for x in (0.0, 1.0, 2.0) for y in (0.0, 0.5, 1.0)]
+    assert pii.scores(model, rows).tolist() == [pii.score(model, r) for r in rows]
