@@ -513,10 +513,10 @@ def test_notations_are_caught(spark):
 
 
 def test_proposals_of_hard_texts_are_linear():
-    """Twice the text gives about twice the proposals, and scores taken together are those taken alone."""
+    """Twice the text gives twice the proposals, but for windows of up to 19 groups at the ends; scores taken together are those taken alone."""
     for piece in ("1 ", "at dot ", "a@", "1.", "a at b dot ", "(1) ", "\u0661", "x [at] y [dot] ", "@.", "1 - "):
         counts = [sum(1 for _ in pii.proposed(pii.plain(piece * n))) for n in (2000, 4000)]
-        assert counts[1] <= 2 * counts[0] + 40 and counts[1] <= 200_000, piece
+        assert counts[1] <= 2 * counts[0] + 19 * 19 and counts[1] <= 200_000, piece
     assert pii.plain("\uff14\u0661\u2011\u00a0x") == "41- x"
     leaf = [((0, False, 1.0),), ((0, True, 1.0), (1, False, 0.5)), ((0, True, 1.0), (1, True, 0.5))]
     model = pii.Model([(0.5, [pii.Leaf(tuple(trees.Condition(*c) for c in path), float(i)) for i, path in enumerate(leaf)])], {})
