@@ -1,41 +1,47 @@
-"""Counting the points around other points with grid-keyed joins.
+"""Counting the points around other points.
 
 Plan, for every kind of neighbourhood:
 
 1. Points with the same coordinates become one weighted point, and each distinct probe location is looked
    up once. Copies, however many, cost one row.
-2. A grid with cells slightly wider than the reach turns "near" into an equi-join: matches lie in the 3 x 3
-   cells around the probe.
-3. Cells form the roots of quadtrees. A block of more than a few points has 4 x 4 finer ones, level by level. Every block
-   carries its weight, its number of points and its extent. Probes start at the cells around them: a block wholly inside
-   the neighbourhood adds its weight, one wholly outside adds nothing, one on the rim passes the probe on to the blocks in
-   it, or, if it has few points, to these. So a crowded cell costs the blocks along the rim and not all of its pairs.
-   A tree is as deep as its points are dense; sparse cells are not divided at all.
-4. Weights are summed per probe location, partly before the shuffle, and joined back to the rows.
-
-A block has at most 16 parts and opens to few points, so a step multiplies the probes by a bounded number; steps whose blocks are
-too many to broadcast are joined in tasks of equal work (``skew.join_by_work``). Distinct points, trees and the pairs of a
-level are written between steps: each is read more than once.
+2. Probes and points are each dealt into parts of at most some 100,000 neighbouring ones, runs along a space-filling curve.
+   Of each part the extent and weight are known.
+3. Parts are paired by their extents. A part of points wholly inside the neighbourhood of all probes of a part adds its weight
+   to them, one wholly outside is dropped. The probes and points that may be near meet in a task per pair.
+4. There the probes walk down the trees of the points (``treewalk``): a block of more than a few points has 4 x 4 finer ones,
+   as deep as its points are dense. So a crowd costs the blocks along the rim and not all of its pairs.
+5. Weights are summed per probe location, partly before the shuffle, and joined back to the rows.
+
+What is written and shuffled are rows of the two tables, repeated for the parts they meet, and one number per probe and part with
+a point near it; pairs of probe and block or point exist in memory only, in bounded pieces.
 """
 
 from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from typing import Any
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cityweave.functions import geo
 from cityweave.functions.numbers import is_number
+from cityweave.operators import treewalk
 from cityweave.operators.skew import ROWS_PER_PART, join_by_work, join_per_key
+from cityweave.operators.treewalk import FAN_BITS, LEVELS, Box
+from cityweave.sources.layout import place_key
 from cityweave.sources.scratch import durable
 
-# Blocks along a block's side, as a power of two; points up to which a block is opened; levels of a tree, the last of which is
-# finer than a millimetre. Blocks there are opened whatever they hold.
-FAN_BITS = 2
+# Points up to which a block is opened.
 FEW = 64
-LEVELS = 12
+# Rows of a part; fewer where there would be fewer parts than tasks, but not below the second number.
+PART_ROWS = 100_000
+LEAST_PART_ROWS = 2_000
+# Tasks of the walk for each shuffle partition, as pairs of parts differ in work.
+WALKS_PER_TASK = 8
 # Cells are this much wider than the reach, so rounding cannot put a match two cells away.
 SLACK = 1.1
 # Fixed values of the distance tests.
@@ -71,52 +77,38 @@ class Planar:
     def lon_neighbours(self, index: Column, width: Column) -> Column:
         return F.sequence(index - 1, index + 1)
 
-    def _inside(self, north: Column, east: Column) -> Column:
+    def _inside(self, north: Any, east: Any) -> Any:
         north, east = north * self.lat_scale, east * self.lon_scale
         square = north * north + east * east
         limit = self.radius * self.radius
         return square <= limit if self.inclusive else square < limit
 
-    def matches(self) -> Column:
-        """Probe ``q_*`` and point ``p_*`` are near."""
-        p_lat, p_lon, q_lat, q_lon = (F.col(c) for c in ("p_lat", "p_lon", "q_lat", "q_lon"))
+    def matches(self, q_lat: np.ndarray, q_lon: np.ndarray, p_lat: np.ndarray, p_lon: np.ndarray) -> np.ndarray:
+        """Probe and point are near."""
         near = self._inside(p_lat - q_lat, p_lon - q_lon)
         if self.box is None:
             return near
-        return (
-            p_lat.between(q_lat - self.box, q_lat + self.box) & p_lon.between(q_lon - self.box, q_lon + self.box) & near
-        )
+        near &= (p_lat >= q_lat - self.box) & (p_lat <= q_lat + self.box)
+        return near & (p_lon >= q_lon - self.box) & (p_lon <= q_lon + self.box)
 
-    # The two block tests use the closest and farthest corner of the block. Rounded subtraction, product
+    # The two tests of extents use their closest and farthest corners. Rounded subtraction, product
     # and sum never reverse an order, so they agree with ``matches`` on every point to the last bit.
 
-    def may_match(self) -> Column:
-        """Some point of the block may be near the probe."""
-        near = self._inside(_gap("lat"), _gap("lon"))
+    def may_match(self, q: Box, p: Box, m: Any) -> Any:
+        """Some point of ``p`` may be near some probe of ``q``."""
+        near = self._inside(_gap(q, p, "lat", m), _gap(q, p, "lon", m))
         if self.box is None:
             return near
-        q_lat, q_lon = F.col("q_lat"), F.col("q_lon")
-        return (
-            (F.col("max_lat") >= q_lat - self.box)
-            & (F.col("min_lat") <= q_lat + self.box)
-            & (F.col("max_lon") >= q_lon - self.box)
-            & (F.col("min_lon") <= q_lon + self.box)
-            & near
-        )
+        near = near & (p.max_lat >= q.min_lat - self.box) & (p.min_lat <= q.max_lat + self.box)
+        return near & (p.max_lon >= q.min_lon - self.box) & (p.min_lon <= q.max_lon + self.box)
 
-    def all_match(self) -> Column:
-        """Every point of the block is near the probe."""
-        near = self._inside(_span("lat"), _span("lon"))
+    def all_match(self, q: Box, p: Box, m: Any) -> Any:
+        """Every point of ``p`` is near every probe of ``q``."""
+        near = self._inside(_span(q, p, "lat", m), _span(q, p, "lon", m))
         if self.box is None:
             return near
-        q_lat, q_lon = F.col("q_lat"), F.col("q_lon")
-        return (
-            (F.col("min_lat") >= q_lat - self.box)
-            & (F.col("max_lat") <= q_lat + self.box)
-            & (F.col("min_lon") >= q_lon - self.box)
-            & (F.col("max_lon") <= q_lon + self.box)
-            & near
-        )
+        near = near & (p.min_lat >= q.max_lat - self.box) & (p.max_lat <= q.min_lat + self.box)
+        return near & (p.min_lon >= q.max_lon - self.box) & (p.max_lon <= q.min_lon + self.box)
 
 
 @dataclass(frozen=True)
@@ -153,57 +145,86 @@ class GreatCircle:
     def _around(width: Column) -> Column:
         return F.round(360 / width).cast("long")
 
-    def matches(self) -> Column:
-        angle = geo.haversine_angle(*(F.col(c) for c in ("q_lat", "q_lon", "p_lat", "p_lon")))
-        in_row = F.abs(F.col("p_lat") - F.col("q_lat")) <= self.lat_cells()
+    def matches(self, q_lat: np.ndarray, q_lon: np.ndarray, p_lat: np.ndarray, p_lon: np.ndarray) -> np.ndarray:
+        in_row = np.abs(p_lat - q_lat) <= self.lat_cells()
+        q_lat, q_lon, p_lat, p_lon = (np.radians(c) for c in (q_lat, q_lon, p_lat, p_lon))
+        half_lat, half_lon = np.sin((p_lat - q_lat) / 2), np.sin((p_lon - q_lon) / 2)
+        term = half_lat * half_lat + np.cos(q_lat) * np.cos(p_lat) * half_lon * half_lon
+        # As in ``geo.haversine_angle``.
+        with np.errstate(invalid="ignore"):
+            angle = 2 * np.arcsin(np.sqrt(np.where((term >= 1) & (term <= 2), 1.0, term)))
         return in_row & (angle * geo.EARTH_M <= self.radius_m)
 
-    # Bounds on the haversine term over the block. Blocks within a billionth of the rim are opened, which
-    # is far more than the rounding of the bounds.
+    # Bounds on the haversine term over the extents. Those within a billionth of the rim are opened, which
+    # is far more than the rounding of the bounds; so are latitudes beyond the poles.
 
     def _limit(self) -> float:
         return math.sin(self.radius_m / geo.EARTH_M / 2) ** 2
 
-    def _term(self, lat_gap: Column, lon_term: Column, cosine: Column) -> Column:
-        half = F.sin(F.radians(lat_gap) / 2)
-        return half * half + F.cos(F.radians(F.col("q_lat"))) * cosine * lon_term
-
     @staticmethod
-    def _lon_term(gap: Column) -> Column:
-        half = F.sin(F.radians(gap) / 2)
+    def _square(gap: Any, m: Any) -> Any:
+        half = m.sin(m.radians(gap) / 2)
         return half * half
 
     @staticmethod
-    def _cosines() -> tuple[Column, Column]:
-        return F.cos(F.radians(F.col("min_lat"))), F.cos(F.radians(F.col("max_lat")))
-
-    def may_match(self) -> Column:
-        near, far = self._lon_term(_gap("lon")), self._lon_term(_span("lon"))
-        least = self._term(_gap("lat"), F.least(near, far), F.least(*self._cosines()))
-        return (_gap("lat") <= self.lat_cells()) & (least <= self._limit() * (1 + 1e-9))
-
-    def all_match(self) -> Column:
-        near, far = self._lon_term(_gap("lon")), self._lon_term(_span("lon"))
-        opposite = (_gap("lon") <= 180) & (_span("lon") >= 180)
-        over_equator = (F.col("min_lat") <= 0) & (F.col("max_lat") >= 0)
-        most = self._term(
-            _span("lat"),
-            F.when(opposite, 1.0).otherwise(F.greatest(near, far)),
-            F.when(over_equator, 1.0).otherwise(F.greatest(*self._cosines())),
-        )
-        return most <= self._limit() * (1 - 1e-9)
+    def _on_globe(q: Box, p: Box, m: Any) -> Any:
+        return (m.greatest(q.max_lat, p.max_lat) <= 90.0) & (m.least(q.min_lat, p.min_lat) >= -90.0)
+
+    @staticmethod
+    def _least_cosine(b: Box, m: Any) -> Any:
+        return m.least(m.cos(m.radians(b.min_lat)), m.cos(m.radians(b.max_lat)))
+
+    @staticmethod
+    def _most_cosine(b: Box, m: Any) -> Any:
+        over_equator = (b.min_lat <= 0.0) & (b.max_lat >= 0.0)
+        return m.where(over_equator, 1.0, m.greatest(m.cos(m.radians(b.min_lat)), m.cos(m.radians(b.max_lat))))
+
+    def may_match(self, q: Box, p: Box, m: Any) -> Any:
+        gap, span, north = _gap(q, p, "lon", m), _span(q, p, "lon", m), _gap(q, p, "lat", m)
+        east = m.where(span >= 360.0, 0.0, m.least(self._square(gap, m), self._square(span, m)))
+        least = self._square(north, m) + self._least_cosine(q, m) * self._least_cosine(p, m) * east
+        return (north <= self.lat_cells()) & (~self._on_globe(q, p, m) | (least <= self._limit() * (1 + 1e-9)))
+
+    def all_match(self, q: Box, p: Box, m: Any) -> Any:
+        gap, span = _gap(q, p, "lon", m), _span(q, p, "lon", m)
+        around = ((gap <= 180.0) & (span >= 180.0)) | (span >= 360.0)
+        east = m.where(around, 1.0, m.greatest(self._square(gap, m), self._square(span, m)))
+        most = self._square(_span(q, p, "lat", m), m) + self._most_cosine(q, m) * self._most_cosine(p, m) * east
+        return self._on_globe(q, p, m) & (most <= self._limit() * (1 - 1e-9))
+
+
+class Columns:
+    """The functions that distance tests are written in, for columns."""
+
+    sin, cos, radians = F.sin, F.cos, F.radians
+
+    @staticmethod
+    def _column(value: Any) -> Column:
+        return value if isinstance(value, Column) else F.lit(value)
+
+    @staticmethod
+    def greatest(*values: Any) -> Column:
+        return F.greatest(*map(Columns._column, values))
+
+    @staticmethod
+    def least(*values: Any) -> Column:
+        return F.least(*map(Columns._column, values))
+
+    @staticmethod
+    def where(condition: Column, value: Any, otherwise: Any) -> Column:
+        return F.when(condition, value).otherwise(otherwise)
 
 
-def _gap(axis: str) -> Column:
-    """Distance along one axis from the probe to the nearest edge of the block, 0 inside it."""
-    q = F.col(f"q_{axis}")
-    return F.greatest(F.col(f"min_{axis}") - q, q - F.col(f"max_{axis}"), F.lit(0.0))
+def _gap(q: Box, p: Box, axis: str, m: Any) -> Any:
+    """Distance along one axis between the nearest edges, 0 where the extents overlap."""
+    low, high = f"min_{axis}", f"max_{axis}"
+    return m.greatest(getattr(p, low) - getattr(q, high), getattr(q, low) - getattr(p, high), 0.0)
 
 
-def _span(axis: str) -> Column:
-    """Distance along one axis from the probe to the far edge of the block."""
-    q = F.col(f"q_{axis}")
-    return F.greatest(F.abs(F.col(f"min_{axis}") - q), F.abs(F.col(f"max_{axis}") - q))
+def _span(q: Box, p: Box, axis: str, m: Any) -> Any:
+    """Distance along one axis between the farthest edges."""
+    low, high = f"min_{axis}", f"max_{axis}"
+    return m.greatest(getattr(p, high) - getattr(q, low), getattr(q, high) - getattr(p, low))
 
 
 # Fixed neighbourhoods of the four counts.
@@ -314,8 +335,8 @@ def count_around(
     Columns ``q_lat, q_lon, n_rows, n_near``; locations without a near point have 0.
     """
     locations = _locations(rows, row_lat, row_lon)
-    leaves = _weighted_points(points, point_lat, point_lon, near)
-    return durable(_summed(locations, _probe_cells(locations, near), leaves, near, few), "near-counts")
+    spots = durable(_distinct_points(points, point_lat, point_lon), "points")
+    return durable(_summed(locations, spots, near, few), "near-counts")
 
 
 def _locations(rows: DataFrame, lat: str, lon: str) -> DataFrame:
@@ -323,34 +344,82 @@ def _locations(rows: DataFrame, lat: str, lon: str) -> DataFrame:
     return durable(located.agg(F.count(F.lit(1)).alias("n_rows")), "near-places")
 
 
+def _in_parts(places: DataFrame, lat: str, lon: str, part: str) -> DataFrame:
+    """Different places in runs along the space-filling curve, whose number is in ``part``; written, so it stays what it is.
+
+    Places with one key on the curve are told apart by their coordinates. Infinite ones are near nothing and left out.
+    """
+    finite = places.where((F.abs(lat) < math.inf) & (F.abs(lon) < math.inf))
+    n, tasks = finite.count(), int(places.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(1, math.ceil(n / PART_ROWS), min(tasks, n // LEAST_PART_ROWS))
+    dealt = finite.repartitionByRange(parts, place_key(lat, lon), lat, lon).withColumn(part, F.spark_partition_id())
+    return durable(dealt, "near-parts")
+
+
+def _extents(places: DataFrame, name: str, part: str, *also: Column) -> DataFrame:
+    """One row per part."""
+    edges = [f(f"{name}_{axis}").alias(f"{name}_{f.__name__}_{axis}") for axis in ("lat", "lon") for f in (F.min, F.max)]
+    return durable(places.groupBy(part).agg(*edges, *also), "near-extents")
+
+
+def _extent(name: str) -> Box:
+    return Box(*(F.col(f"{name}_{end}_{axis}") for axis in ("lat", "lon") for end in ("min", "max")))
+
+
+PAIR = ["q_part", "p_part"]
+
+
 def _summed(
-    locations: DataFrame, cells: DataFrame, leaves: DataFrame, near: Planar | GreatCircle, few: int = FEW
+    locations: DataFrame, spots: DataFrame, near: Planar | GreatCircle, few: int = FEW, same: tuple[str, ...] = ()
 ) -> DataFrame:
-    """Per location its rows and the weight near it; ``cells`` has each location once per cell to look into."""
-    levels, points = _trees(leaves, few)
-    up = ["up_lat", "up_lon"]
-    place = ["q_lat", "q_lon"]
-    pending = cells.withColumns({c: F.lit(0).cast("long") for c in up})
-    found = locations.select(*place, "n_rows", F.lit(0).cast("long").alias("weight"))
-    to_open = None
-
-    def add(weights: DataFrame) -> DataFrame:
-        return found.unionByName(weights.select(*place, F.lit(0).cast("long").alias("n_rows"), "weight"))
-
-    for level, blocks in enumerate(levels):
-        met = join_by_work(pending, blocks, [*CELL, *up]).withColumn("whole", near.all_match())
-        met = met.where(F.col("whole") | near.may_match()).select(*place, *CELL, *BLOCK, "weight", "whole", "open")
-        # Three parts of it are used: written, each level is joined once.
-        met = durable(met, "near-pairs")
-        found = add(met.where("whole"))
-        rim = met.where("not whole")
-        here = rim.where("open").select(*place, F.lit(level).alias("level"), *CELL, *BLOCK)
-        to_open = here if to_open is None else to_open.unionByName(here)
-        pending = rim.where("not open").select(*place, *CELL, *[F.col(b).alias(u) for b, u in zip(BLOCK, up)])
-    found = add(join_by_work(to_open, points, ["level", *CELL, *BLOCK]).where(near.matches()))
+    """Per location its rows and the weight near it; where the columns ``same`` are given, of points that agree in them."""
+    place, zero = ["q_lat", "q_lon"], F.lit(0).cast("long")
+    probes = _in_parts(locations.select(*place, *same).dropna(subset=[*place, *same]), *place, "q_part")
+    points = _in_parts(spots.select("p_lat", "p_lon", "weight", *same), "p_lat", "p_lon", "p_part")
+    extents = _extents(points, "p", "p_part", F.sum("weight").alias("weight"))
+    pairs = _extents(probes, "q", "q_part").join(extents, near.may_match(_extent("q"), _extent("p"), Columns))
+    whole = F.lit(False) if same else near.all_match(_extent("q"), _extent("p"), Columns)
+    pairs = durable(pairs.withColumn("whole", whole), "near-pairs")
+    weights = pairs.where("whole").groupBy("q_part").agg(F.sum("weight").alias("weight"))
+    rim = pairs.where("not whole").drop("weight", "whole")
+    tasks = int(locations.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(1, min(rim.count(), WALKS_PER_TASK * tasks))
+
+    def met(rows: DataFrame, part: str, q: Box, p: Box) -> DataFrame:
+        """Each row once for every pair of parts in which something may be near it."""
+        kept = join_by_work(rows, rim, [part]).where(near.may_match(q, p, Columns)).select(*PAIR, *[c for c in rows.columns if c != part])
+        # By number, so that adaptive execution leaves the tasks apart: they do much work per byte.
+        return kept.repartition(tasks, *PAIR)
+
+    left = met(probes, "q_part", Box.of(F.col("q_lat"), F.col("q_lon")), _extent("p"))
+    right = met(points, "p_part", _extent("q"), Box.of(F.col("p_lat"), F.col("p_lon")))
+
+    def walk(q: pa.Table, p: pa.Table) -> pa.Table:
+        found = np.zeros(q.num_rows, np.int64)
+        if q.num_rows and p.num_rows:
+            probe = {"lat": q["q_lat"].to_numpy(), "lon": q["q_lon"].to_numpy()}
+            point = {"lat": p["p_lat"].to_numpy(), "lon": p["p_lon"].to_numpy(), "weight": p["weight"].to_numpy()}
+            probe["root"], point["root"] = _roots(q, p, same)
+            found = treewalk.count(near, few, probe, point)
+        return q.select(place).append_column("weight", pa.array(found)).filter(pa.array(found > 0))
+
+    walked = left.groupBy(*PAIR).cogroup(right.groupBy(*PAIR)).applyInArrow(walk, "q_lat double, q_lon double, weight long")
+    inside = probes.join(weights, "q_part")
+    found = locations.select(*place, "n_rows", zero.alias("weight"))
+    for part in (inside, walked):
+        found = found.unionByName(part.select(*place, zero.alias("n_rows"), "weight"))
     return found.groupBy(*place).agg(F.sum("n_rows").alias("n_rows"), F.sum("weight").alias("n_near"))
 
 
+def _roots(q: pa.Table, p: pa.Table, same: tuple[str, ...]) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers that are equal where the columns ``same`` are."""
+    if not same:
+        return np.zeros(q.num_rows, np.int64), np.zeros(p.num_rows, np.int64)
+    values = np.stack([np.concatenate([q[c].to_numpy(), p[c].to_numpy()]) for c in same], axis=1)
+    number = np.unique(values, axis=0, return_inverse=True)[1].ravel()
+    return number[: q.num_rows], number[q.num_rows :]
+
+
 def with_near_count(
     rows: DataFrame,
     points: DataFrame,
@@ -435,11 +504,10 @@ def same_cell_inspections(
     def in_cells(lat: str, lon: str) -> dict[str, Column]:
         return {"cell_lat": (F.col(lat) / cell).try_cast("long"), "cell_lon": (F.col(lon) / cell).try_cast("long")}
 
-    places = _locations(crime, "lat", "lon")
+    places = _locations(crime, "lat", "lon").withColumns(in_cells("q_lat", "q_lon"))
     spots = _distinct_points(inspections, "latitude", "longitude").withColumns(in_cells("p_lat", "p_lon"))
-    leaves = durable(_in_grid(spots, F.lit(cell), F.lit(cell)), "points")
-    own = places.select("q_lat", "q_lon").withColumns(in_cells("q_lat", "q_lon"))
-    counts = durable(_summed(places, own, leaves, HAVERSINE_CIRCLE), "same-cell")
+    spots = durable(spots.dropna(subset=["cell_lat", "cell_lon"]), "points")
+    counts = durable(_summed(places, spots, HAVERSINE_CIRCLE, same=("cell_lat", "cell_lon")), "same-cell")
     return onto_rows(crime, counts, column)
 
 
