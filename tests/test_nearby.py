@@ -5,10 +5,12 @@ import math
 import random
 import statistics
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from cityweave.operators import nearby, skew
+from cityweave.sources import scratch
 from cityweave.sources.scratch import durable
 
 
@@ -180,3 +182,17 @@ def test_points_per_cell_are_whole(spark):
     found = nearby.points_per_cell(pts).collect()
     assert len(found) == 400 and {r.weight for r in found} == {2}
     assert all((r.cell_lat, r.cell_lon) == (int(r.latitude // 0.01), int(r.longitude // 0.01)) for r in found)
+
+
+def test_pairs_are_not_written(spark, tmp_path):
+    """Rows written for a crowd on the rims of a crowd, and counts against brute force, with several parts on each side."""
+    points, probes = scatter(31, 9000, 0.004), scatter(32, 5000, 0.004)
+    rows, pts = frames(spark, probes, points)
+    near = nearby.Planar(0.002)
+    with scratch.inside(str(tmp_path)):
+        found = {(r.q_lat, r.q_lon): r.n_near for r in nearby.count_around(rows, pts, near).collect()}
+    written = sum(pq.read_metadata(f).num_rows for f in tmp_path.glob("*/*.parquet"))
+    assert written < 3 * (len(points) + len(probes))
+    assert max(pq.read_table(f, columns=["p_part"])["p_part"].to_pylist()[0] for f in tmp_path.glob("near-parts*/*.parquet") if "p_part" in pq.read_schema(f).names) > 0
+    for lat, lon in probes[::50]:
+        assert found[lat, lon] == sum((y - lat) ** 2 + (x - lon) ** 2 <= 0.002 * 0.002 for y, x in points)
