@@ -13,10 +13,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cityweave.functions.numbers import is_number
+from cityweave.sources.scratch import durable
 
 BITS = 31
 ROWS_PER_FILE = 1_000_000
 ROWS_PER_GROUP = 50_000
+# Rows that a task sorts at most; it writes them to files of the asked size.
+ROWS_PER_RUN = 1_000_000
 #: Steps that move the bits of a number apart: how far, and which bits stay.
 _SPREAD = ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F), (2, 0x3333333333333333), (1, 0x5555555555555555))
 
@@ -50,13 +53,19 @@ def write_by_place(
 ) -> None:
     """Overwrite ``path`` with Parquet in which rows of close places lie together.
 
+    ``df`` is worked out once: counting, the look for ranges and the sort read the written rows. Files hold the asked number of
+    rows at most, and a task writes several, so neither tasks nor shuffle blocks grow with the number of files.
     Many rows of one place may share a file; they are one value to the range partitioner, which another key column, a hash
     of the row, divides.
     """
-    files = max(1, math.ceil(df.count() / rows_per_file))
-    keyed = df.withColumns({"_place": place_key(lat, lon), "_mark": F.xxhash64(*df.columns)})
-    ordered = keyed.repartitionByRange(files, "_place", "_mark").sortWithinPartitions("_place").drop("_place", "_mark")
-    ordered.write.mode("overwrite").option("parquet.block.row.count.limit", rows_per_group).parquet(path)
+    spark = df.sparkSession
+    keyed = durable(df.withColumns({"_place": place_key(lat, lon), "_mark": F.xxhash64(*df.columns)}), "by-place")
+    n = keyed.count()
+    files, tasks = math.ceil(n / rows_per_file), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    runs = max(1, min(files, tasks), math.ceil(n / ROWS_PER_RUN))
+    ordered = keyed.repartitionByRange(runs, "_place", "_mark").sortWithinPartitions("_place").drop("_place", "_mark")
+    limits = {"parquet.block.row.count.limit": rows_per_group, "maxRecordsPerFile": rows_per_file}
+    ordered.write.mode("overwrite").options(**limits).parquet(path)
 
 
 def in_box(df: DataFrame, south: float, north: float, west: float, east: float, lat: str = "latitude", lon: str = "longitude") -> DataFrame:

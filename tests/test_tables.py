@@ -215,3 +215,20 @@ def test_place_key_alternates_bits(spark):
         return sum(((y >> b & 1) << 2 * b + 1) | ((x >> b & 1) << 2 * b) for b in range(31))
 
     assert [r.k for r in df.select(layout.place_key().alias("k")).collect()] == [plain(*r) for r in rows]
+
+
+def test_layout_works_its_input_out_once(spark, tmp_path):
+    """And files are as small as asked, written by few tasks."""
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def looked_at(x):
+        seen.add(1)
+        return x
+
+    df = spark.range(4000).select("id", looked_at(F.rand(1) + 34).alias("latitude"), (F.rand(2) - 118).alias("longitude"))
+    path = str(tmp_path / "by-place")
+    layout.write_by_place(df, path, rows_per_file=100, rows_per_group=20)
+    files = [pq.read_metadata(f"{path}/{f}") for f in os.listdir(path) if f.endswith(".parquet")]
+    assert sum(f.num_rows for f in files) == 4000 == seen.value and max(f.num_rows for f in files) <= 100
+    assert len({f.split("-")[1] for f in os.listdir(path) if f.endswith(".parquet")}) <= 4
