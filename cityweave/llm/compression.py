@@ -5,8 +5,7 @@ the band of its length, as short texts compress less. A text goes if its own rat
 ``BAD_CHUNKS`` of its chunks: repetitive below the band, incompressible above it.
 
 ``fit_bands`` takes the bands from texts labelled as good: per half octave of length the quantiles ``TAIL`` and 1 - ``TAIL`` of
-their ratios, widened by ``MARGIN``. At most ``SAMPLE`` labelled documents are read for it, those with the smallest hashes of
-doc_id. Where a length has fewer than ``EXAMPLES`` of them, and without labels, the wide ``BANDS`` hold, whose ceilings lie
+their ratios, widened by ``MARGIN``. All labelled documents are read for it. Where a length has fewer than ``EXAMPLES`` of them, and without labels, the wide ``BANDS`` hold, whose ceilings lie
 between prose and base64.
 
 Defined results: NULL and blank texts have no words and fail the base rules; a last chunk shorter than half a chunk
@@ -35,7 +34,6 @@ BANDS = (
     (float("inf"), 0.10, 0.60),
 )
 BAD_CHUNKS = 0.2
-SAMPLE = 20_000
 TAIL = 0.005
 MARGIN = 0.01
 EXAMPLES = 30
@@ -112,6 +110,17 @@ def in_bands(raw: bytes, compress, bands: Bands | None = None) -> tuple[float, f
     return ratio, bad, fine and bad <= BAD_CHUNKS
 
 
+def fails_base(n_words: int, n_repeat_words: int) -> bool:
+    return n_words < LEAST_WORDS or 100 * n_repeat_words > MOST_REPEATED * n_words
+
+
+def whole_ratio(text: str | None, compress) -> float | None:
+    """Ratio of the whole text if it passes the base rules."""
+    raw = (text or "").encode("utf-8", "surrogatepass")
+    words = raw.split()  # at the six ASCII white-space characters
+    return None if fails_base(len(words), repeated_words(words)) else len(compress(raw)) / len(raw)
+
+
 def judge_text(text: str | None, compress, bands: Bands | None = None) -> Judged:
     text = text or ""
     raw = text.encode("utf-8", "surrogatepass")
@@ -124,8 +133,7 @@ def judge_text(text: str | None, compress, bands: Bands | None = None) -> Judged
         repeated_words(words),
     )
     ratio, bad, fine = in_bands(raw, compress, bands) if raw else (None, None, False)
-    failed = len(words) < LEAST_WORDS or 100 * base[4] > MOST_REPEATED * len(words)
-    return Judged(*base, ratio, bad, fine and not failed)
+    return Judged(*base, ratio, bad, fine and not fails_base(len(words), base[4]))
 
 
 def _with_judgement(docs: DataFrame, bands: Bands | None) -> DataFrame:
@@ -145,15 +153,28 @@ def _with_judgement(docs: DataFrame, bands: Bands | None) -> DataFrame:
     return docs.select("doc_id", size, judged("text").alias("j")).withColumn("base_failed", failed)
 
 
-def fit_bands(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Bands:
-    """Bands by half octave of length, from at most ``sample`` good documents that pass the base rules."""
-    good = labels.where("quality = 1").select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    # At most ``sample`` ids.
-    met = docs.select("doc_id", "text").join(F.broadcast(good), "doc_id", "left_semi")
-    facts = _with_judgement(met, None).where(~F.col("base_failed"))
+def _ratios(docs: DataFrame) -> DataFrame:
+    """doc_id, size (bytes) and ratio of the whole text, of texts that pass the base rules."""
+    bound_batches(docs.sparkSession)
+
+    @F.pandas_udf("double")
+    def ratio(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        compress = zstandard.ZstdCompressor(level=LEVEL).compress
+        for texts in batches:
+            yield pd.Series([whole_ratio(t, compress) for t in texts], dtype="float64")
+
+    size = F.octet_length("text").cast("long").alias("size")
+    return docs.select("doc_id", size, ratio("text").alias("ratio")).where("ratio is not null and not isnan(ratio)")
+
+
+def fit_bands(docs: DataFrame, labels: DataFrame) -> Bands:
+    """Bands by half octave of length, from all good documents that pass the base rules."""
+    good = labels.where("quality = 1").select("doc_id").distinct()
+    # Numbers and not texts are shuffled, however many labels there are.
+    facts = _ratios(docs).join(good, "doc_id", "left_semi")
     # The square of a size of up to 2^31 is a long.
     octave = F.length(F.conv((F.col("size") * F.col("size")).cast("string"), 10, 2)) - 1
-    ends = F.percentile_approx("j.ratio", [TAIL, 1 - TAIL], 10_000)
+    ends = F.percentile_approx("ratio", [TAIL, 1 - TAIL], 10_000)
     by_length = facts.groupBy(octave.alias("octave")).agg(F.count("*").alias("n"), ends.alias("ends"))
     # One row per half octave, some sixty at most.
     return {r.octave: (r.ends[0] - MARGIN, r.ends[1] + MARGIN) for r in by_length.where(F.col("n") >= EXAMPLES).collect()}

@@ -267,6 +267,16 @@ def test_fitted_compression_bands(spark, odd_docs, no_docs):
     assert compression.judge(odd_docs, fitted).count() == odd_docs.count()
 
 
+def test_compression_bands_use_every_label(spark):
+    """The longer texts are those whose hashes come after 20,000 others."""
+    ids = spark.range(20_040).select(F.col("id").alias("doc_id"))
+    last = {r.doc_id for r in ids.orderBy(F.xxhash64("doc_id"), "doc_id").collect()[20_000:]}
+    words = "concat_ws(' ', transform(sequence(1, if(doc_id in ({}), 600, 60)), x -> hex(xxhash64(doc_id, x))))"
+    docs = ids.selectExpr("doc_id", words.format(",".join(map(str, last))) + " as text")
+    fitted = compression.fit_bands(docs, ids.withColumn("quality", F.lit(1)))
+    assert max(fitted) - min(fitted) > 4
+
+
 # --- SentencePiece
 
 
