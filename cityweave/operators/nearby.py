@@ -239,6 +239,7 @@ def _located(df: DataFrame, lat: str, lon: str) -> DataFrame:
     return df.where((F.col(lat) <= math.inf) & (F.col(lon) <= math.inf))
 
 
+# Cells and trees as tables, as the tests look at them; the counts build theirs in the tasks (``treewalk``).
 CELL = ["cell_lat", "cell_lon"]
 BLOCK = ["block_lat", "block_lon"]
 
