@@ -4,16 +4,18 @@ Plan, for every kind of neighbourhood:
 
 1. Points with the same coordinates become one weighted point, and each distinct probe location is looked
    up once. Copies, however many, cost one row.
-2. Probes and points are each dealt into parts of at most some 100,000 neighbouring ones, runs along a space-filling curve.
+2. Probes and points are each dealt into parts of at most some 500,000 neighbouring ones, runs along a space-filling curve.
    Of each part the extent and weight are known.
 3. Parts are paired by their extents. A part of points wholly inside the neighbourhood of all probes of a part adds its weight
-   to them, one wholly outside is dropped. The probes and points that may be near meet in a task per pair.
-4. There the probes walk down the trees of the points (``treewalk``): a block of more than a few points has 4 x 4 finer ones,
-   as deep as its points are dense. So a crowd costs the blocks along the rim and not all of its pairs.
+   to them, one wholly outside is dropped. Of the other pairs, points near every probe of a part are only summed, and a
+   probe with all the other points around it takes their sum. What is left, the rims, meets in a task per pair.
+4. There the probes walk down the tree of the points (``treewalk``), whose blocks are as small as its points are dense. So a
+   crowd costs the blocks along the rim and not all of its pairs.
 5. Weights are summed per probe location, partly before the shuffle, and joined back to the rows.
 
-What is written and shuffled are rows of the two tables, repeated for the parts they meet, and one number per probe and part with
-a point near it; pairs of probe and block or point exist in memory only, in bounded pieces.
+What is written and shuffled are rows of the two tables, repeated for the parts on whose rims they lie, and one number per probe
+and part with a point near it; pairs of probe and block or point exist in memory only, in bounded pieces. Shuffle files go with
+the step that made them.
 """
 
 from __future__ import annotations
@@ -31,14 +33,14 @@ from cityweave.functions import geo
 from cityweave.functions.numbers import is_number
 from cityweave.operators import treewalk
 from cityweave.operators.skew import ROWS_PER_PART, join_by_work, join_per_key
-from cityweave.operators.treewalk import FAN_BITS, LEVELS, Box
+from cityweave.operators.treewalk import Arrays, Box
 from cityweave.sources.layout import place_key
-from cityweave.sources.scratch import durable
+from cityweave.sources.scratch import durable, shuffles_released
 
 # Points up to which a block is opened.
 FEW = 64
 # Rows of a part; fewer where there would be fewer parts than tasks, but not below the second number.
-PART_ROWS = 100_000
+PART_ROWS = 500_000
 LEAST_PART_ROWS = 2_000
 # Tasks of the walk for each shuffle partition, as pairs of parts differ in work.
 WALKS_PER_TASK = 8
@@ -110,6 +112,27 @@ class Planar:
         near = near & (p.min_lat >= q.max_lat - self.box) & (p.max_lat <= q.min_lat + self.box)
         return near & (p.min_lon >= q.max_lon - self.box) & (p.max_lon <= q.min_lon + self.box)
 
+    def in_task(self, probes: dict[str, np.ndarray], points: dict[str, np.ndarray]) -> PlanarWalk:
+        return PlanarWalk(self, [probes["lat"], probes["lon"]], [points["lat"], points["lon"]])
+
+
+@dataclass
+class PlanarWalk:
+    """The tests of a walk on plane coordinates; ``probe`` and ``point`` are the axes it goes along."""
+
+    near: Planar
+    probe: list[np.ndarray]
+    point: list[np.ndarray]
+
+    def points(self, q: list[np.ndarray], p: list[np.ndarray]) -> tuple[np.ndarray, None]:
+        """Which are near, and which remain to be asked."""
+        return self.near.matches(*q, *p), None
+
+    def blocks(self, q: list[np.ndarray], low: list[np.ndarray], high: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """In which blocks something may be near, and in which everything is."""
+        place, extent = Box.of(*q), Box(low[0], high[0], low[1], high[1])
+        return self.near.may_match(place, extent, Arrays), self.near.all_match(place, extent, Arrays)
+
 
 @dataclass(frozen=True)
 class GreatCircle:
@@ -192,6 +215,70 @@ class GreatCircle:
         most = self._square(_span(q, p, "lat", m), m) + self._most_cosine(q, m) * self._most_cosine(p, m) * east
         return self._on_globe(q, p, m) & (most <= self._limit() * (1 - 1e-9))
 
+    def in_task(self, probes: dict[str, np.ndarray], points: dict[str, np.ndarray]) -> GreatCircleWalk:
+        turn = _turn(_on_sphere(points))
+        chord = 4 * self._limit()
+        # Far more than the rounding of the coordinates, and still next to no pairs.
+        margin = 1e-6 + 1e-14 / max(math.sqrt(chord), 1e-300)
+        axes = [[*(turn @ _on_sphere(some)), _off_globe(some)] for some in (probes, points)]
+        return GreatCircleWalk(*axes, chord * (1 - margin), chord * (1 + margin))
+
+
+def _on_sphere(places: dict[str, np.ndarray]) -> np.ndarray:
+    lat, lon = np.radians(places["lat"]), np.radians(places["lon"])
+    return np.stack([np.cos(lat) * np.cos(lon), np.cos(lat) * np.sin(lon), np.sin(lat)])
+
+
+def _turn(points: np.ndarray) -> np.ndarray:
+    """A rotation after which the first axis goes through the middle of the points, so that blocks are flat along it."""
+    middle = points.sum(axis=1)
+    up = middle / max(float(np.linalg.norm(middle)), 1e-300)
+    east = np.cross([0.0, 0.0, 1.0] if abs(up[2]) < 0.9 else [1.0, 0.0, 0.0], up)
+    if not np.linalg.norm(east) > 1e-3:
+        return np.eye(3)
+    east /= np.linalg.norm(east)
+    return np.stack([up, east, np.cross(up, east)])
+
+
+def _off_globe(places: dict[str, np.ndarray]) -> np.ndarray:
+    """NaN where only the exact test is to be trusted, otherwise 0."""
+    return np.where((np.abs(places["lat"]) <= 90.0) & (np.abs(places["lon"]) <= 720.0), 0.0, np.nan)
+
+
+@dataclass
+class GreatCircleWalk:
+    """The tests of a walk on the sphere, by the square of the chord, which is four times the haversine term for any two angles.
+
+    The axes are three in space and one that is NaN off the globe. Chords up to ``sure`` are near for certain and above ``most``
+    are not; the few between them are left to ``matches``, as is whatever is off the globe.
+    """
+
+    probe: list[np.ndarray]
+    point: list[np.ndarray]
+    sure: float
+    most: float
+
+    def __post_init__(self) -> None:
+        self._odd = bool(np.isnan(self.probe[3]).any() or np.isnan(self.point[3]).any())
+
+    def points(self, q: list[np.ndarray], p: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        square = sum((b - a) ** 2 for a, b in zip(q[:3], p[:3]))
+        hit = square < self.sure
+        if self._odd:
+            hit &= q[3] + p[3] == 0
+        return hit, ~hit & (square <= self.most)
+
+    def blocks(self, q: list[np.ndarray], low: list[np.ndarray], high: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        least = most = 0.0
+        for a, start, end in zip(q[:3], low[:3], high[:3]):
+            before, after = start - a, a - end
+            gap, span = np.maximum(np.maximum(before, after), 0.0), np.minimum(before, after)
+            least, most = least + gap * gap, most + span * span
+        whole = most < self.sure
+        if self._odd:
+            whole &= q[3] + low[3] == 0
+        return least <= self.most, whole
+
 
 class Columns:
     """The functions that distance tests are written in, for columns."""
@@ -240,11 +327,15 @@ def _located(df: DataFrame, lat: str, lon: str) -> DataFrame:
 
 
 # Cells and trees as tables, as the tests look at them; the counts build theirs in the tasks (``treewalk``).
+# Blocks along a block's side, as a power of two; levels of a tree. Blocks at the last are opened whatever they hold.
+FAN_BITS = 2
+LEVELS = 12
 CELL = ["cell_lat", "cell_lon"]
 BLOCK = ["block_lat", "block_lon"]
 
 
 def _distinct_points(points: DataFrame, lat: str, lon: str) -> DataFrame:
+    """Located points, each once with its number as weight."""
     return (
         _located(points, lat, lon)
         .groupBy(F.col(lat).cast("double").alias("p_lat"), F.col(lon).cast("double").alias("p_lon"))
@@ -335,9 +426,10 @@ def count_around(
 
     Columns ``q_lat, q_lon, n_rows, n_near``; locations without a near point have 0.
     """
-    locations = _locations(rows, row_lat, row_lon)
-    spots = durable(_distinct_points(points, point_lat, point_lon), "points")
-    return durable(_summed(locations, spots, near, few), "near-counts")
+    with shuffles_released(rows.sparkSession):
+        locations = _locations(rows, row_lat, row_lon)
+        spots = durable(_distinct_points(points, point_lat, point_lon), "points")
+        return durable(_summed(locations, spots, near, few), "near-counts")
 
 
 def _locations(rows: DataFrame, lat: str, lon: str) -> DataFrame:
@@ -375,50 +467,58 @@ def _summed(
 ) -> DataFrame:
     """Per location its rows and the weight near it; where the columns ``same`` are given, of points that agree in them."""
     place, zero = ["q_lat", "q_lon"], F.lit(0).cast("long")
-    probes = _in_parts(locations.select(*place, *same).dropna(subset=[*place, *same]), *place, "q_part")
+    probes = _in_parts(locations.select(*place, "n_rows", *same).dropna(subset=[*place, *same]), *place, "q_part")
     points = _in_parts(spots.select("p_lat", "p_lon", "weight", *same), "p_lat", "p_lon", "p_part")
     extents = _extents(points, "p", "p_part", F.sum("weight").alias("weight"))
-    pairs = _extents(probes, "q", "q_part").join(extents, near.may_match(_extent("q"), _extent("p"), Columns))
-    whole = F.lit(False) if same else near.all_match(_extent("q"), _extent("p"), Columns)
-    pairs = durable(pairs.withColumn("whole", whole), "near-pairs")
-    weights = pairs.where("whole").groupBy("q_part").agg(F.sum("weight").alias("weight"))
-    rim = pairs.where("not whole").drop("weight", "whole")
+    q_part, p_part = _extent("q"), _extent("p")
+    probe, point = Box.of(F.col("q_lat"), F.col("q_lon")), Box.of(F.col("p_lat"), F.col("p_lon"))
+
+    def all_match(q: Box, p: Box) -> Column:
+        return F.lit(False) if same else near.all_match(q, p, Columns)
+
+    pairs = _extents(probes, "q", "q_part").join(extents, near.may_match(q_part, p_part, Columns))
+    pairs = durable(pairs.withColumn("whole", all_match(q_part, p_part)), "near-pairs")
+    rim = pairs.where("not whole")
+    # Points near every probe of a part are counted here and meet none of them.
+    within = join_by_work(points.withColumnRenamed("weight", "own"), rim, ["p_part"]).where(all_match(q_part, point))
+    within = durable(within.groupBy(*PAIR).agg(F.sum("own").alias("within")), "near-within")
+    rim = rim.join(within, PAIR, "left").withColumn("within", F.coalesce("within", zero))
+    rim = durable(rim.withColumn("rest", F.col("weight") - F.col("within")).drop("weight", "whole"), "near-rims")
+    weights = pairs.where("whole").select("q_part", "weight").unionByName(rim.select("q_part", F.col("within").alias("weight")))
+    weights = durable(weights.groupBy("q_part").agg(F.sum("weight").alias("weight")), "near-weights")
+    rim = rim.where("rest > 0").drop("within")
     tasks = int(locations.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     tasks = max(1, min(rim.count(), WALKS_PER_TASK * tasks))
 
     def met(rows: DataFrame, part: str, q: Box, p: Box) -> DataFrame:
-        """Each row once for every pair of parts in which something may be near it."""
-        kept = join_by_work(rows, rim, [part]).where(near.may_match(q, p, Columns)).select(*PAIR, *[c for c in rows.columns if c != part])
+        """Each row once for every pair of parts in which something may be near it and something not."""
+        on_rim = near.may_match(q, p, Columns) & ~all_match(q, p)
+        kept = join_by_work(rows, rim, [part]).where(on_rim).select(*PAIR, *[c for c in rows.columns if c != part])
         # By number, so that adaptive execution leaves the tasks apart: they do much work per byte.
         return kept.repartition(tasks, *PAIR)
 
-    left = met(probes, "q_part", Box.of(F.col("q_lat"), F.col("q_lon")), _extent("p"))
-    right = met(points, "p_part", _extent("q"), Box.of(F.col("p_lat"), F.col("p_lon")))
+    left = met(probes.drop("n_rows"), "q_part", probe, p_part)
+    right = met(points, "p_part", q_part, point)
 
     def walk(q: pa.Table, p: pa.Table) -> pa.Table:
         found = np.zeros(q.num_rows, np.int64)
         if q.num_rows and p.num_rows:
-            probe = {"lat": q["q_lat"].to_numpy(), "lon": q["q_lon"].to_numpy()}
-            point = {"lat": p["p_lat"].to_numpy(), "lon": p["p_lon"].to_numpy(), "weight": p["weight"].to_numpy()}
-            probe["root"], point["root"] = _roots(q, p, same)
-            found = treewalk.count(near, few, probe, point)
+            probe = {"lat": q["q_lat"].to_numpy(), "lon": q["q_lon"].to_numpy(), **{c: q[c].to_numpy() for c in same}}
+            point = {"lat": p["p_lat"].to_numpy(), "lon": p["p_lon"].to_numpy(), **{c: p[c].to_numpy() for c in same}}
+            found = treewalk.count(near, few, probe, point | {"weight": p["weight"].to_numpy()}, same)
         return q.select(place).append_column("weight", pa.array(found)).filter(pa.array(found > 0))
 
     walked = left.groupBy(*PAIR).cogroup(right.groupBy(*PAIR)).applyInArrow(walk, "q_lat double, q_lon double, weight long")
-    inside = probes.join(weights, "q_part")
-    found = locations.select(*place, "n_rows", zero.alias("weight"))
-    for part in (inside, walked):
-        found = found.unionByName(part.select(*place, zero.alias("n_rows"), "weight"))
-    return found.groupBy(*place).agg(F.sum("n_rows").alias("n_rows"), F.sum("weight").alias("n_near"))
-
-
-def _roots(q: pa.Table, p: pa.Table, same: tuple[str, ...]) -> tuple[np.ndarray, np.ndarray]:
-    """Numbers that are equal where the columns ``same`` are."""
-    if not same:
-        return np.zeros(q.num_rows, np.int64), np.zeros(p.num_rows, np.int64)
-    values = np.stack([np.concatenate([q[c].to_numpy(), p[c].to_numpy()]) for c in same], axis=1)
-    number = np.unique(values, axis=0, return_inverse=True)[1].ravel()
-    return number[: q.num_rows], number[q.num_rows :]
+    # Per probe the weights of its part, and the rest of each part wholly around it. Some locations are in no part.
+    edges = [c for c in extents.columns if c not in ("p_part", "weight")]
+    around = weights.withColumn("whole", F.lit(True)).unionByName(
+        rim.select("q_part", F.col("rest").alias("weight"), F.lit(False).alias("whole"), *edges), allowMissingColumns=True
+    )
+    summed = F.when(F.col("whole") | all_match(probe, p_part), F.col("weight")).otherwise(zero)
+    found = probes.join(around, "q_part", "left").select(*place, "n_rows", summed.alias("weight"))
+    found = found.unionByName(locations.select(*place, "n_rows", zero.alias("weight")))
+    found = found.unionByName(walked.select(*place, zero.alias("n_rows"), "weight"))
+    return found.groupBy(*place).agg(F.max("n_rows").alias("n_rows"), F.sum("weight").alias("n_near"))
 
 
 def with_near_count(
@@ -505,10 +605,11 @@ def same_cell_inspections(
     def in_cells(lat: str, lon: str) -> dict[str, Column]:
         return {"cell_lat": (F.col(lat) / cell).try_cast("long"), "cell_lon": (F.col(lon) / cell).try_cast("long")}
 
-    places = _locations(crime, "lat", "lon").withColumns(in_cells("q_lat", "q_lon"))
-    spots = _distinct_points(inspections, "latitude", "longitude").withColumns(in_cells("p_lat", "p_lon"))
-    spots = durable(spots.dropna(subset=["cell_lat", "cell_lon"]), "points")
-    counts = durable(_summed(places, spots, HAVERSINE_CIRCLE, same=("cell_lat", "cell_lon")), "same-cell")
+    with shuffles_released(crime.sparkSession):
+        places = _locations(crime, "lat", "lon").withColumns(in_cells("q_lat", "q_lon"))
+        spots = _distinct_points(inspections, "latitude", "longitude").withColumns(in_cells("p_lat", "p_lon"))
+        spots = durable(spots.dropna(subset=["cell_lat", "cell_lon"]), "points")
+        counts = durable(_summed(places, spots, HAVERSINE_CIRCLE, same=("cell_lat", "cell_lon")), "same-cell")
     return onto_rows(crime, counts, column)
 
 
