@@ -35,7 +35,8 @@ from cityweave.operators import treewalk
 from cityweave.operators.skew import ROWS_PER_PART, join_by_work, join_per_key
 from cityweave.operators.treewalk import Arrays, Box
 from cityweave.sources.layout import place_key
-from cityweave.sources.scratch import durable, shuffles_released
+from cityweave.sources.resume import Files
+from cityweave.sources.scratch import durable, fresh_path, inside, shuffles_released
 
 # Points up to which a block is opened.
 FEW = 64
@@ -335,17 +336,18 @@ BLOCK = ["block_lat", "block_lon"]
 
 
 def _distinct_points(points: DataFrame, lat: str, lon: str) -> DataFrame:
-    """Located points, each once with its number as weight."""
-    return (
-        _located(points, lat, lon)
-        .groupBy(F.col(lat).cast("double").alias("p_lat"), F.col(lon).cast("double").alias("p_lon"))
-        .agg(F.count(F.lit(1)).alias("weight"))
+    """Each place once with its number as weight, those without a location included.
+
+    They are left out when the written table is read: a filter before would work the coordinates out again.
+    """
+    return points.groupBy(F.col(lat).cast("double").alias("p_lat"), F.col(lon).cast("double").alias("p_lon")).agg(
+        F.count(F.lit(1)).alias("weight")
     )
 
 
 def _weighted_points(points: DataFrame, lat: str, lon: str, near: Planar | GreatCircle) -> DataFrame:
     """Distinct points with weight, cell and place in the finest grid, written once because every level reads them."""
-    distinct = _distinct_points(points, lat, lon).withColumn("cell_lat", geo.cell_index("p_lat", near.lat_cells()))
+    distinct = _located(_distinct_points(points, lat, lon), "p_lat", "p_lon").withColumn("cell_lat", geo.cell_index("p_lat", near.lat_cells()))
     width = near.lon_cells(F.col("cell_lat"))
     distinct = distinct.withColumn("cell_lon", near.lon_index(F.col("p_lon"), width))
     return durable(_in_grid(distinct, F.lit(near.lat_cells()), width), "points")
@@ -428,8 +430,8 @@ def count_around(
     """
     with shuffles_released(rows.sparkSession):
         locations = _locations(rows, row_lat, row_lon)
-        spots = durable(_distinct_points(points, point_lat, point_lon), "points")
-        return durable(_summed(locations, spots, near, few), "near-counts")
+        dealt = _point_parts(points, point_lat, point_lon)
+        return durable(_summed(locations, dealt, near, few), "near-counts")
 
 
 def _locations(rows: DataFrame, lat: str, lon: str) -> DataFrame:
@@ -449,6 +451,19 @@ def _in_parts(places: DataFrame, lat: str, lon: str, part: str) -> DataFrame:
     return durable(dealt, "near-parts")
 
 
+def _point_parts(points: DataFrame, lat: str, lon: str, also: dict[str, Column] | None = None) -> DataFrame:
+    """The different points in parts. The table of points they are dealt from is deleted."""
+    spark, also = points.sparkSession, also or {}
+    held = fresh_path(spark, "near-held")
+    with inside(held):
+        spots = durable(_distinct_points(points, lat, lon), "points")
+    for name, column in also.items():
+        spots = spots.withColumn(name, column)
+    dealt = _in_parts(_located(spots, "p_lat", "p_lon").dropna(subset=["p_lat", "p_lon", *also]), "p_lat", "p_lon", "p_part")
+    Files(spark).delete(held)
+    return dealt
+
+
 def _extents(places: DataFrame, name: str, part: str, *also: Column) -> DataFrame:
     """One row per part."""
     edges = [f(f"{name}_{axis}").alias(f"{name}_{f.__name__}_{axis}") for axis in ("lat", "lon") for f in (F.min, F.max)]
@@ -463,12 +478,11 @@ PAIR = ["q_part", "p_part"]
 
 
 def _summed(
-    locations: DataFrame, spots: DataFrame, near: Planar | GreatCircle, few: int = FEW, same: tuple[str, ...] = ()
+    locations: DataFrame, points: DataFrame, near: Planar | GreatCircle, few: int = FEW, same: tuple[str, ...] = ()
 ) -> DataFrame:
     """Per location its rows and the weight near it; where the columns ``same`` are given, of points that agree in them."""
     place, zero = ["q_lat", "q_lon"], F.lit(0).cast("long")
     probes = _in_parts(locations.select(*place, "n_rows", *same).dropna(subset=[*place, *same]), *place, "q_part")
-    points = _in_parts(spots.select("p_lat", "p_lon", "weight", *same), "p_lat", "p_lon", "p_part")
     extents = _extents(points, "p", "p_part", F.sum("weight").alias("weight"))
     q_part, p_part = _extent("q"), _extent("p")
     probe, point = Box.of(F.col("q_lat"), F.col("q_lon")), Box.of(F.col("p_lat"), F.col("p_lon"))
@@ -607,9 +621,8 @@ def same_cell_inspections(
 
     with shuffles_released(crime.sparkSession):
         places = _locations(crime, "lat", "lon").withColumns(in_cells("q_lat", "q_lon"))
-        spots = _distinct_points(inspections, "latitude", "longitude").withColumns(in_cells("p_lat", "p_lon"))
-        spots = durable(spots.dropna(subset=["cell_lat", "cell_lon"]), "points")
-        counts = durable(_summed(places, spots, HAVERSINE_CIRCLE, same=("cell_lat", "cell_lon")), "same-cell")
+        dealt = _point_parts(inspections, "latitude", "longitude", in_cells("p_lat", "p_lon"))
+        counts = durable(_summed(places, dealt, HAVERSINE_CIRCLE, same=("cell_lat", "cell_lon")), "same-cell")
     return onto_rows(crime, counts, column)
 
 

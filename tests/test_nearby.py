@@ -5,11 +5,12 @@ import math
 import random
 import statistics
 
+import numpy as np
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from cityweave.operators import nearby, skew
+from cityweave.operators import nearby, skew, treewalk
 from cityweave.sources import scratch
 from cityweave.sources.scratch import durable
 
@@ -196,3 +197,30 @@ def test_pairs_are_not_written(spark, tmp_path):
     assert max(pq.read_table(f, columns=["p_part"])["p_part"].to_pylist()[0] for f in tmp_path.glob("near-parts*/*.parquet") if "p_part" in pq.read_schema(f).names) > 0
     for lat, lon in probes[::50]:
         assert found[lat, lon] == sum((y - lat) ** 2 + (x - lon) ** 2 <= 0.002 * 0.002 for y, x in points)
+
+
+def test_great_circle_works_out_few_angles(monkeypatch):
+    """Only pairs within a millionth of the rim, or off the globe, are put to the exact test."""
+    points, probes = scatter(41, 4000, 0.01), scatter(42, 500, 0.01) + [(95.0, -118.24)]
+    asked = []
+    exact = nearby.GreatCircle.matches
+    monkeypatch.setattr(nearby.GreatCircle, "matches", lambda near, *c: asked.append(np.broadcast(*c).size) or exact(near, *c))
+    p, q = ({"lat": np.array([a for a, _ in some]), "lon": np.array([b for _, b in some])} for some in (points, probes))
+    p |= {"weight": np.ones(len(points), np.int64)}
+    for few in (64, 1):
+        found = treewalk.count(nearby.HAVERSINE_CIRCLE, few, q | {"root": np.zeros(501, np.int64)}, p | {"root": np.zeros(4000, np.int64)})
+        assert found[::25].tolist() == brute(probes[::25], points, in_great_circle) and sum(asked) < 100
+
+
+def test_points_off_the_rims_are_not_shuffled(spark, tmp_path):
+    """A crowd wholly around the probes is summed; the table of points and the shuffle files go when they are used."""
+    rows, pts = frames(spark, scatter(43, 300, 0.0005), scatter(44, 6000, 0.003) + scatter(45, 200, 0.02))
+    before = spark.conf.get(scratch.RELEASE)
+    with scratch.inside(str(tmp_path)):
+        found = nearby.count_around(rows, pts, nearby.DEGREE_CIRCLE).collect()
+    rims = spark.read.parquet(*map(str, tmp_path.glob("near-rims*"))).agg(F.sum("within"), F.sum("rest")).first()
+    assert rims[0] is None or rims[0] > 5 * (rims[1] or 0)
+    assert not [*tmp_path.rglob("points-*")] and spark.conf.get(scratch.RELEASE) == before
+    places = [(r.q_lat, r.q_lon) for r in found[::10]]
+    crowd = [(r.latitude, r.longitude) for r in pts.collect()]
+    assert [r.n_near for r in found[::10]] == brute(places, crowd, in_degree_circle)
