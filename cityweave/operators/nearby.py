@@ -4,8 +4,8 @@ Plan, for every kind of neighbourhood:
 
 1. Points with the same coordinates become one weighted point, and each distinct probe location is looked
    up once. Copies, however many, cost one row.
-2. Probes and points are each dealt into parts of at most some 500,000 neighbouring ones, runs along a space-filling curve.
-   Of each part the extent and weight are known.
+2. Probes and points are each dealt into parts of at most some 500,000 neighbouring ones, tiles of stripes of equal numbers.
+   Of each part the extent and weight are known; extents hardly overlap.
 3. Parts are paired by their extents. A part of points wholly inside the neighbourhood of all probes of a part adds its weight
    to them, one wholly outside is dropped. Of the other pairs, points near every probe of a part are only summed, and a
    probe with all the other points around it takes their sum. What is left, the rims, meets in a task per pair.
@@ -13,19 +13,23 @@ Plan, for every kind of neighbourhood:
    crowd costs the blocks along the rim and not all of its pairs.
 5. Weights are summed per probe location, partly before the shuffle, and joined back to the rows.
 
-What is written and shuffled are rows of the two tables, repeated for the parts on whose rims they lie, and one number per probe
-and part with a point near it; pairs of probe and block or point exist in memory only, in bounded pieces. Shuffle files go with
+What is written and shuffled are rows of the two tables, repeated for the parts on whose rims they lie and packed many in
+one, and one number per probe and part with a point near it; pairs of probe and block or point exist in memory only, in bounded pieces. Shuffle files go with
 the step that made them.
 """
 
 from __future__ import annotations
 
+import io
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 from typing import Any
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,7 +38,6 @@ from cityweave.functions.numbers import is_number
 from cityweave.operators import treewalk
 from cityweave.operators.skew import ROWS_PER_PART, join_by_work, join_per_key
 from cityweave.operators.treewalk import Arrays, Box
-from cityweave.sources.layout import place_key
 from cityweave.sources.resume import Files
 from cityweave.sources.scratch import durable, fresh_path, inside, shuffles_released
 
@@ -43,6 +46,8 @@ FEW = 64
 # Rows of a part; fewer where there would be fewer parts than tasks, but not below the second number.
 PART_ROWS = 500_000
 LEAST_PART_ROWS = 2_000
+# Rows that are packed together at most.
+PACK_ROWS = 200_000
 # Tasks of the walk for each shuffle partition, as pairs of parts differ in work.
 WALKS_PER_TASK = 8
 # Cells are this much wider than the reach, so rounding cannot put a match two cells away.
@@ -440,14 +445,20 @@ def _locations(rows: DataFrame, lat: str, lon: str) -> DataFrame:
 
 
 def _in_parts(places: DataFrame, lat: str, lon: str, part: str) -> DataFrame:
-    """Different places in runs along the space-filling curve, whose number is in ``part``; written, so it stays what it is.
+    """Different places in tiles, whose number is in ``part``; written, so it stays what it is.
 
-    Places with one key on the curve are told apart by their coordinates. Infinite ones are near nothing and left out.
+    Stripes of about equally many places from south to north are cut from west to east and back in turn, so that a tile over the end of
+    one and the start of the next is small, too. Infinite places are near nothing and left out.
     """
     finite = places.where((F.abs(lat) < math.inf) & (F.abs(lon) < math.inf))
     n, tasks = finite.count(), int(places.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parts = max(1, math.ceil(n / PART_ROWS), min(tasks, n // LEAST_PART_ROWS))
-    dealt = finite.repartitionByRange(parts, place_key(lat, lon), lat, lon).withColumn(part, F.spark_partition_id())
+    # A part meets several, so that far fewer parts than tasks keep all of them busy.
+    parts = max(1, math.ceil(n / PART_ROWS), min(tasks, math.ceil(4 * math.sqrt(tasks)), n // LEAST_PART_ROWS))
+    stripes = max(1, round(math.sqrt(parts)))
+    edges = finite.approxQuantile(lat, [i / stripes for i in range(1, stripes)], 0.05 / stripes) if stripes > 1 else []
+    stripe = reduce(lambda n, edge: n + (F.col(lat) > edge).cast("int"), edges, F.lit(0))
+    along = F.when(stripe % 2 == 0, F.col(lon)).otherwise(-F.col(lon))
+    dealt = finite.repartitionByRange(parts, stripe, along, lat).withColumn(part, F.spark_partition_id())
     return durable(dealt, "near-parts")
 
 
@@ -477,6 +488,38 @@ def _extent(name: str) -> Box:
 PAIR = ["q_part", "p_part"]
 
 
+def _packed(rows: DataFrame, sorted_by: str) -> DataFrame:
+    """The rows of a pair of parts packed many in one, as compressed columns: a fraction of the bytes that they take one by one."""
+
+    def pack(some: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(some).sort_by([(c, "ascending") for c in (*PAIR, sorted_by)])
+        q, p = (table[c].to_numpy() for c in PAIR)
+        start = np.flatnonzero(np.r_[True, (q[1:] != q[:-1]) | (p[1:] != p[:-1])])
+        packs = []
+        for at, end in zip(start, [*start[1:], len(q)]):
+            to = io.BytesIO()
+            pq.write_table(table.slice(at, end - at).drop_columns(PAIR), to, compression="zstd", write_statistics=False, store_schema=False)
+            packs.append(to.getvalue())
+        return pa.record_batch([pa.array(q[start], pa.int32()), pa.array(p[start], pa.int32()), pa.array(packs, pa.binary())], [*PAIR, "packed"])
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for batch in batches:
+            held, n = [*held, batch], n + batch.num_rows
+            if n >= PACK_ROWS:
+                yield pack(held)
+                held, n = [], 0
+        if n:
+            yield pack(held)
+
+    return rows.mapInArrow(packed, "q_part int, p_part int, packed binary")
+
+
+def _unpacked(packs: pa.Table) -> dict[str, np.ndarray]:
+    table = pa.concat_tables([pq.read_table(io.BytesIO(p.as_py())) for p in packs["packed"]])
+    return {c: table[c].to_numpy() for c in table.column_names}
+
+
 def _summed(
     locations: DataFrame, points: DataFrame, near: Planar | GreatCircle, few: int = FEW, same: tuple[str, ...] = ()
 ) -> DataFrame:
@@ -509,18 +552,20 @@ def _summed(
         on_rim = near.may_match(q, p, Columns) & ~all_match(q, p)
         kept = join_by_work(rows, rim, [part]).where(on_rim).select(*PAIR, *[c for c in rows.columns if c != part])
         # By number, so that adaptive execution leaves the tasks apart: they do much work per byte.
-        return kept.repartition(tasks, *PAIR)
+        return _packed(kept, rows.columns[0]).repartition(tasks, *PAIR)
 
     left = met(probes.drop("n_rows"), "q_part", probe, p_part)
     right = met(points, "p_part", q_part, point)
 
     def walk(q: pa.Table, p: pa.Table) -> pa.Table:
-        found = np.zeros(q.num_rows, np.int64)
-        if q.num_rows and p.num_rows:
-            probe = {"lat": q["q_lat"].to_numpy(), "lon": q["q_lon"].to_numpy(), **{c: q[c].to_numpy() for c in same}}
-            point = {"lat": p["p_lat"].to_numpy(), "lon": p["p_lon"].to_numpy(), **{c: p[c].to_numpy() for c in same}}
-            found = treewalk.count(near, few, probe, point | {"weight": p["weight"].to_numpy()}, same)
-        return q.select(place).append_column("weight", pa.array(found)).filter(pa.array(found > 0))
+        if not q.num_rows or not p.num_rows:
+            return pa.table({c: pa.array([], t) for c, t in zip((*place, "weight"), (pa.float64(), pa.float64(), pa.int64()))})
+        q, p = _unpacked(q), _unpacked(p)
+        probe = {"lat": q["q_lat"], "lon": q["q_lon"], **{c: q[c] for c in same}}
+        point = {"lat": p["p_lat"], "lon": p["p_lon"], "weight": p["weight"], **{c: p[c] for c in same}}
+        found = treewalk.count(near, few, probe, point, same)
+        near_any = found > 0
+        return pa.table({**{c: q[c][near_any] for c in place}, "weight": found[near_any]})
 
     walked = left.groupBy(*PAIR).cogroup(right.groupBy(*PAIR)).applyInArrow(walk, "q_lat double, q_lon double, weight long")
     # Per probe the weights of its part, and the rest of each part wholly around it. Some locations are in no part.
@@ -529,7 +574,7 @@ def _summed(
         rim.select("q_part", F.col("rest").alias("weight"), F.lit(False).alias("whole"), *edges), allowMissingColumns=True
     )
     summed = F.when(F.col("whole") | all_match(probe, p_part), F.col("weight")).otherwise(zero)
-    found = probes.join(around, "q_part", "left").select(*place, "n_rows", summed.alias("weight"))
+    found = probes.join(around, "q_part").select(*place, zero.alias("n_rows"), summed.alias("weight")).where("weight > 0")
     found = found.unionByName(locations.select(*place, "n_rows", zero.alias("weight")))
     found = found.unionByName(walked.select(*place, zero.alias("n_rows"), "weight"))
     return found.groupBy(*place).agg(F.max("n_rows").alias("n_rows"), F.sum("weight").alias("n_near"))

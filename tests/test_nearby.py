@@ -224,3 +224,22 @@ def test_points_off_the_rims_are_not_shuffled(spark, tmp_path):
     places = [(r.q_lat, r.q_lon) for r in found[::10]]
     crowd = [(r.latitude, r.longitude) for r in pts.collect()]
     assert [r.n_near for r in found[::10]] == brute(places, crowd, in_degree_circle)
+
+
+def test_parts_are_tiles_and_rows_are_shuffled_packed(spark, tmp_path):
+    """Extents of parts hardly overlap, and packed rows are what went in, in far fewer rows and bytes."""
+    _, pts = frames(spark, [], scatter(51, 60_000, 0.3))
+    spots = nearby._distinct_points(pts, "latitude", "longitude")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        dealt = nearby._in_parts(spots, "p_lat", "p_lon", "p_part")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    boxes = [(r[1] - r[0]) * (r[3] - r[2]) for r in dealt.groupBy("p_part").agg(F.min("p_lat"), F.max("p_lat"), F.min("p_lon"), F.max("p_lon")).select("min(p_lat)", "max(p_lat)", "min(p_lon)", "max(p_lon)").collect()]
+    assert len(boxes) == 16 and sum(boxes) < 1.6 * 0.6 * 0.6
+    rows = dealt.withColumn("q_part", F.col("p_part") % 3)
+    packs = nearby._packed(rows, "p_lat").toArrow()
+    assert packs.num_rows <= 16 * 3 and sum(len(p.as_py()) for p in packs["packed"]) < 60_000 * 24
+    back = nearby._unpacked(packs)
+    assert sorted(zip(back["p_lat"], back["p_lon"], back["weight"])) == sorted(map(tuple, spots.collect()))
