@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -47,7 +48,8 @@ def export(crime: DataFrame, inspections: DataFrame, folder: str, format: str =
 def export_job(crime_raw: DataFrame, inspection_raw: DataFrame, folder: str, format: str = "csv") -> None:
     """The whole job, from the raw tables to both final tables below ``folder``; may be killed and run again.
 
-    Each raw table is read and cleaned once. On input that was exported before, nothing is done.
+    Each raw table is read and cleaned once. On input that was exported before, nothing is done. CSV is gzipped, which Spark
+    reads like plain text: unpacked, both tables and what they are made from would take several times the raw tables.
     """
     spark = crime_raw.sparkSession
     work = hashlib.md5(f"{resume.version_of(crime_raw, inspection_raw)} {folder} {format}".encode()).hexdigest()
@@ -59,7 +61,7 @@ def export_job(crime_raw: DataFrame, inspection_raw: DataFrame, folder: str, for
     points = text_coordinates(inspections)
     counts = job.step("near-counts", lambda: nearby.nearby_inspection_counts(crime, points))
     enriched = nearby.onto_rows(with_distance(crime), counts, "nearby_inspection_count")
-    write = write_csv if format == "csv" else write_parquet
+    write = partial(write_csv, compression="gzip") if format == "csv" else write_parquet
     results = {"crime_final": (enriched, crime.count()), "ins_final": (inspections, inspections.count())}
     job.publish({name: resume.Result(df, n, write) for name, (df, n) in results.items()}, folder)
 

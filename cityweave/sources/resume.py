@@ -2,7 +2,7 @@
 
 Each step of a job is a written table with a marker beside it, in a folder of the shared scratch folder named after the job
 and the version of its input. A rerun on the same input reads the marked steps instead of computing them; a changed
-input starts anew. What a step writes in between lies in the same folder.
+input starts anew. What a step writes in between lies in the same folder and is deleted when the step is done.
 
 Results are written beside their place first. Only when all are written, with the expected number of rows, do they take the
 place of the earlier ones; a rerun goes on with the replacing. Then the job's folder is deleted. Readers see the
@@ -14,7 +14,8 @@ Paths may be on any file system Spark can reach; files are looked at and moved t
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
+from contextlib import contextmanager
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -84,11 +85,19 @@ class Job:
         """The table that ``make`` gives, computed unless an earlier run has finished it."""
         path, marker = f"{self.folder}/{name}", f"{self.folder}/{name}.done"
         if not self.files.exists(marker):
-            with scratch.inside(f"{self.folder}/scratch"):
+            with self._own_scratch():
                 make().write.mode("overwrite").parquet(path)
             self.files.mark(marker)
         return self.spark.read.parquet(path)
 
+    @contextmanager
+    def _own_scratch(self) -> Iterator[None]:
+        """What is written meanwhile goes at the end, shuffle files included; a killed run leaves it to the next one."""
+        folder = f"{self.folder}/scratch"
+        with scratch.inside(folder), scratch.shuffles_released(self.spark):
+            yield
+        self.files.delete(folder)
+
     def is_published(self, out: str) -> bool:
         return self.files.exists(f"{out}/_published-{self.version}")
 
@@ -110,7 +119,7 @@ class Job:
 
     def _stage(self, name: str, result: Result, path: str) -> None:
         seen = Observation()
-        with scratch.inside(f"{self.folder}/scratch"):
+        with self._own_scratch():
             result.write(result.df.observe(seen, F.count(F.lit(1)).alias("n")), path)
         if result.rows is not None and seen.get["n"] != result.rows:
             raise RuntimeError(f"{name} has {seen.get['n']} rows, not {result.rows}; nothing is replaced")

@@ -8,11 +8,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def write_csv(df: DataFrame, path: str, headers: Mapping[str, str] | None = None) -> None:
+def write_csv(df: DataFrame, path: str, headers: Mapping[str, str] | None = None, compression: str = "none") -> None:
     """Overwrite ``path`` with CSV part files that carry a header line."""
     if headers:
         df = df.withColumnsRenamed(dict(headers))
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path, compression=compression)
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:

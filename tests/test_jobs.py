@@ -61,6 +61,25 @@ def test_killed_job_goes_on(spark, raw, shared, tmp_path, monkeypatch):
     assert read(f"{out}/crime_final").agg(total).first() == enriched.agg(total).first()
 
 
+def test_export_keeps_little_on_disk(spark, raw, shared, tmp_path, monkeypatch):
+    """What a step writes in between is gone when it is done, and the exported CSV is packed and whole."""
+    kept, step = [], resume.Job.step
+
+    def looked_at(job, name, make):
+        found = step(job, name, make)
+        kept.extend(f for f in leftovers(shared) if "/scratch/" in f)
+        return found
+
+    monkeypatch.setattr(resume.Job, "step", looked_at)
+    out, before = str(tmp_path / "out"), spark.conf.get(scratch.RELEASE)
+    jobs.export_job(*raw(), out)
+    assert not kept and spark.conf.get(scratch.RELEASE) == before
+    for name, df in zip(("crime_final", "ins_final"), jobs.clean_and_enrich(*raw())):
+        packed = [f for f in leftovers(f"{out}/{name}") if "/part-" in f]
+        assert packed and all(f.endswith(".csv.gz") for f in packed)
+        assert spark.read.option("header", True).option("escape", '"').csv(f"{out}/{name}").count() == df.count()
+
+
 def test_same_input_is_exported_once_and_new_input_again(spark, raw, shared, tmp_path):
     out = str(tmp_path / "out")
     jobs.export_job(*raw(), out, format="parquet")
